@@ -9,11 +9,14 @@ returns one row per point of the block (a count, a few distances, a sum).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shopsight.operators.ranking import global_rank
@@ -29,47 +32,62 @@ def as_points(df: DataFrame, id_column: str, features: str = "features", extra:
     return df.select(F.col(id_column).cast("long").alias("id"), x.alias("x"), *(extra or []))
 
 
-def _extremes(points: DataFrame, dims: int) -> list[tuple[float, float]]:
-    row = points.agg(
-        *[F.min(F.col("x")[i]).alias(f"l{i}") for i in range(dims)],
-        *[F.max(F.col("x")[i]).alias(f"h{i}") for i in range(dims)],
-    ).first()
-    return [(row[f"l{i}"], row[f"h{i}"]) for i in range(dims)]
-
-
-def z_order(points: DataFrame, max_dims: int = 8) -> Column:
+def z_order(lows: list[float], highs: list[float], max_dims: int = 8) -> Column:
     """Interleaved bits of the (first) coordinates, scaled to their range."""
-    width = len(points.select("x").first()["x"])
-    dims = min(width, max_dims)
+    dims = min(len(lows), max_dims)
     bits = 48 // dims
     key = F.lit(0).cast("long")
-    for i, (low, high) in enumerate(_extremes(points, dims)):
-        span = (high - low) or 1.0
-        cell = F.floor((F.col("x")[i] - F.lit(low)) / F.lit(span) * F.lit(float(2**bits - 1))).cast("long")
+    for i in range(dims):
+        span = (highs[i] - lows[i]) or 1.0
+        cell = F.floor((F.col("x")[i] - F.lit(lows[i])) / F.lit(span) * F.lit(float(2**bits - 1))).cast("long")
         for b in range(bits):
             bit = F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("long"))
             key = key.bitwiseOR(F.shiftleft(bit, b * dims + i))
     return key
 
 
-def make_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """block, ids, xs (flat), extra arrays, lo and hi (bounding box), n.
+@dataclass
+class Blocks:
+    """rows: block, ids, xs (flat), further arrays, lo and hi (bounding box), n. Persisted; release after use."""
+
+    rows: DataFrame
+    number: int
+    lows: list[float]
+    highs: list[float]
+
+    def with_rows(self, rows: DataFrame) -> Blocks:
+        return Blocks(rows, self.number, self.lows, self.highs)
+
+    def release(self) -> None:
+        self.rows.unpersist()
 
-    Points are ranked along the curve; points sharing a cell of it are ranked by a hash, so a crowded
-    cell is cut into blocks like any other place.
+
+def make_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> Blocks:
+    """Points are ranked along the curve and cut every `block_rows` ranks.
+
+    Points sharing a cell of the curve are ranked by a hash, so a crowded cell is cut into blocks like
+    any other place.
     """
     extra = [c for c in points.columns if c not in ("id", "x")]
-    keyed = points.withColumns({"_z": z_order(points), "_h": F.xxhash64("id")})
-    ranked = global_rank(keyed, ["_z", "_h", "id"], "_rank", rows_per_range=block_rows * 64)
-    width = len(points.select("x").first()["x"])
-    grouped = ranked.groupBy(F.floor((F.col("_rank") - 1) / block_rows).alias("block")).agg(
+    summary = Summarizer.metrics("min", "max", "count").summary(array_to_vector("x")).alias("s")
+    info = points.select(summary).select("s.*").first()
+    lows, highs = list(info["min"]), list(info["max"])
+    number = max(1, math.ceil(info["count"] / block_rows))
+    if number > 1:
+        keyed = points.withColumns({"_z": z_order(lows, highs), "_h": F.xxhash64("id")})
+        ranked = global_rank(keyed, ["_z", "_h", "id"], "_rank", rows_per_range=block_rows * 64, rows=info["count"])
+        numbered = ranked.withColumn("block", F.floor((F.col("_rank") - 1) / block_rows))
+    else:
+        numbered = points.withColumn("block", F.lit(0).cast("long"))
+    grouped = numbered.groupBy("block").agg(
         F.collect_list(F.struct("id", "x", *extra)).alias("rows"),
-        F.array(*[F.min(F.col("x")[i]) for i in range(width)]).alias("lo"),
-        F.array(*[F.max(F.col("x")[i]) for i in range(width)]).alias("hi"),
+        F.array(*[F.min(F.col("x")[i]) for i in range(len(lows))]).alias("lo"),
+        F.array(*[F.max(F.col("x")[i]) for i in range(len(lows))]).alias("hi"),
         F.count("*").alias("n"),
     )
     arrays = [F.col("rows")[c].alias(f"{c}s") for c in ["id", *extra]]
-    return grouped.select("block", *arrays, F.flatten(F.col("rows")["x"]).alias("xs"), "lo", "hi", "n")
+    rows = grouped.select("block", *arrays, F.flatten(F.col("rows")["x"]).alias("xs"), "lo", "hi", "n")
+    return Blocks(rows.persist(), number, lows, highs)
 
 
 def _length(sides: Column) -> Column:
@@ -83,53 +101,51 @@ def box_gap(lo_a: str, hi_a: str, lo_b: str, hi_b: str) -> Column:
     return _length(F.zip_with(left, right, lambda p, q: F.greatest(p, q, F.lit(0.0))))
 
 
-def close_pairs(blocks: DataFrame, reach: Column, ordered: bool = False) -> DataFrame:
-    """Pairs (a, b) of blocks whose boxes are within `reach` (a column of block a).
+def close_pairs(blocks: Blocks, reach: Column) -> DataFrame:
+    """Ordered pairs (a, b) of blocks whose boxes are within `reach` (a column of block a).
 
     The boxes meet on slabs of the first coordinate: an equi-join, kept once per pair at the first slab
-    both touch. With `ordered` each unordered pair appears once.
+    both touch.
     """
-    low, high = blocks.agg(F.min(F.col("lo")[0]), F.max(F.col("hi")[0])).first()
+    low, high = blocks.lows[0], blocks.highs[0]
     width = ((high - low) / SLABS) or 1.0
-    slab = lambda v: F.floor((v - F.lit(low)) / F.lit(width)).cast("long")
-    last = F.lit(SLABS).cast("long")
-    clamp = lambda c: F.greatest(F.lit(0).cast("long"), F.least(last, c))
-    boxes = blocks.select("block", "lo", "hi", reach.alias("reach"))
+
+    def slab(value: Column) -> Column:
+        place = F.floor((value - F.lit(low)) / F.lit(width))
+        return F.greatest(F.lit(0.0), F.least(F.lit(float(SLABS)), place.cast("double"))).cast("int")
+
+    boxes = blocks.rows.select("block", "lo", "hi", reach.alias("reach"))
+    start, end = F.col("lo")[0], F.col("hi")[0]
+    first, last = slab(start - F.col("reach")), slab(end + F.col("reach"))
     left = boxes.select(
         F.col("block").alias("a"),
         F.col("lo").alias("lo_a"),
         F.col("hi").alias("hi_a"),
         "reach",
-        clamp(slab(F.col("lo")[0] - F.col("reach"))).alias("first_a"),
-        F.explode(
-            F.sequence(clamp(slab(F.col("lo")[0] - F.col("reach"))), clamp(slab(F.col("hi")[0] + F.col("reach"))))
-        ).alias("slab"),
+        first.alias("first_a"),
+        F.explode(F.sequence(first, last)).alias("slab"),
     )
     right = boxes.select(
         F.col("block").alias("b"),
         F.col("lo").alias("lo_b"),
         F.col("hi").alias("hi_b"),
-        clamp(slab(F.col("lo")[0])).alias("first_b"),
-        F.explode(F.sequence(clamp(slab(F.col("lo")[0])), clamp(slab(F.col("hi")[0])))).alias("slab"),
+        slab(start).alias("first_b"),
+        F.explode(F.sequence(slab(start), slab(end))).alias("slab"),
     )
     pairs = left.join(right, "slab").where(F.col("slab") == F.greatest("first_a", "first_b"))
-    pairs = pairs.where(box_gap("lo_a", "hi_a", "lo_b", "hi_b") <= F.col("reach") + F.lit(1e-9))
-    if ordered:
-        pairs = pairs.where(F.col("a") <= F.col("b"))
-    return pairs.select("a", "b")
+    return pairs.where(box_gap("lo_a", "hi_a", "lo_b", "hi_b") <= F.col("reach") + F.lit(1e-9)).select("a", "b")
 
 
-def all_pairs(blocks: DataFrame) -> DataFrame:
+def all_pairs(blocks: Blocks) -> DataFrame:
     """Every ordered pair of blocks, for measures defined over all distances."""
-    far = blocks.agg(*[F.min(F.array_min("lo")), F.max(F.array_max("hi"))]).first()
-    width = len(blocks.select("lo").first()["lo"])
-    return close_pairs(blocks, F.lit(float((far[1] - far[0] + 1.0) * width)))
+    partners = F.sequence(F.lit(0).cast("long"), F.lit(blocks.number - 1).cast("long"))
+    return blocks.rows.select(F.col("block").alias("a"), F.explode(partners).alias("b"))
 
 
-def paired(blocks: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
+def paired(blocks: Blocks, pairs: DataFrame, columns: list[str]) -> DataFrame:
     """Attach the contents of both blocks to every pair."""
-    a = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
-    b = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    a = blocks.rows.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = blocks.rows.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     return pairs.join(a, "a").join(b, "b")
 
 

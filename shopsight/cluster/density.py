@@ -33,15 +33,15 @@ def k_distances(df: DataFrame, id_column: str, k: int = 5, features: str = "feat
     The own block gives an upper bound for each point; only blocks nearer than the bound can improve it.
     """
     points = as_points(df, id_column, features)
-    blocks = make_blocks(distinct_points(points)).persist()
+    blocks = make_blocks(distinct_points(points))
 
     def bound(row) -> pd.DataFrame:
         own = _nearest(distances(row.xs, row.n, row.xs, row.n), np.asarray(row.ws), k)[:, -1]
         reach = own.max() if np.isfinite(own).all() else 1e300
         return pd.DataFrame({"block": [row.block], "us": [own], "reach": [reach]})
 
-    limits = on_pairs(blocks.select("block", "xs", "ws", "n"), bound, "block long, us array<double>, reach double")
-    bounded = blocks.join(limits, "block").persist()
+    limits = on_pairs(blocks.rows.select("block", "xs", "ws", "n"), bound, "block long, us array<double>, reach double")
+    bounded = blocks.with_rows(blocks.rows.join(limits, "block").persist())
     pairs = close_pairs(bounded, F.col("reach"))
 
     def improve(row) -> pd.DataFrame:
@@ -88,7 +88,7 @@ def dbscan(
     number. Ids must be unique and not negative.
     """
     points = as_points(df, id_column, features)
-    blocks = make_blocks(distinct_points(points)).persist()
+    blocks = make_blocks(distinct_points(points))
     pairs = close_pairs(blocks, F.lit(float(eps))).persist()
 
     def count(row) -> pd.DataFrame:
@@ -115,9 +115,10 @@ def dbscan(
             part[core] = _local_components(near, ids[core])
         return pd.DataFrame({"block": [row.block], "parts": [part]})
 
-    flagged = blocks.join(cores, "block")
+    flagged = blocks.rows.join(cores, "block")
     parts = on_pairs(flagged.select("block", "ids", "xs", "cores", "n"), parts_of, "block long, parts array<long>")
-    labelled = cut_lineage(blocks.join(parts, "block"))
+    labelled = blocks.with_rows(cut_lineage(blocks.rows.join(parts, "block")))
+    blocks.release()
 
     def meet(row) -> pd.DataFrame:
         near = distances(row.xs_a, row.n_a, row.xs_b, row.n_b) <= eps
@@ -133,9 +134,10 @@ def dbscan(
             paired(labelled, pairs, ["ids", "xs", "parts", "n"]), meet, "id long, part_a long, part_b long"
         )
     )
+    pairs.unpersist()
     links = met.where((F.col("part_a") >= 0) & (F.col("part_a") != F.col("part_b"))).select("part_a", "part_b").distinct()
     roots = connected_components(links, "part_a", "part_b")
-    core_rows = labelled.select(F.explode(F.arrays_zip("ids", "parts")).alias("p")).select(
+    core_rows = labelled.rows.select(F.explode(F.arrays_zip("ids", "parts")).alias("p")).select(
         F.col("p.ids").alias("id"), F.col("p.parts").alias("part")
     )
     border_rows = met.where(F.col("part_a") < 0).select("id", F.col("part_b").alias("part"))

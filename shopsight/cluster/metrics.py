@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from shopsight.session import together
 from shopsight.cluster.blocks import all_pairs, as_points, distances, make_blocks, on_pairs, paired
 
 # Above this many rows the exact silhouette (work grows with the square) gives way to the closed form.
@@ -33,7 +35,7 @@ def silhouette_samples(df: DataFrame, id_column: str, label: str = "cluster", fe
     Block pairs return, per point, the sum of distances to each label; pairs of points are not emitted.
     """
     points = as_points(df, id_column, features, [F.col(label).cast("long").alias("label")])
-    blocks = make_blocks(points).persist()
+    blocks = make_blocks(points)
 
     def add(row) -> pd.DataFrame:
         gaps = distances(row.xs_a, row.n_a, row.xs_b, row.n_b)
@@ -102,7 +104,7 @@ def centroid_table(df: DataFrame, label: str = "cluster", features: str = "featu
 def davies_bouldin(centroids: DataFrame) -> float:
     """Mean over clusters of the worst (scatter + scatter) / distance; coinciding centroids count 0."""
     points = centroids.select(F.col("label").alias("id"), F.col("centroid").alias("x"), F.col("scatter").alias("s"))
-    blocks = make_blocks(points).persist()
+    blocks = make_blocks(points)
 
     def worst(row) -> pd.DataFrame:
         gaps = distances(row.xs_a, row.n_a, row.xs_b, row.n_b)
@@ -115,7 +117,7 @@ def davies_bouldin(centroids: DataFrame) -> float:
     rows = paired(blocks, all_pairs(blocks), ["ids", "xs", "ss", "n"])
     best = on_pairs(rows, worst, "id long, ratio double").groupBy("id").agg(F.max("ratio").alias("ratio"))
     value = best.agg(F.avg("ratio")).first()[0]
-    blocks.unpersist()
+    blocks.release()
     return value
 
 
@@ -176,11 +178,17 @@ def evaluate_labels(
 
 
 def compare_methods(
-    df: DataFrame, labels: Mapping[str, str], id_column: str, features: str = "features", silhouette: str = "auto"
+    df: DataFrame,
+    labels: Mapping[str, str],
+    id_column: str,
+    features: str = "features",
+    silhouette: str = "auto",
+    threads: int = 4,
 ) -> DataFrame:
-    """Quality of several label columns of one frame, one row per method."""
-    out = None
-    for name, column in labels.items():
-        row = evaluate_labels(df, name, id_column, column, features, silhouette)
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Quality of several label columns of one frame, one row per method, evaluated as concurrent jobs."""
+
+    def once(item: tuple[str, str]) -> DataFrame:
+        return evaluate_labels(df, item[0], id_column, item[1], features, silhouette)
+
+    rows = together(df.sparkSession, once, labels.items(), threads)
+    return reduce(DataFrame.unionByName, rows)

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -20,18 +18,11 @@ from shopsight.cluster.metrics import (
     exact_silhouette,
     squared_silhouette,
 )
-from shopsight.session import cut_lineage
+from shopsight.session import cut_lineage, together
 
 MICRO_CLUSTERS = 2000
 
 
-def _together(spark, work, items, threads: int) -> list:
-    """Independent fits submitted as concurrent jobs."""
-    target = inheritable_thread_target(spark)(work) if threads > 1 else work
-    with ThreadPool(threads) as pool:
-        return pool.map(target, items)
-
-
 def fit_kmeans(
     vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300, threads: int = 4
 ) -> KMeansModel:
@@ -40,7 +31,7 @@ def fit_kmeans(
     def once(offset: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + offset, maxIter=max_iter, tol=1e-4).fit(vectors)
 
-    models = _together(vectors.sparkSession, once, range(restarts), min(threads, restarts))
+    models = together(vectors.sparkSession, once, range(restarts), threads)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -78,7 +69,7 @@ def sweep_kmeans(
         labelled.unpersist()
         return row
 
-    rows = _together(vectors.sparkSession, once, list(ks), threads)
+    rows = together(vectors.sparkSession, once, list(ks), threads)
     schema = "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double"
     return vectors.sparkSession.createDataFrame(rows, schema)
 
@@ -122,7 +113,7 @@ def fit_gmm(
     def once(offset: int) -> GaussianMixtureModel:
         return GaussianMixture(k=k, seed=seed + offset, maxIter=max_iter, tol=1e-3).fit(vectors)
 
-    models = _together(vectors.sparkSession, once, range(restarts), min(threads, restarts))
+    models = together(vectors.sparkSession, once, range(restarts), threads)
     return max(models, key=lambda m: m.summary.logLikelihood)
 
 
@@ -143,7 +134,7 @@ def sweep_gmm(
         likelihood = float(model.summary.logLikelihood)
         return (k, likelihood, *gmm_criteria(likelihood, k, dims, n))
 
-    rows = _together(vectors.sparkSession, once, list(ks), threads)
+    rows = together(vectors.sparkSession, once, list(ks), threads)
     return vectors.sparkSession.createDataFrame(rows, "n int, log_likelihood double, bic double, aic double")
 
 

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -196,6 +197,7 @@ def running_totals(
     within: Sequence[str] = (),
     descending: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add, per name in `sums`, the total of that expression over all rows up to and including this one.
 
@@ -205,28 +207,30 @@ def running_totals(
     """
     within = list(within)
     sign = -1.0 if descending else 1.0
-
+    n = df.count() if rows is None else rows
+    ranges = min(10_000, max(1, math.ceil(n / rows_per_range)))
     keys = [as_column(c) for c in order_by]
+    order = [k.desc() if descending else k.asc() for k in keys]
+    if ranges == 1:
+        # The whole table fits one range.
+        all_rows = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({s: F.sum(as_column(e)).over(all_rows) for s, e in sums.items()})
     frame = df.withColumn("_k1", _as_number(df, keys[0]) * F.lit(sign))
     if len(keys) > 1:
         frame = frame.withColumn("_k2", _as_number(df, keys[1]) * F.lit(sign))
-    n = frame.count()
-    ranges = min(10_000, max(1, math.ceil(n / rows_per_range)))
     heavy: dict[float, list[float]] = {}
-    bounds: list[float] = []
-    if ranges > 1:
-        probs = [i / ranges for i in range(1, ranges)]
-        cuts = frame.agg(F.percentile_approx("_k1", probs, max(ACCURACY, 10 * ranges)).alias("q")).first()["q"] or []
-        bounds = sorted(set(cuts))
-        repeated = sorted({v for v in bounds if cuts.count(v) > 1})
-        if repeated and len(keys) > 1:
-            found = (
-                frame.where(F.col("_k1").isin(repeated))
-                .groupBy("_k1")
-                .agg(F.percentile_approx("_k2", probs, max(ACCURACY, 10 * ranges)).alias("q"))
-                .collect()
-            )
-            heavy = {r["_k1"]: sorted(set(r["q"])) for r in found}
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = frame.agg(F.percentile_approx("_k1", probs, max(ACCURACY, 10 * ranges)).alias("q")).first()["q"] or []
+    bounds = sorted(set(cuts))
+    repeated = sorted({v for v, times in Counter(cuts).items() if times > 1})
+    if repeated and len(keys) > 1:
+        found = (
+            frame.where(F.col("_k1").isin(repeated))
+            .groupBy("_k1")
+            .agg(F.percentile_approx("_k2", probs, max(ACCURACY, 10 * ranges)).alias("q"))
+            .collect()
+        )
+        heavy = {r["_k1"]: sorted(set(r["q"])) for r in found}
     frame = _range_index(frame, "_k1", bounds, "_r1") if bounds else frame.withColumn("_r1", F.lit(0.0))
     second = F.lit(0)
     if heavy:
@@ -242,7 +246,6 @@ def running_totals(
     # At most a few thousand range rows per group: offsets are a window over this summary.
     before = Window.partitionBy(*within).orderBy("_r1", "_r2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
-    order = [k.desc() if descending else k.asc() for k in keys]
     local = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = frame.join(offsets, part, "left")
     out = joined.withColumns(

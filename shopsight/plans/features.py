@@ -57,6 +57,20 @@ BINARY_FEATURES = [
     "has_review_comment",
     "is_late_delivery",
 ]
+FITTED_COLUMNS = [
+    "customer_unique_id",
+    "order_id",
+    "order_item_id",
+    "order_purchase_timestamp",
+    "customer_zip_code_prefix",
+    "seller_zip_code_prefix",
+    "product_category_name_english",
+    "price",
+    "payment_value",
+    "review_score",
+    "delivery_days",
+    "is_late_delivery",
+]
 RFM_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "monetary_per_day"]
 BEHAVIOUR_FEATURES = [
     "avg_review_score",
@@ -120,12 +134,16 @@ class FeatureModel:
     rfm_fill: dict[str, float] = field(default_factory=dict)
 
     def fit(self, train: DataFrame, reference: datetime | str | None = None) -> FeatureModel:
-        distances = attach_coordinates(train, self.geo).select(distance_column().alias("km"))
+        """Several small aggregations over the columns they need, which are kept for the time being."""
+        narrow = train.select(*FITTED_COLUMNS).persist()
+        distances = attach_coordinates(narrow, self.geo).select(distance_column().alias("km"))
         self.median_km = medians(distances, ["km"])["km"]
-        self.overall = price_moments(train)
-        self.stats = category_price_stats(train)
-        self.customers = customer_behaviour(train, reference)
+        self.overall = price_moments(narrow)
+        self.stats = category_price_stats(narrow).persist()
+        self.customers = customer_behaviour(narrow, reference).persist()
         self.rfm_fill = medians(self.customers, RFM_FEATURES)
+        self.stats.count()
+        narrow.unpersist()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

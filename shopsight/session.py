@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -43,3 +47,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise reliably, so that a lost executor does not replay a whole iteration."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_uri(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder, for tables written to be read again."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, work: Callable, items: Iterable, threads: int = 4) -> list:
+    """Independent fits or evaluations, submitted as concurrent jobs."""
+    items = list(items)
+    target = inheritable_thread_target(spark)(work)
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(target, items)

@@ -11,15 +11,11 @@ from shopsight.learn.models import scored
 
 def sampled_log(df: DataFrame, id_column: str, rate: float = 0.1, seed: int = 42) -> DataFrame:
     """A fixed share of ids, by hash: the same id is always in or out, on a batch or a stream."""
-    bucket = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), F.lit(1_000_000))
+    digest = F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(1_000_000)
     return df.where(bucket < round(rate * 1_000_000))
 
 
-def every_nth(df: DataFrame, id_column: str, rate: float = 0.1) -> DataFrame:
-    """The same on whole-number ids without hashing: ids that divide by 1 / rate."""
-    return df.where(F.pmod(F.col(id_column), F.lit(round(1 / rate))) == 0)
-
-
 def score_stream(
     stream: DataFrame, model: PipelineModel, id_column: str, output_uri: str, checkpoint_uri: str, log_rate: float | None = None
 ) -> StreamingQuery:
