@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from shopsight.cluster.blocks import as_points, close_pairs, distances, make_blocks, on_pairs, paired
+from shopsight.cluster.blocks import BLOCK_ROWS, as_points, close_pairs, distances, make_blocks, on_pairs, paired
 from shopsight.operators.graphs import connected_components
 from shopsight.operators.ranking import global_rank, quantile_table
 from shopsight.session import cut_lineage
@@ -27,13 +27,15 @@ def _nearest(gaps: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     return np.sort(np.partition(spread, k - 1, axis=1)[:, :k], axis=1)
 
 
-def k_distances(df: DataFrame, id_column: str, k: int = 5, features: str = "features") -> DataFrame:
+def k_distances(
+    df: DataFrame, id_column: str, k: int = 5, features: str = "features", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Per row, the distance to its k-th nearest neighbour; the row itself is neighbour 1.
 
     The own block gives an upper bound for each point; only blocks nearer than the bound can improve it.
     """
     points = as_points(df, id_column, features)
-    blocks = make_blocks(distinct_points(points))
+    blocks = make_blocks(distinct_points(points), block_rows)
 
     def bound(row) -> pd.DataFrame:
         own = _nearest(distances(row.xs, row.n, row.xs, row.n), np.asarray(row.ws), k)[:, -1]
@@ -80,7 +82,12 @@ def _local_components(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def dbscan(
-    df: DataFrame, id_column: str, eps: float, min_samples: int = 10, features: str = "features"
+    df: DataFrame,
+    id_column: str,
+    eps: float,
+    min_samples: int = 10,
+    features: str = "features",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(id, cluster): clusters numbered by their smallest core id, -1 for noise.
 
@@ -88,7 +95,7 @@ def dbscan(
     number. Ids must be unique and not negative.
     """
     points = as_points(df, id_column, features)
-    blocks = make_blocks(distinct_points(points))
+    blocks = make_blocks(distinct_points(points), block_rows)
     pairs = close_pairs(blocks, F.lit(float(eps))).persist()
 
     def count(row) -> pd.DataFrame:

@@ -12,8 +12,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from shopsight.cluster.blocks import BLOCK_ROWS, all_pairs, as_points, distances, make_blocks, on_pairs, paired
 from shopsight.session import together
-from shopsight.cluster.blocks import all_pairs, as_points, distances, make_blocks, on_pairs, paired
 
 # Above this many rows the exact silhouette (work grows with the square) gives way to the closed form.
 EXACT_ROWS = 200_000
@@ -29,13 +29,19 @@ def as_vectors(df: DataFrame, features: str) -> DataFrame:
     return df
 
 
-def silhouette_samples(df: DataFrame, id_column: str, label: str = "cluster", features: str = "features") -> DataFrame:
+def silhouette_samples(
+    df: DataFrame,
+    id_column: str,
+    label: str = "cluster",
+    features: str = "features",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
     """Exact Euclidean silhouette of every row: id, label, a, b, silhouette.
 
     Block pairs return, per point, the sum of distances to each label; pairs of points are not emitted.
     """
     points = as_points(df, id_column, features, [F.col(label).cast("long").alias("label")])
-    blocks = make_blocks(points)
+    blocks = make_blocks(points, block_rows)
 
     def add(row) -> pd.DataFrame:
         gaps = distances(row.xs_a, row.n_a, row.xs_b, row.n_b)
