@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import W, query, r, rounded, wide
+from catalog.base import NUDGE, W, query, r, rounded, wide
 from shopsight.functions.text import text_columns
 from shopsight.operators import aggregates as A, profile as P
 from shopsight.operators.joins import payments_per_order
@@ -364,7 +364,7 @@ def tenure(spark, sf):
 )
 def histogram(spark, sf):
     out = P.histogram(bindings.order_items(spark, sf), "price", 50)
-    return out.withColumns({"left_edge": F.round("left_edge", 4), "density": F.round("density", 8)})
+    return out.withColumns({"left_edge": F.round(F.col("left_edge") + NUDGE, 4), "density": F.round("density", 8)})
 
 
 @query(
@@ -378,7 +378,7 @@ def histogram(spark, sf):
 )
 def cluster_histogram(spark, sf):
     out = P.histogram(_clustered(spark, sf), "recency", 30, by=["cluster_id"])
-    return out.withColumns({"left_edge": F.round("left_edge", 4), "density": F.round("density", 8)})
+    return out.withColumns({"left_edge": F.round(F.col("left_edge") + NUDGE, 4), "density": F.round("density", 8)})
 
 
 @query("w1_sorted_by_time", W + "SELECT order_id, CAST(row_number() OVER (ORDER BY order_purchase_timestamp, order_id) AS BIGINT) AS place FROM orders_c")

@@ -26,7 +26,7 @@ m AS (SELECT product_category_name AS c FROM products_c WHERE product_category_n
     W
     + _IMPUTED
     + """SELECT product_id, round(coalesce(product_weight_g, w), 4) AS product_weight_g,
-      round(coalesce(product_photos_qty, p) + 0.0000001::DOUBLE, 4) AS product_photos_qty,
+      round(coalesce(product_photos_qty, p), 4) AS product_photos_qty,
       coalesce(product_category_name, (SELECT c FROM m)) AS product_category_name,
       coalesce(product_category_name_english, 'unknown') AS product_category_name_english FROM products_c, t""",
 )

@@ -81,7 +81,7 @@ _DIST = " + ".join(f"pow(z.{n} - ({{c}}), 2)" for n in _SCALED)
     + " FROM p), d AS (SELECT customer_unique_id, "
     + ", ".join(f"sqrt({_DIST.format(c=c[0])}) AS d{i}" for i, c in enumerate(_CENTRES))
     + """ FROM z) SELECT customer_unique_id AS id, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster,
-    round(least(d0, d1, d2) + 0.0000001::DOUBLE, 4) AS distance FROM d""",
+    round(least(d0, d1, d2), 4) AS distance FROM d""",
 )
 def nearest_centre(spark, sf):
     return rounded(assign_to_centres(_vectors(spark, sf), _CENTRES).select("id", "cluster", "distance"))
@@ -117,7 +117,7 @@ _KD = """, kd AS (SELECT id, d FROM (SELECT a.id, list_distance(a.x, b.x) AS d,
   ORDER BY list_distance(a.x, b.x)) AS k FROM e a, e b) WHERE k = 5)"""
 
 
-@query("m3_k_distance", _E + _KD + " SELECT id, round(d + 0.0000001::DOUBLE, 4) AS k_distance FROM kd")
+@query("m3_k_distance", _E + _KD + " SELECT id, round(d, 4) AS k_distance FROM kd")
 def k_distance(spark, sf):
     return rounded(k_distances(_embeddings(spark, sf), "id", 5))
 
@@ -125,8 +125,8 @@ def k_distance(spark, sf):
 @query(
     "m3_suggested_eps",
     _E + _KD
-    + """ SELECT round(quantile_cont(d, 0.9) + 0.0000001::DOUBLE, 4) AS p90, round(quantile_cont(d, 0.95) + 0.0000001::DOUBLE, 4) AS p95,
-      round(quantile_cont(d, 0.99) + 0.0000001::DOUBLE, 4) AS p99 FROM kd""",
+    + """ SELECT round(quantile_cont(d, 0.9), 4) AS p90, round(quantile_cont(d, 0.95), 4) AS p95,
+      round(quantile_cont(d, 0.99), 4) AS p99 FROM kd""",
 )
 def eps(spark, sf):
     found = suggest_eps(k_distances(_embeddings(spark, sf), "id", 5))
@@ -192,8 +192,8 @@ _EXACT = _SILHOUETTE.format(d="list_distance(a.x, b.x)", own=1)
 
 @query(
     "m7_silhouette",
-    _E + _EXACT + """ SELECT id, label AS cluster, round(a + 0.0000001::DOUBLE, 4) AS a, round(b + 0.0000001::DOUBLE, 4) AS b,
-      round((b - a) / greatest(a, b) + 0.0000001::DOUBLE, 4) AS silhouette FROM sil""",
+    _E + _EXACT + """ SELECT id, label AS cluster, round(a, 4) AS a, round(b, 4) AS b,
+      round((b - a) / greatest(a, b), 4) AS silhouette FROM sil""",
 )
 def silhouette(spark, sf):
     return rounded(M.silhouette_samples(_embeddings(spark, sf), "id"))
@@ -202,7 +202,7 @@ def silhouette(spark, sf):
 @query(
     "m8_squared_silhouette",
     _E + _SILHOUETTE.format(d="pow(list_distance(a.x, b.x), 2)", own=1)
-    + " SELECT round(avg((b - a) / greatest(a, b)) + 0.0000001::DOUBLE, 4) AS silhouette FROM sil",
+    + " SELECT round(avg((b - a) / greatest(a, b)), 4) AS silhouette FROM sil",
 )
 def squared_silhouette(spark, sf):
     value = M.squared_silhouette(_embeddings(spark, sf))
@@ -223,13 +223,13 @@ ch AS (SELECT any_value(b) * (sum(c) - count(*)) / (sum(w) * (count(*) - 1)) AS
 """
 
 
-@query("m9_davies_bouldin", _E + _CENTROIDS + " SELECT round(db + 0.0000001::DOUBLE, 4) AS davies_bouldin FROM db")
+@query("m9_davies_bouldin", _E + _CENTROIDS + " SELECT round(db, 4) AS davies_bouldin FROM db")
 def davies_bouldin(spark, sf):
     value = M.davies_bouldin(M.centroid_table(_embeddings(spark, sf)))
     return rounded(spark.createDataFrame([(value,)], "davies_bouldin double"))
 
 
-@query("m10_calinski_harabasz", _E + _CENTROIDS + " SELECT round(ch + 0.0000001::DOUBLE, 4) AS calinski_harabasz FROM ch")
+@query("m10_calinski_harabasz", _E + _CENTROIDS + " SELECT round(ch, 4) AS calinski_harabasz FROM ch")
 def calinski_harabasz(spark, sf):
     value = M.calinski_harabasz(M.centroid_table(_embeddings(spark, sf)))
     return rounded(spark.createDataFrame([(value,)], "calinski_harabasz double"))
@@ -243,8 +243,8 @@ _NOISY = "WITH e AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS x FROM e
     _NOISY + _EXACT + _CENTROIDS
     + """ SELECT 'classes' AS name, (SELECT count(DISTINCT label) FROM e) AS n_clusters,
       (SELECT count(*) FROM embeddings WHERE label = 0) AS n_noise,
-      round((SELECT avg((b - a) / greatest(a, b)) FROM sil) + 0.0000001::DOUBLE, 4) AS silhouette,
-      round(db + 0.0000001::DOUBLE, 4) AS davies_bouldin, round(ch + 0.0000001::DOUBLE, 4) AS calinski_harabasz, NULL AS error FROM db, ch""",
+      round((SELECT avg((b - a) / greatest(a, b)) FROM sil), 4) AS silhouette,
+      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error FROM db, ch""",
 )
 def evaluate(spark, sf):
     noisy = _embeddings(spark, sf).withColumn("cluster", F.when(F.col("cluster") == 0, -1).otherwise(F.col("cluster")))
@@ -255,8 +255,8 @@ def evaluate(spark, sf):
     "m12_compare_methods",
     _E + _EXACT + _CENTROIDS
     + """ SELECT 'classes' AS name, (SELECT count(DISTINCT label) FROM e) AS n_clusters, 0::BIGINT AS n_noise,
-      round((SELECT avg((b - a) / greatest(a, b)) FROM sil) + 0.0000001::DOUBLE, 4) AS silhouette,
-      round(db + 0.0000001::DOUBLE, 4) AS davies_bouldin, round(ch + 0.0000001::DOUBLE, 4) AS calinski_harabasz, NULL AS error FROM db, ch
+      round((SELECT avg((b - a) / greatest(a, b)) FROM sil), 4) AS silhouette,
+      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error FROM db, ch
     UNION ALL SELECT 'one', 1, 0, NULL, NULL, NULL, 'Less than 2 clusters'
     UNION ALL SELECT 'noise', 0, (SELECT count(*) FROM e), NULL, NULL, NULL, 'Less than 2 clusters'""",
 )

@@ -164,7 +164,7 @@ def text_statistics_turns(spark, sf):
 
 @query(
     "f9_capitals_share",
-    "SELECT doc_id, round(c + 0.0000001::DOUBLE, 4) AS share FROM (SELECT doc_id, " + _CAPS.format("text") + " AS c FROM documents)",
+    "SELECT doc_id, round(c, 4) AS share FROM (SELECT doc_id, " + _CAPS.format("text") + " AS c FROM documents)",
 )
 def capitals(spark, sf):
     return rounded(bindings.table(spark, sf, "documents").select("doc_id", capitals_share("text").alias("share")))
@@ -217,7 +217,7 @@ def payment(spark, sf):
     return rounded(out.select("order_id", "is_full_payment", "is_high_installment", "payment_per_installment"))
 
 
-@query("f12_log1p", W + "SELECT customer_unique_id, round(ln(1 + frequency) + 0.0000001::DOUBLE, 4) AS frequency_log, round(ln(1 + monetary) + 0.0000001::DOUBLE, 4) AS monetary_log FROM cust0")
+@query("f12_log1p", W + "SELECT customer_unique_id, round(ln(1 + frequency), 4) AS frequency_log, round(ln(1 + monetary), 4) AS monetary_log FROM cust0")
 def logs(spark, sf):
     from shopsight.operators.aggregates import rfm
 
@@ -344,7 +344,7 @@ def plane(spark, sf):
 
 @query(
     "e9_min_max",
-    "SELECT event_id, round((value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()) + 0.0000001::DOUBLE, 4) AS value FROM events",
+    "SELECT event_id, round((value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()), 4) AS value FROM events",
 )
 def min_max(spark, sf):
     return rounded(E.min_max_scaled(bindings.table(spark, sf, "events"), ["value"]).select("event_id", "value"))
@@ -353,7 +353,7 @@ def min_max(spark, sf):
 @query(
     "e9_robust",
     """WITH q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.5) AS m, quantile_cont(value, 0.75) AS b FROM events)
-    SELECT event_id, round((value - m) / (b - a) + 0.0000001::DOUBLE, 4) AS value FROM events, q""",
+    SELECT event_id, round((value - m) / (b - a), 4) AS value FROM events, q""",
 )
 def robust(spark, sf):
     return rounded(E.robust_scaled(bindings.table(spark, sf, "events"), ["value"]).select("event_id", "value"))

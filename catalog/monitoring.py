@@ -63,7 +63,7 @@ def skew(spark, sf):
       LEFT JOIN sh x ON x.h = grid.before AND x.bin = grid.bin LEFT JOIN sh y ON y.h = grid.h AND y.bin = grid.bin)
     SELECT strftime(h, '%Y-%m-%d %H:%M') AS window_start, round("""
     + _MEASURE
-    + " + 0.0000001::DOUBLE, 4) AS js FROM pq GROUP BY h",
+    + ", 4) AS js FROM pq GROUP BY h",
 )
 def drift(spark, sf):
     table = window_drift(bindings.table(spark, sf, "events"), "ts", ["value"])

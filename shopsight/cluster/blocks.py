@@ -143,7 +143,12 @@ def all_pairs(blocks: Blocks) -> DataFrame:
 
 
 def paired(blocks: Blocks, pairs: DataFrame, columns: list[str]) -> DataFrame:
-    """Attach the contents of both blocks to every pair."""
+    """Attach the contents of both blocks to every pair.
+
+    The pairs, two numbers each, are spread over all cores first: few blocks still mean much work.
+    """
+    cores = blocks.rows.sparkSession.sparkContext.defaultParallelism
+    pairs = pairs.repartition(max(1, min(blocks.number**2, 4 * cores)))
     a = blocks.rows.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
     b = blocks.rows.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     return pairs.join(a, "a").join(b, "b")

@@ -47,24 +47,28 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(as_column(text)), r"[^\p{L}]+"), lambda w: w != "")
 
 
+SMALL_LEXICON = 200_000
+
+
 def lexicon_sentiment(df: DataFrame, id_column: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean polarity and subjectivity of the known words per id; ids without any get zeros.
 
-    lexicon: word, polarity, subjectivity. Tokens are counted per (id, word) before the join, so one
-    long text or one very common word is combined on the map side.
+    lexicon: word, polarity, subjectivity. A lexicon of up to SMALL_LEXICON words is sent to every task and
+    the sums leave each task once per text. A larger one is joined by shuffle, and then tokens are counted
+    per (id, word) first, so a very common word is combined on the map side.
     """
-    counted = (
-        df.select(id_column, F.explode(tokens(text)).alias("word"))
-        .groupBy(id_column, "word")
-        .agg(F.count("*").alias("_n"))
-    )
-    known = counted.join(lexicon.select("word", "polarity", "subjectivity"), "word")
-    scores = known.groupBy(id_column).agg(
+    scores = lexicon.select("word", "polarity", "subjectivity")
+    words_of = df.select(id_column, F.explode(tokens(text)).alias("word"))
+    if scores.limit(SMALL_LEXICON + 1).count() <= SMALL_LEXICON:
+        known = words_of.join(F.broadcast(scores), "word").withColumn("_n", F.lit(1))
+    else:
+        known = words_of.groupBy(id_column, "word").agg(F.count("*").alias("_n")).join(scores, "word")
+    means = known.groupBy(id_column).agg(
         (F.sum(F.col("polarity") * F.col("_n")) / F.sum("_n")).alias("_polarity"),
         (F.sum(F.col("subjectivity") * F.col("_n")) / F.sum("_n")).alias("_subjectivity"),
     )
     return (
-        df.join(scores, id_column, "left")
+        df.join(means, id_column, "left")
         .withColumn("sentiment_polarity", F.coalesce("_polarity", F.lit(0.0)))
         .withColumn("sentiment_subjectivity", F.coalesce("_subjectivity", F.lit(0.0)))
         .drop("_polarity", "_subjectivity")

@@ -96,7 +96,9 @@ def customer_behaviour(
     )
     filled = ["avg_review_score", "avg_delivery_days"]
     if fills is None:
-        fills = medians(table, filled)
+        # The table is read for the medians and again for the result; it stays persisted with the result.
+        table = table.persist()
+        fills = medians(table, filled, keep=False)
     ready = {c: F.coalesce(F.col(c), F.lit(fills[c])) for c in filled if fills.get(c) is not None}
     return table.withColumns({**ready, **rfm_ratios()})
 

@@ -1,7 +1,7 @@
 """The denormalising join chain and small joins around it.
 
-No broadcast is forced: lookups are joined plainly, and the planner broadcasts a side when its measured
-size is under the session threshold, else it shuffles (with skew splitting).
+A lookup is broadcast only after its rows were counted up to a limit; a larger one is joined by shuffle,
+with skew splitting by the session.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.functions.geo import great_circle_km, region_of, same_place
+from shopsight.session import together
 
 
 def payments_per_order(payments: DataFrame, key: str = "order_id") -> DataFrame:
@@ -40,8 +41,18 @@ def left_join(
     return left.join(right, on, "left")
 
 
+LOOKUP_ROWS = 500_000
+
+
+def sized_lookups(lookups: Mapping[str, DataFrame], rows: int = LOOKUP_ROWS) -> dict[str, DataFrame]:
+    """Mark those with at most `rows` rows for broadcast; counting stops just above, all at the same time."""
+    frames = list(lookups.values())
+    counts = together(frames[0].sparkSession, lambda df: df.limit(rows + 1).count(), frames)
+    return {n: F.broadcast(df) if c <= rows else df for (n, df), c in zip(lookups.items(), counts)}
+
+
 def join_steps(tables: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, str]]:
-    """(step name, table joined, key) in join order; payments and categories are reduced beforehand."""
+    """(step name, table joined, key) in reporting order; payments and categories are reduced beforehand."""
     products = left_join(tables["products"], tables["category_translation"], "product_category_name")
     return [
         ("order_items", tables["order_items"], "order_id"),
@@ -54,12 +65,23 @@ def join_steps(tables: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, st
 
 
 def merge_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Orders with items, products, customers, sellers, reviews and payments: every order is kept."""
+    """Orders with items, products, customers, sellers, reviews and payments: every order is kept.
+
+    Left joins on columns of the left side can be taken in any order. Those on the order id come first and
+    share one partitioning by it; the lookups follow, without a further shuffle while they are small.
+    """
+    steps = {name: (table, key) for name, table, key in join_steps(tables)}
     merged = tables["orders"]
-    for name, table, key in join_steps(tables):
+    for name in ("reviews", "payments", "order_items"):
+        merged = left_join(merged, *steps[name])
+    for name, table in sized_lookups({n: steps[n][0] for n in ("products", "customers", "sellers")}).items():
+        key = steps[name][1]
         suffixes = ("_customer", "_seller") if name == "sellers" else ("_x", "_y")
-        merged = left_join(merged, table, key, suffixes)
-    return merged
+        left, right = suffix_clashes(merged, table, key, suffixes)
+        merged = left.join(right, key, "left")
+    order = [c for df in (tables["orders"], *(steps[n][0] for n in steps)) for c in df.columns]
+    first = [c for c in dict.fromkeys(order) if c in merged.columns]
+    return merged.select(*first, *[c for c in merged.columns if c not in first])
 
 
 def merge_audit(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -203,19 +203,27 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, multiplier
     )
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair i < j over the rows where both are known, in one aggregation."""
+def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, per_pass: int = 200) -> DataFrame:
+    """Pearson correlation of every pair i < j over the rows where both are known.
+
+    One aggregation takes up to `per_pass` pairs; more columns take more passes, not a larger one.
+    """
     columns = list(columns or numeric_columns(df))
-    x = {c: finite(c) for c in columns}
+    clean = df.select(*[finite(c).alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, correlation double")
-    wide = df.agg(*[F.corr(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    items = [
-        F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*items)))
+    out = None
+    for start in range(0, len(pairs), per_pass):
+        chunk = pairs[start : start + per_pass]
+        wide = clean.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(chunk)])
+        items = [
+            F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"r{i}").alias("correlation"))
+            for i, (a, b) in enumerate(chunk)
+        ]
+        rows = wide.select(F.inline(F.array(*items)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
@@ -226,9 +234,9 @@ def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, thres
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation of every other numeric column with the target, strongest first."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    y = finite(target)
-    facts = {c: {"correlation": F.corr(finite(c), y)} for c in columns}
-    return _exploded(df, facts, "feature").orderBy(F.abs("correlation").desc_nulls_last(), "feature")
+    clean = df.select(*[finite(c).alias(c) for c in [*columns, target]])
+    facts = {c: {"correlation": F.corr(c, target)} for c in columns}
+    return _exploded(clean, facts, "feature").orderBy(F.abs("correlation").desc_nulls_last(), "feature")
 
 
 def temporal_range(df: DataFrame, ts: str = "order_purchase_timestamp") -> DataFrame:

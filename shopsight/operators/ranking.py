@@ -152,17 +152,28 @@ def quantile_table(
     return exact if not by else out.unionByName(exact)
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list | None]:
-    """Fitted quantiles on the driver: one short list per column."""
+def quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], keep: bool = True
+) -> dict[str, list | None]:
+    """Fitted quantiles on the driver: one short list per column.
+
+    Exact quantiles take several passes. With `keep` the columns asked for (only those) are kept meanwhile,
+    so that a frame built by joins is not built again per pass; a plain scan does not need it.
+    """
     columns = list(columns)
     if not columns:
         return {}
-    got = {r["column"]: r["q"] for r in quantile_table(df, columns, probs).collect()}
+    narrow = df.select(*columns)
+    if keep:
+        narrow = narrow.persist()
+    got = {r["column"]: r["q"] for r in quantile_table(narrow, columns, probs).collect()}
+    if keep:
+        narrow.unpersist()
     return {c: got.get(c) for c in columns}
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    return {c: (q[0] if q else None) for c, q in quantiles(df, columns, [0.5]).items()}
+def medians(df: DataFrame, columns: Sequence[str], keep: bool = True) -> dict[str, float | None]:
+    return {c: (q[0] if q else None) for c, q in quantiles(df, columns, [0.5], keep).items()}
 
 
 def _range_index(df: DataFrame, source: str, bounds: Sequence[float], target: str) -> DataFrame:
@@ -230,15 +241,19 @@ def running_totals(
             .agg(F.percentile_approx("_k2", probs, max(ACCURACY, 10 * ranges)).alias("q"))
             .collect()
         )
-        heavy = {r["_k1"]: sorted(set(r["q"])) for r in found}
+        # A value met c times among the cuts holds about c ranges of rows and is cut about c times.
+        times = Counter(cuts)
+        heavy = {r["_k1"]: sorted(set(r["q"][:: max(1, len(r["q"]) // times[r["_k1"]])])) for r in found}
     frame = _range_index(frame, "_k1", bounds, "_r1") if bounds else frame.withColumn("_r1", F.lit(0.0))
-    second = F.lit(0)
     if heavy:
         # A heavy value v opens range [v, next): rows equal to v come first, cut by _k2; the rest follow.
-        table = F.create_map(*[x for v, q in heavy.items() for x in (F.lit(v), F.array(*[F.lit(z) for z in q]))])
-        cut = F.element_at(table, F.col("_k1"))
-        second = F.when(cut.isNotNull(), F.size(F.filter(cut, lambda b: b <= F.col("_k2")))).otherwise(ranges + 1)
-    frame = frame.withColumn("_r2", second)
+        # The table has at most one row per range.
+        table = df.sparkSession.createDataFrame(list(heavy.items()), "_k1 double, _cut array<double>")
+        frame = frame.join(F.broadcast(table), "_k1", "left")
+        place = F.size(F.filter("_cut", lambda b: b <= F.col("_k2")))
+        frame = frame.withColumn("_r2", F.when(F.col("_cut").isNotNull(), place).otherwise(ranges + 1)).drop("_cut")
+    else:
+        frame = frame.withColumn("_r2", F.lit(0))
     for name, expr in sums.items():
         frame = frame.withColumn(f"_v_{name}", as_column(expr))
     part = [*within, "_r1", "_r2"]

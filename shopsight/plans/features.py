@@ -137,11 +137,11 @@ class FeatureModel:
         """Several small aggregations over the columns they need, which are kept for the time being."""
         narrow = train.select(*FITTED_COLUMNS).persist()
         distances = attach_coordinates(narrow, self.geo).select(distance_column().alias("km"))
-        self.median_km = medians(distances, ["km"])["km"]
+        self.median_km = medians(distances, ["km"], keep=False)["km"]
         self.overall = price_moments(narrow)
         self.stats = category_price_stats(narrow).persist()
         self.customers = customer_behaviour(narrow, reference).persist()
-        self.rfm_fill = medians(self.customers, RFM_FEATURES)
+        self.rfm_fill = medians(self.customers, RFM_FEATURES, keep=False)
         self.stats.count()
         narrow.unpersist()
         return self

@@ -54,9 +54,12 @@ def mean_coordinates(geolocation: DataFrame) -> DataFrame:
     )
 
 
-def read_parquet_table(spark: SparkSession, uri: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A parquet table with instants as TIMESTAMP, optionally only some columns."""
-    df = spark.read.parquet(uri)
+def read_parquet_table(
+    spark: SparkSession, uri: str, columns: Sequence[str] | None = None, schema: str | None = None
+) -> DataFrame:
+    """A parquet table with instants as TIMESTAMP, optionally only some columns or with a known schema."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(uri)
     if columns:
         df = df.select(*columns)
     ntz = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
