@@ -184,11 +184,11 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, multiplier
         spread = q3 - q1
         low, high = q1 - multiplier * spread, q3 + multiplier * spread
         facts[c] = {
-            "Q1": F.lit(round(q1, 2)),
-            "Q3": F.lit(round(q3, 2)),
-            "IQR": F.lit(round(spread, 2)),
-            "lower_bound": F.lit(round(low, 2)),
-            "upper_bound": F.lit(round(high, 2)),
+            "Q1": F.round(F.lit(q1), 2),
+            "Q3": F.round(F.lit(q3), 2),
+            "IQR": F.round(F.lit(spread), 2),
+            "lower_bound": F.round(F.lit(low), 2),
+            "upper_bound": F.round(F.lit(high), 2),
             "outliers_low": F.count_if(F.col(c) < low),
             "outliers_high": F.count_if(F.col(c) > high),
             "values": F.count(c),
