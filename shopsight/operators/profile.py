@@ -143,6 +143,11 @@ def corrected_kurtosis(x: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g + 6))
 
 
+def _two_digits(value: float | None) -> Column:
+    """A fitted number at two digits, rounded as hundredths."""
+    return F.round(F.lit(value).cast("double") * 100) / 100
+
+
 def regression_target(df: DataFrame, target: str = "delivery_days") -> DataFrame:
     """Distribution of a numeric target: moments, quartile bounds, outliers, whether to transform it."""
     clean = df.select(F.col(target).alias("raw"), finite(target).alias("x"))
@@ -163,14 +168,13 @@ def regression_target(df: DataFrame, target: str = "delivery_days") -> DataFrame
     )
     round2 = {c: F.round(c, 2) for c in ("mean", "std", "min", "max", "skewness", "kurtosis")}
     share = F.try_divide(F.col("outliers_count"), F.col("total_samples"))
-    number = lambda v: F.round(F.lit(v).cast("double"), 2)
     return row.withColumns(
         {
             "needs_transform": F.abs("skewness") > 1,
             "outliers_pct": F.round(share * 100, 2),
-            "median": number(median),
-            "iqr_lower": number(low),
-            "iqr_upper": number(high),
+            "median": _two_digits(median),
+            "iqr_lower": _two_digits(low),
+            "iqr_upper": _two_digits(high),
         }
     ).withColumns(round2)
 
@@ -184,11 +188,11 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, multiplier
         spread = q3 - q1
         low, high = q1 - multiplier * spread, q3 + multiplier * spread
         facts[c] = {
-            "Q1": F.round(F.lit(q1), 2),
-            "Q3": F.round(F.lit(q3), 2),
-            "IQR": F.round(F.lit(spread), 2),
-            "lower_bound": F.round(F.lit(low), 2),
-            "upper_bound": F.round(F.lit(high), 2),
+            "Q1": _two_digits(q1),
+            "Q3": _two_digits(q3),
+            "IQR": _two_digits(spread),
+            "lower_bound": _two_digits(low),
+            "upper_bound": _two_digits(high),
             "outliers_low": F.count_if(F.col(c) < low),
             "outliers_high": F.count_if(F.col(c) > high),
             "values": F.count(c),
