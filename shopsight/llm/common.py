@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shopsight.session import scratch_uri
 
 BATCH_ROWS = 256
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 800_000
 MEMO_WORD_BYTES = 64
 
 
@@ -81,7 +81,7 @@ JOINED_PARTS = 500
 class Memo(dict):
     """word -> made(word), in two generations of at most `entries` words; long words are not kept."""
 
-    def __init__(self, made: Callable, entries: int = MEMO_ENTRIES, longest: int = MEMO_WORD_BYTES):
+    def __init__(self, made: Callable, entries: int = MEMO_ENTRIES // 2, longest: int = MEMO_WORD_BYTES):
         super().__init__()
         self.made, self.entries, self.longest, self.older = made, entries, longest, {}
 
@@ -131,7 +131,7 @@ class WordEncoder:
         return cls._open[path]
 
     def _library(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
     def _encode_parts(self, parts: list[bytes]) -> None:
         """Ids of new parts, many in one call: a sign between them, which they don't have, shows where each ends."""
@@ -158,10 +158,10 @@ class WordEncoder:
         cut = [self._cut(t) for t in texts]
         if len(self.memo) > MEMO_ENTRIES:
             self.memo, self.older = {}, self.memo
-        need = set().union(*cut) - self.memo.keys()
-        known = need & self.older.keys()
-        self.memo.update((p, self.older[p]) for p in known)
-        new = sorted(need - known)
+        memo, older = self.memo, self.older
+        need = [p for p in set().union(*cut) if p not in memo]
+        memo.update((p, older[p]) for p in need if p in older)
+        new = [p for p in need if p not in memo]
         self._encode_parts(new)
         out = [b"".join(map(self.memo.__getitem__, parts)) for parts in cut]
         for p in new:
