@@ -244,7 +244,7 @@ _NOISY = "WITH e AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS x FROM e
     + """ SELECT 'classes' AS name, (SELECT count(DISTINCT label) FROM e) AS n_clusters,
       (SELECT count(*) FROM embeddings WHERE label = 0) AS n_noise,
       round((SELECT avg((b - a) / greatest(a, b)) FROM sil), 4) AS silhouette,
-      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error FROM db, ch""",
+      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error, 'exact' AS measure FROM db, ch""",
 )
 def evaluate(spark, sf):
     noisy = _embeddings(spark, sf).withColumn("cluster", F.when(F.col("cluster") == 0, -1).otherwise(F.col("cluster")))
@@ -256,9 +256,9 @@ def evaluate(spark, sf):
     _E + _EXACT + _CENTROIDS
     + """ SELECT 'classes' AS name, (SELECT count(DISTINCT label) FROM e) AS n_clusters, 0::BIGINT AS n_noise,
       round((SELECT avg((b - a) / greatest(a, b)) FROM sil), 4) AS silhouette,
-      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error FROM db, ch
-    UNION ALL SELECT 'one', 1, 0, NULL, NULL, NULL, 'Less than 2 clusters'
-    UNION ALL SELECT 'noise', 0, (SELECT count(*) FROM e), NULL, NULL, NULL, 'Less than 2 clusters'""",
+      round(db, 4) AS davies_bouldin, round(ch, 4) AS calinski_harabasz, NULL AS error, 'exact' AS measure FROM db, ch
+    UNION ALL SELECT 'one', 1, 0, NULL, NULL, NULL, 'Less than 2 clusters', 'exact'
+    UNION ALL SELECT 'noise', 0, (SELECT count(*) FROM e), NULL, NULL, NULL, 'Less than 2 clusters', 'exact'""",
 )
 def compare(spark, sf):
     df = _embeddings(spark, sf).withColumns({"same": F.lit(5), "none": F.lit(-1)}).persist()

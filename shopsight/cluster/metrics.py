@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from shopsight.cluster.blocks import BLOCK_ROWS, all_pairs, as_points, distances, make_blocks, on_pairs, paired
 from shopsight.session import together
 
-# Above this many rows the exact silhouette (work grows with the square) gives way to the closed form.
-EXACT_ROWS = 200_000
+# The closed form over squared distances, whatever the number of rows; 'exact' needs work that grows with its square.
+MEASURES = ("squared", "exact")
 REPORT = (
     "name string, n_clusters long, n_noise long, silhouette double, davies_bouldin double, "
-    "calinski_harabasz double, error string"
+    "calinski_harabasz double, error string, measure string"
 )
 
 
@@ -149,22 +149,21 @@ def evaluate_labels(
     id_column: str,
     label: str = "cluster",
     features: str = "features",
-    silhouette: str = "auto",
+    silhouette: str = "squared",
 ) -> DataFrame:
-    """One row of quality measures. silhouette: 'exact', 'squared', or 'auto' (by number of rows)."""
+    """One row of quality measures; `silhouette` is one of MEASURES and stands in the column measure."""
+    if silhouette not in MEASURES:
+        raise ValueError(f"silhouette is one of {MEASURES}")
     spark = df.sparkSession
     kept = df.where(F.col(label) != -1)
     row = df.agg(
         F.count_distinct(F.when(F.col(label) != -1, F.col(label))).alias("k"),
         F.count_if(F.col(label) == -1).alias("noise"),
-        F.count_if(F.col(label) != -1).alias("n"),
     ).first()
     if row["k"] < 2:
         return spark.createDataFrame(
-            [(name, row["k"], row["noise"], None, None, None, "Less than 2 clusters")], REPORT
+            [(name, row["k"], row["noise"], None, None, None, "Less than 2 clusters", silhouette)], REPORT
         )
-    if silhouette == "auto":
-        silhouette = "exact" if row["n"] <= EXACT_ROWS else "squared"
     if silhouette == "exact":
         score = exact_silhouette(kept, id_column, label, features)
     else:
@@ -178,6 +177,7 @@ def evaluate_labels(
         davies_bouldin(centroids),
         calinski_harabasz(centroids),
         None,
+        silhouette,
     )
     centroids.unpersist()
     return spark.createDataFrame([out], REPORT)
@@ -188,7 +188,7 @@ def compare_methods(
     labels: Mapping[str, str],
     id_column: str,
     features: str = "features",
-    silhouette: str = "auto",
+    silhouette: str = "squared",
     threads: int = 4,
 ) -> DataFrame:
     """Quality of several label columns of one frame, one row per method, evaluated as concurrent jobs."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
 from shopsight.cluster.metrics import (
-    EXACT_ROWS,
+    MEASURES,
     calinski_harabasz,
     centroid_table,
     davies_bouldin,
@@ -53,24 +53,25 @@ def sweep_kmeans(
     ks: Iterable[int] = range(2, 11),
     seed: int = 42,
     restarts: int = 10,
-    silhouette: str = "auto",
+    silhouette: str = "squared",
     threads: int = 4,
 ) -> DataFrame:
-    """k, inertia, silhouette, davies_bouldin, calinski_harabasz for each k."""
-    exact = silhouette == "exact" or (silhouette == "auto" and vectors.count() <= EXACT_ROWS)
+    """k, inertia, silhouette (by the given measure), davies_bouldin, calinski_harabasz and measure for each k."""
+    if silhouette not in MEASURES:
+        raise ValueError(f"silhouette is one of {MEASURES}")
 
     def once(k: int) -> tuple:
         model = fit_kmeans(vectors, k, seed, restarts, threads=1)
         labelled = model.transform(vectors).withColumnRenamed("prediction", "cluster").persist()
-        score = exact_silhouette(labelled, id_column) if exact else squared_silhouette(labelled)
+        score = exact_silhouette(labelled, id_column) if silhouette == "exact" else squared_silhouette(labelled)
         centroids = centroid_table(labelled).persist()
-        row = (k, float(model.summary.trainingCost), score, davies_bouldin(centroids), calinski_harabasz(centroids))
+        row = (k, float(model.summary.trainingCost), score, davies_bouldin(centroids), calinski_harabasz(centroids), silhouette)
         centroids.unpersist()
         labelled.unpersist()
         return row
 
     rows = together(vectors.sparkSession, once, list(ks), threads)
-    schema = "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double"
+    schema = "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double, measure string"
     return vectors.sparkSession.createDataFrame(rows, schema)
 
 

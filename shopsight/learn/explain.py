@@ -11,9 +11,11 @@ from shopsight.learn.models import scored
 from shopsight.operators.ranking import global_rank
 
 
-def sample_rows(df: DataFrame, id_column: str, n: int = 5000, seed: int = 42) -> DataFrame:
-    """At most n rows, the ones with the smallest hash."""
-    return df.orderBy(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), id_column).limit(n)
+def sample_rows(df: DataFrame, id_column: str, share: float = 1.0, seed: int = 42) -> DataFrame:
+    """All rows, or the asked share of them by a hash of the id; no row count decides."""
+    if share >= 1:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
 def mean_background(df: DataFrame, features: str = "features") -> list[float]:

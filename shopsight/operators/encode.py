@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.functions.values import finite
@@ -73,19 +75,19 @@ def robust_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass
 class OneHot:
-    """One 0/1 column per level seen in training, levels in order; null counts as 'unknown'."""
+    """One 0/1 column per level seen in training, levels in order; null counts as 'unknown'.
+
+    Columns are for people: their number is that of the levels. `fit_preprocessor` encodes any number of levels
+    as one sparse vector.
+    """
 
     columns: Sequence[str]
     levels: dict[str, list[str]] = field(default_factory=dict)
-    max_levels: int = 10_000
 
     def fit(self, df: DataFrame) -> OneHot:
         for c in self.columns:
             seen = df.select(F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("v")).distinct()
-            found = sorted(r["v"] for r in seen.limit(self.max_levels + 1).collect())
-            if len(found) > self.max_levels:
-                raise ValueError(f"'{c}' has over {self.max_levels} levels; use frequency or target encoding")
-            self.levels[c] = found
+            self.levels[c] = sorted(r["v"] for r in seen.collect())
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -174,17 +176,36 @@ def drop_correlated(df: DataFrame, columns: Sequence[str], threshold: float = 0.
 
 
 def principal_plane(vectors: DataFrame, k: int = 2, features: str = "features") -> tuple[DataFrame, list[float]]:
-    """Projection on the first k components (of data centred beforehand) and their variance shares."""
-    model = PCA(k=k, inputCol=features, outputCol="components").fit(vectors)
-    return model.transform(vectors), [float(v) for v in model.explainedVariance]
+    """Centred rows on the first k components (column components) and the components' variance shares.
+
+    The covariance is gathered in one distributed pass (its size is that of the features squared) and split on the
+    driver; a component's largest loading is positive, so that the result has one sign.
+    """
+    stats = vectors.agg(Summarizer.metrics("mean", "std").summary(F.col(features)).alias("s")).first()["s"]
+    mean, deviation = stats["mean"].toArray(), stats["std"].toArray()
+    correlation = np.nan_to_num(Correlation.corr(vectors, features).first()[0].toArray())
+    np.fill_diagonal(correlation, 1.0)
+    values, loadings = np.linalg.eigh(correlation * np.multiply.outer(deviation, deviation))
+    order = np.argsort(-values)[:k]
+    axes = []
+    for column in order:
+        axis = loadings[:, column]
+        axes.append(axis * np.sign(axis[np.abs(axis).argmax()]))
+    x = vector_to_array(features)
+    dot = lambda axis: F.aggregate(
+        F.zip_with(x, F.lit([float(v) for v in axis]), lambda a, b: a * b), F.lit(-float(mean @ axis)), lambda s, v: s + v
+    )
+    projected = vectors.withColumn("components", array_to_vector(F.array(*[dot(axis) for axis in axes])))
+    total = float(values.sum()) or 1.0
+    return projected, [float(values[c]) / total for c in order]
 
 
 def frequency_encoded(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     """Share of rows holding the value."""
     counts = df.groupBy(column).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_all"))
-    shares = counts.join(total).select(column, (F.col("_n") / F.col("_all")).alias(output or f"{column}_frequency"))
-    return df.join(shares, column, "left")
+    shares = counts.join(total).select(F.col(column).alias("_value"), (F.col("_n") / F.col("_all")).alias(output or f"{column}_frequency"))
+    return df.join(shares, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 
 def target_encoding(df: DataFrame, column: str, target: str, smoothing: float = 10.0) -> DataFrame:

@@ -25,35 +25,69 @@ ROWS_PER_RANGE = 1_000_000
 ACCURACY = 10_000
 
 
-def _brackets(df: DataFrame, key: str, spots: Mapping[int, float]) -> dict[int, tuple]:
-    """An approximate (low, high) around each relative position; None means open."""
-    margin = 4.0 / ACCURACY
-    if isinstance(df.schema[key].dataType, T.StringType):
-        sample = [r[0] for r in df.select(key).orderBy(F.rand(17)).limit(2_000).collect()]
-        sample.sort()
-        margin = 0.06
-        pick = lambda p: sample[min(len(sample) - 1, int(p * len(sample)))]
-        return {
-            r: (pick(p - margin) if p > margin else None, pick(p + margin) if p < 1 - margin else None)
-            for r, p in spots.items()
-        }
-    probs = [q for p in spots.values() for q in (max(0.0, p - margin), min(1.0, p + margin))]
-    found = df.agg(F.percentile_approx(key, probs, ACCURACY).alias("q")).first()["q"]
-    out = {}
-    for i, (r, p) in enumerate(spots.items()):
-        out[r] = (found[2 * i] if p > margin else None, found[2 * i + 1] if p < 1 - margin else None)
-    return out
+def _text_bounds(df: DataFrame, key: str, spot: float) -> tuple:
+    """Values some way below and above a relative position, from a small sample; None means open."""
+    sample = sorted(r[0] for r in df.select(key).orderBy(F.rand(17)).limit(2_000).collect())
+    margin = 0.06
+    pick = lambda p: sample[min(len(sample) - 1, int(p * len(sample)))]
+    return (pick(spot - margin) if spot > margin else None, pick(spot + margin) if spot < 1 - margin else None)
 
 
 def _inside(key: Column, low, high) -> Column:
+    """Strictly between the bounds: a bound's own value was counted when it was set."""
     tests = []
     if low is not None:
-        tests.append(key >= F.lit(low))
+        tests.append(key > F.lit(low))
     if high is not None:
-        tests.append(key <= F.lit(high))
+        tests.append(key < F.lit(high))
     return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
+def _narrowed(values: DataFrame, state: Mapping[int, tuple], wide: Sequence[int]) -> tuple[dict[int, tuple], dict[int, tuple]]:
+    """(answers, new brackets) of the ranks in `wide`, whose brackets hold too many values.
+
+    New bounds are values that occur inside the old bracket. A rank that falls on one is answered; else the bound
+    is left out of the new bracket, so that every round removes at least one value. All ranks share one aggregation
+    for the bounds (numbers) and one for the counts.
+    """
+    k = F.col("k")
+    inside = {r: _inside(k, *state[r][:2]) for r in wide}
+    spots = {r: (r - state[r][2]) / max(1, state[r][3] - 1) for r in wide}
+    if isinstance(values.schema["k"].dataType, T.StringType):
+        bounds = {r: _text_bounds(values.where(inside[r]), "k", spots[r]) for r in wide}
+    else:
+        margin = 4.0 / ACCURACY
+        around = lambda p: [max(0.0, p - margin), min(1.0, p + margin)]
+        found = values.agg(*[F.percentile_approx(F.when(inside[r], k), around(spots[r]), ACCURACY).alias(f"q{r}") for r in wide]).first()
+        bounds = {r: tuple(found[f"q{r}"]) for r in wide}
+    cuts = {r: sorted({b for b in bounds[r] if b is not None}) for r in wide}
+    counts = [
+        F.count_if(inside[r] & test).alias(f"{kind}{r}_{i}")
+        for r in wide
+        for i, cut in enumerate(cuts[r])
+        for kind, test in (("less", k < F.lit(cut)), ("same", k == F.lit(cut)))
+    ]
+    counted = values.agg(*counts).first() if counts else {}
+    answers, brackets = {}, {}
+    for r in wide:
+        low, high, before, rows = state[r]
+        if not cuts[r]:
+            raise AssertionError(f"no bound found for rank {r}")
+        seen = before
+        for i, cut in enumerate(cuts[r]):
+            below = before + counted[f"less{r}_{i}"]
+            if r < below:
+                brackets[r] = (low, cut, seen, below - seen)
+                break
+            seen, low = below + counted[f"same{r}_{i}"], cut
+            if r < seen:
+                answers[r] = (cut, below)
+                break
+        else:
+            brackets[r] = (low, high, seen, before + rows - seen)
+    return answers, brackets
+
+
 def order_statistics(
     df: DataFrame, key: Column | str, ranks: Sequence[int], buffer_values: int = BUFFER_VALUES
 ) -> dict[int, tuple]:
@@ -73,19 +107,10 @@ def order_statistics(
             wide = [r for r in state if distinct[f"d{r}"] > buffer_values]
         else:
             wide = []
-        for r in wide:
-            low, high, before, rows = state[r]
-            part = values.where(_inside(k, low, high))
-            spot = (r - before) / max(1, rows - 1)
-            new_low, new_high = _brackets(part, "k", {r: spot})[r]
-            new_low = low if new_low is None else new_low
-            new_high = high if new_high is None else new_high
-            below = (k < F.lit(new_low)) if new_low is not None else F.lit(False)
-            counted = values.agg(
-                F.count_if(below).alias("before"), F.count_if(_inside(k, new_low, new_high)).alias("rows")
-            ).first()
-            if counted["before"] <= r < counted["before"] + counted["rows"]:
-                state[r] = (new_low, new_high, counted["before"], counted["rows"])
+        if wide:
+            answers, brackets = _narrowed(values, state, wide)
+            answer.update(answers)
+            state = {r: brackets.get(r, s) for r, s in state.items() if r not in answers}
         for r in [r for r in state if r not in wide]:
             low, high, before, _ = state.pop(r)
             counts = values.where(_inside(k, low, high)).groupBy("k").agg(F.count("*").alias("n"))

@@ -53,7 +53,7 @@ def segment_customers(
     restarts: int = 10,
     mixture_restarts: int = 5,
     sweep_mixtures: bool = True,
-    silhouette: str = "auto",
+    silhouette: str = "squared",
 ) -> Segmentation:
     """k None takes the silhouette's best; K-Means is the method that names the segments."""
     prep = fit_cluster_prep(customers)

@@ -80,3 +80,12 @@ def test_running_totals_within_groups(spark, rows_per_range):
     out = R.running_totals(df, ["x", "id"], {"t": "id"}, ["g"], rows_per_range=rows_per_range).toPandas()
     out = out.sort_values(["g", "x", "id"])
     assert (out.groupby("g").id.cumsum() == out.t).all()
+
+
+def test_a_rank_between_two_heavy_values_is_found(spark):
+    rows = [(0.0,)] * 10_000 + [(0.1 + i / 10,) for i in range(6)] + [(1.0,)] * 10_000
+    df = spark.createDataFrame(rows, "x double").repartition(4)
+    ordered = sorted(r[0] for r in rows)
+    ranks = [0, 9_999, 10_000, 10_002, 10_005, 10_006, 20_005]
+    got = R.order_statistics(df, "x", ranks, buffer_values=3)
+    assert got == {r: (ordered[r], ordered.index(ordered[r])) for r in ranks}
