@@ -165,15 +165,14 @@ def judged(docs: DataFrame, keep: list[str] | None = None, threshold: float = TH
 
 
 def kept_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` that are kept, with all their columns: measured once for the model, once to filter.
+    """The rows of `docs` that are kept, with all their columns.
 
-    The base test is one of the keys that meet the list of kept vote patterns, in an inner join (a pattern occurs once
-    there): a filter or a semi-join would be moved below the measures and compute them again.
+    Rows are written with their votes: each text is measured once, and neither the model nor the filter goes back
+    to the measures.
     """
-    model = vote_model(stored(votes(measures(docs, [])), "votes"))
-    kept = model.where(F.col("posterior") >= threshold).drop("posterior").withColumn("_failed", F.lit(False))
     names = docs.columns
-    boxed = docs.select("text", F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"))
-    measured = votes(measures(boxed, ["_row"])).withColumn("_failed", F.coalesce(_base_failed(), F.lit(True)))
-    passed = measured.join(F.broadcast(kept), [*(f"v_{name}" for name in VOTES), "_failed"])
-    return passed.select(*[F.col("_row")[n].alias(n) for n in names])
+    boxed = docs.select("text", F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).alias("_row"))
+    voted = stored(votes(measures(boxed, ["_row"])).withColumn("_failed", _base_failed()), "voted-rows")
+    kept = vote_model(voted).where(F.col("posterior") >= threshold).drop("posterior")
+    passed = voted.where(~F.col("_failed")).join(F.broadcast(kept), [f"v_{name}" for name in VOTES], "left_semi")
+    return passed.select(*[F.col("_row")[f"c{i}"].alias(n) for i, n in enumerate(names)])
