@@ -30,6 +30,7 @@ ROUNDS = 25
 START_ALARM, START_FALSE_ALARM, START_SHARE = 0.3, 0.001, 0.8
 SMOOTHING = 1.0
 BLANK = r"[\x20\x09-\x0D]+"
+VOTES = ["symbols", "marks", "lines", "repeats", "word_length", "capitals", "cries", "sentences"]
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -110,9 +111,6 @@ def rules() -> dict[str, Column]:
     }
 
 
-VOTES = list(rules())
-
-
 def votes(measured: DataFrame) -> DataFrame:
     """`measured` with one column v_<rule> for each vote."""
     return measured.withColumns({f"v_{name}": vote for name, vote in rules().items()})
