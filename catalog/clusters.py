@@ -65,7 +65,20 @@ def preparation(spark, sf):
 @query("m1_kmeans")
 def kmeans(spark, sf):
     vectors = _vectors(spark, sf)
-    return fit_kmeans(vectors, 4, restarts=3).transform(vectors).groupBy("prediction").agg(F.count("*").alias("n"))
+    return fit_kmeans(vectors, 4).transform(vectors).groupBy("prediction").agg(F.count("*").alias("n"))
+
+
+@query("m1_kmeans_assignment", W + " SELECT count(*) AS customers, 4 AS clusters, 0 AS misplaced FROM cust")
+def kmeans_assignment(spark, sf):
+    """Every customer is in the cluster of the nearest fitted centre, and no cluster is empty."""
+    vectors = _vectors(spark, sf)
+    model = fit_kmeans(vectors, 4)
+    both = assign_to_centres(model.transform(vectors), [[float(v) for v in c] for c in model.clusterCenters()])
+    return both.agg(
+        F.count("*").alias("customers"),
+        F.count_distinct("prediction").cast("int").alias("clusters"),
+        F.count_if(F.col("prediction") != F.col("cluster")).cast("int").alias("misplaced"),
+    )
 
 
 _CENTRES = [[-1.0] * 6, [0.0] * 6, [1.0] * 6]
@@ -165,9 +178,16 @@ def ward(spark, sf):
     return hierarchical(_vectors(spark, sf), "id", 4).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
+@query("m5_hierarchical_rows", W + " SELECT count(*) AS customers, 4 AS clusters FROM cust")
+def ward_rows(spark, sf):
+    """Every customer has one of the clusters asked for."""
+    labelled = hierarchical(_vectors(spark, sf), "id", 4)
+    return labelled.agg(F.count("cluster").alias("customers"), F.count_distinct("cluster").cast("int").alias("clusters"))
+
+
 @query("m5_linkage")
 def linkage(spark, sf):
-    return rounded(linkage_table(_embeddings(spark, sf), "id", m=200))
+    return rounded(linkage_table(_embeddings(spark, sf), "id"))
 
 
 @query("m6_mixture")
@@ -317,7 +337,7 @@ def score(spark, sf):
     customers = _customers(spark, sf)
     train = customers.where(F.col("recency") > 100)
     prep = fit_cluster_prep(train)
-    model = fit_kmeans(prep.transform(train).select("features").persist(), 3, restarts=2)
+    model = fit_kmeans(prep.transform(train).select("features").persist(), 3)
     return score_customers(customers, prep, model).select("customer_unique_id", "cluster_id")
 
 

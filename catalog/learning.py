@@ -71,15 +71,52 @@ def weights(spark, sf):
     return rounded(L.class_weights(bindings.table(spark, sf, "labels"), "quality"))
 
 
+def _parts(spark, sf):
+    """Four fifths of the documents to learn from and one to judge on, dealt by id within each class."""
+    df = stratified_folds(_documents(spark, sf), "doc_id", "label", seed=None).persist()
+    return df.where("fold < 4"), df.where("fold = 4")
+
+
+def _held_out(spark, sf, estimator):
+    """Held-out documents, scored by a model of the others."""
+    train, held = _parts(spark, sf)
+    prep = fit_preprocessor(train, _NUMERIC, _CATEGORICAL, _BINARY)
+    rows = L.with_weights(prep.transform(train).select("features", "label")).persist()
+    return L.scored(estimator(rows).fit(rows), prep.transform(held).select("doc_id", "features", "label"))
+
+
 def _judged(spark, sf, estimator, name):
-    _, _, rows = _prepared(spark, sf)
-    model = estimator(rows).fit(rows)
-    return rounded(M.evaluate_classifier(L.scored(model, rows), name))
+    return rounded(M.evaluate_classifier(_held_out(spark, sf, estimator), name))
+
+
+def _valid(spark, sf, estimator):
+    """Held-out documents, those without a class and a score in 0..1, and whether the ranking beats chance."""
+    found = _held_out(spark, sf, estimator).persist()
+    sound = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0, 1)
+    sizes = found.agg(F.count("*").alias("documents"), (F.count("*") - F.count_if(sound)).alias("off"))
+    return sizes.join(M.evaluate_classifier(found, "model").select((F.col("roc_auc") > 0.5).alias("better")))
+
+
+_VALID = """SELECT count(*) AS documents, 0::BIGINT AS off, true AS better FROM (
+  SELECT row_number() OVER (PARTITION BY quality ORDER BY doc_id) AS place FROM labels JOIN documents USING (doc_id)) WHERE (place - 1) % 5 = 4"""
+
+
+def _logistic(rows):
+    return L.logistic_regression(rows.count())
+
+
+def _boosted(rows):
+    return L.boosted_trees(rounds=15, depth=4)
 
 
 @query("l3_logistic_regression")
 def logistic(spark, sf):
-    return _judged(spark, sf, lambda rows: L.logistic_regression(rows.count()), "Logistic Regression")
+    return _judged(spark, sf, _logistic, "Logistic Regression")
+
+
+@query("l3_held_out", _VALID)
+def logistic_held_out(spark, sf):
+    return _valid(spark, sf, _logistic)
 
 
 @query("l4_decision_tree")
@@ -87,21 +124,36 @@ def tree(spark, sf):
     return _judged(spark, sf, lambda rows: L.decision_tree(), "Decision Tree")
 
 
+@query("l4_held_out", _VALID)
+def tree_held_out(spark, sf):
+    return _valid(spark, sf, lambda rows: L.decision_tree())
+
+
 @query("l5_random_forest")
 def forest(spark, sf):
     return _judged(spark, sf, lambda rows: L.random_forest(), "Random Forest")
 
 
+@query("l5_held_out", _VALID)
+def forest_held_out(spark, sf):
+    return _valid(spark, sf, lambda rows: L.random_forest())
+
+
 @query("l6_boosted_trees")
 def boosted(spark, sf):
-    return _judged(spark, sf, lambda rows: L.boosted_trees(rounds=15, depth=4), "Gradient Boosting")
+    return _judged(spark, sf, _boosted, "Gradient Boosting")
+
+
+@query("l6_held_out", _VALID)
+def boosted_held_out(spark, sf):
+    return _valid(spark, sf, _boosted)
 
 
 @query("l7_cross_validation")
 def cross_validation(spark, sf):
     _, _, rows = _prepared(spark, sf)
     folded = stratified_folds(rows, "doc_id", "label").persist()
-    model = S.cross_validate(L.logistic_regression(rows.count(), max_iter=50), folded)
+    model = S.cross_validate(L.logistic_regression(rows.count()), folded)
     return rounded(S.search_report(model, rows))
 
 
@@ -212,7 +264,7 @@ def importances(spark, sf):
 @query("l13_linear_attributions")
 def linear(spark, sf):
     df, prep, rows = _prepared(spark, sf)
-    model = L.logistic_regression(rows.count(), max_iter=50).fit(rows)
+    model = L.logistic_regression(rows.count()).fit(rows)
     values = X.linear_attributions(list(model.coefficients), rows, "doc_id", X.mean_background(rows))
     return rounded(X.attribution_summary(values, feature_names(prep, df)))
 
@@ -287,7 +339,7 @@ def best(spark, sf):
     """Chosen on validation documents, then judged once on the held-out ones."""
     df = stratified_folds(_documents(spark, sf), "doc_id", "label").persist()
     train, val, test = df.where("fold < 3"), df.where("fold = 3"), df.where("fold = 4")
-    chosen = {"Logistic Regression": L.logistic_regression(train.count(), max_iter=50), "Decision Tree": L.decision_tree(depth=4)}
+    chosen = {"Logistic Regression": L.logistic_regression(train.count()), "Decision Tree": L.decision_tree()}
     trained = train_classifiers(train, val, _NUMERIC, _CATEGORICAL, _BINARY, "quality", chosen)
     name = trained.best()
     return rounded(M.evaluate_classifier(L.scored(trained.full_model(name), test), name))
@@ -334,7 +386,8 @@ def residual_summary(spark, sf):
 def batch(spark, sf):
     """Train, save, load, score all documents; documents in one language are rejected by a rule."""
     df = _documents(spark, sf).persist()
-    trained = train_classifiers(df, df, _NUMERIC, _CATEGORICAL, _BINARY, "quality", {"Decision Tree": L.decision_tree(depth=4)})
+    train, held = _parts(spark, sf)
+    trained = train_classifiers(train, held, _NUMERIC, _CATEGORICAL, _BINARY, "quality", {"Decision Tree": L.decision_tree()})
     uri = scratch_uri(spark, "model")
     save_trained(trained, "Decision Tree", uri, {"features": _NUMERIC + _CATEGORICAL + _BINARY})
     rules = [Rule("doc_id", "integer", nullable=False), Rule("lang", "string", allowed=("en", "fr", "es")), Rule("n_chars", "number", low=1)]

@@ -17,6 +17,7 @@ from shopsight.cluster.prepare import CLUSTER_FEATURES, fit_cluster_prep
 from shopsight.cluster.segments import business_labels
 from shopsight.operators.aggregates import cluster_profile, cluster_summary
 from shopsight.operators.joins import map_labels
+from shopsight.operators.ranking import global_rank
 from shopsight.session import build_session, cut_lineage
 from shopsight.sources.readers import read_parquet_table
 from shopsight.sources.writers import write_metadata, write_table
@@ -38,10 +39,14 @@ class Segmentation:
 
 
 def with_numeric_id(df: DataFrame, id_column: str) -> DataFrame:
-    """Methods that order rows need a whole-number id; other ids are replaced by a hash of them."""
-    kind = dict(df.dtypes)[id_column]
-    number = F.col(id_column).cast("long") if kind in ("bigint", "int") else F.shiftrightunsigned(F.xxhash64(id_column), 1)
-    return df.withColumn("_row", number)
+    """Methods that order rows need a whole-number id; other ids get their place in the order of a hash of them.
+
+    Ids whose hashes are equal have places of their own, so no two customers ever share a number.
+    """
+    if dict(df.dtypes)[id_column] in ("bigint", "int"):
+        return df.withColumn("_row", F.col(id_column).cast("long"))
+    hashes = [F.xxhash64(id_column), F.xxhash64(id_column, F.lit(1))]
+    return global_rank(df, [*hashes, id_column], "_row")
 
 
 def segment_customers(
@@ -57,7 +62,8 @@ def segment_customers(
 ) -> Segmentation:
     """k None takes the silhouette's best; K-Means is the method that names the segments."""
     prep = fit_cluster_prep(customers)
-    vectors = cut_lineage(prep.transform(with_numeric_id(customers, id_column)).select("_row", "features")).persist()
+    numbered = cut_lineage(with_numeric_id(customers, id_column))
+    vectors = cut_lineage(prep.transform(numbered).select("_row", "features")).persist()
     sweep = sweep_kmeans(vectors, "_row", ks, seed, restarts, silhouette)
     k = best_k(sweep) if k is None else k
     model = fit_kmeans(vectors, k, seed, restarts)
@@ -75,7 +81,7 @@ def segment_customers(
     comparison = compare_methods(every, methods, "_row", silhouette=silhouette)
 
     numbers = every.select("_row", F.col("kmeans").alias("cluster_id"))
-    named = with_numeric_id(customers, id_column).join(numbers, "_row").drop("_row")
+    named = numbered.join(numbers, "_row").drop("_row")
     summary = cluster_summary(named, "cluster_id", CLUSTER_FEATURES)
     labels = business_labels(summary, frequency="frequency", monetary="monetary")
     return Segmentation(

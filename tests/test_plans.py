@@ -7,7 +7,7 @@ from shopsight.operators.quality import DEFAULT_RULES, CleaningModel, Rule
 from shopsight.plans.features import BINARY_FEATURES, CATEGORICAL_FEATURES, NUMERICAL_FEATURES, FeatureModel, save_features
 from shopsight.plans.preparation import prepare, save_prepared
 from shopsight.plans.satisfaction import SATISFACTION_NUMERIC, train_classifiers
-from shopsight.plans.segmentation import main
+from shopsight.plans.segmentation import main, with_numeric_id
 from shopsight.sources import bindings
 from shopsight.sources.readers import mean_coordinates, read_raw_tables, read_split
 from shopsight.sources.writers import write_table
@@ -66,6 +66,14 @@ def test_segmentation_job(spark, small, tmp_path):
     assert {r.name for r in comparison.collect()} == {"K-Means", "DBSCAN", "Hierarchical", "GMM"}
 
 
+@pytest.mark.parametrize("as_text", [True, False])
+def test_rows_have_numbers_of_their_own(spark, as_text):
+    ids = spark.range(5000).select(F.concat(F.lit("c"), "id").alias("key") if as_text else F.col("id").alias("key"))
+    numbered, again = (with_numeric_id(ids, "key") for _ in range(2))
+    assert numbered.select("_row").distinct().count() == 5000
+    assert numbered.join(again, ["key", "_row"]).count() == 5000
+
+
 def test_missing_file_is_named(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="orders"):
         read_raw_tables(spark, {"orders": f"{tmp_path}/none.csv"})
