@@ -130,6 +130,11 @@ class WordEncoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
+    def forget(self) -> None:
+        """Drop the memo, so that an idle worker leaves its memory to others."""
+        self.memo, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _library(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 

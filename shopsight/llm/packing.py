@@ -184,8 +184,12 @@ def _numbers(stage: int) -> Iterator[int]:
         n += 1
 
 
-def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
-    """doc_id, piece, start, length, ids (binary, unsigned 32-bit), sequence_id and offset of every piece."""
+def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep_memo: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids (binary, unsigned 32-bit), sequence_id and offset of every piece.
+
+    With `keep_memo` the words that a worker knows stay for its next task; without, they go with the task, for executors
+    that run other jobs too.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
 
@@ -201,6 +205,8 @@ def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> Da
                     if window.tokens >= WINDOW_TOKENS:
                         yield from window.packed(False)
         yield from window.packed(False)
+        if not keep_memo:
+            encoder.forget()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().cast("binary").alias("text"))
     done = stored(texts.mapInArrow(first, PIECES), "pieces")

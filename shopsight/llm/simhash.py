@@ -43,6 +43,7 @@ CUTS = ((0, 22), (22, 21), (43, 21))  # first bit and width of each segment
 GENERATOR = 0b101011100011  # fixed value: x^11+x^9+x^7+x^6+x^5+x+1 of the Golay code
 COUNT_ROWS = 1 << 15
 LINK_ROWS = 1 << 16
+KEYED_ROWS = 1 << 12
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -141,11 +142,13 @@ def _keyed(fps: DataFrame) -> DataFrame:
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            own = part.column("fp").to_numpy(zero_copy_only=False)
-            for looked, (rows, keys) in enumerate(keys_of(own.view(np.uint64))):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(own[rows]), pa.array(np.full(len(rows), looked, np.int8))], names=["key", "fp", "looked"]
-                )
+            every = part.column("fp").to_numpy(zero_copy_only=False)
+            for at in range(0, len(every), KEYED_ROWS):  # each row has some 110 keys
+                own = every[at : at + KEYED_ROWS]
+                for looked, (rows, keys) in enumerate(keys_of(own.view(np.uint64))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys.view(np.int64)), pa.array(own[rows]), pa.array(np.full(len(rows), looked, np.int8))], names=["key", "fp", "looked"]
+                    )
 
     return fps.select("fp").mapInArrow(work, "key long, fp long, looked byte")
 
