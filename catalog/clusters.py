@@ -1,5 +1,6 @@
 """Clustering: exact measures on the labelled embeddings, models on the customer table."""
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -7,10 +8,12 @@ from catalog.base import W, query, r, rounded, wide
 from shopsight.cluster import metrics as M
 from shopsight.cluster.density import dbscan, k_distances, suggest_eps
 from shopsight.cluster.models import (
+    Mixture,
     assign_to_centres,
     best_k,
     fit_gmm,
     fit_kmeans,
+    fit_mixtures,
     gap_statistic,
     gmm_labels,
     hierarchical,
@@ -193,13 +196,50 @@ def linkage(spark, sf):
 @query("m6_mixture")
 def mixture(spark, sf):
     vectors = _vectors(spark, sf)
-    out = gmm_labels(fit_gmm(vectors, 3, restarts=2, max_iter=50), vectors)
+    out = gmm_labels(fit_gmm(vectors, 3), vectors)
     return rounded(out.groupBy("cluster").agg(F.count("*").alias("n"), F.avg("confidence").alias("confidence")))
 
 
+@query("m6_mixture_rows", W + " SELECT count(*) AS customers, 3 AS clusters, 0 AS unsure, true AS likelier FROM cust")
+def mixture_rows(spark, sf):
+    """Every customer has one of three components with at least a third of the posterior; one component explains less."""
+    vectors = _vectors(spark, sf)
+    models = fit_mixtures(vectors, [1, 3])
+    return gmm_labels(models[3], vectors).agg(
+        F.count("*").alias("customers"),
+        F.count_distinct("cluster").cast("int").alias("clusters"),
+        F.count_if(~F.col("confidence").between(1 / 3, 1 + 1e-9)).cast("int").alias("unsure"),
+        F.lit(models[3].log_likelihood > models[1].log_likelihood).alias("likelier"),
+    )
+
+
+_GIVEN = [(0.5, -0.5, 1.0), (0.3, 0.5, 2.0), (0.2, 1.5, 0.5)]  # weight, every mean, every variance
+_LOGS = [f"ln({w}) - 3 * ln({v}) - ({_DIST.format(c=m)}) / {2 * v}" for w, m, v in _GIVEN]
+
+
+@query(
+    "m6_mixture_posterior",
+    W
+    + ", p AS (SELECT customer_unique_id, recency, ln(1 + frequency) AS frequency_log, ln(1 + monetary) AS monetary_log, "
+    + "avg_review_score, avg_delivery_days, late_delivery_rate FROM cust), z AS (SELECT customer_unique_id, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_z" for c in [n[:-2] for n in _SCALED])
+    + " FROM p), l AS (SELECT customer_unique_id, "
+    + ", ".join(f"{log} AS l{i}" for i, log in enumerate(_LOGS))
+    + """ FROM z) SELECT customer_unique_id AS id, CASE WHEN l0 >= l1 AND l0 >= l2 THEN 0 WHEN l1 >= l2 THEN 1 ELSE 2 END AS cluster,
+    round(1 / (exp(l0 - greatest(l0, l1, l2)) + exp(l1 - greatest(l0, l1, l2)) + exp(l2 - greatest(l0, l1, l2))), 4) AS confidence FROM l""",
+)
+def mixture_posterior(spark, sf):
+    """Labels and probabilities under a stated mixture."""
+    dims = len(_SCALED)
+    given = Mixture(
+        np.array([w for w, _, _ in _GIVEN]), np.array([[m] * dims for _, m, _ in _GIVEN]), np.array([v * np.eye(dims) for _, _, v in _GIVEN])
+    )
+    return rounded(gmm_labels(given, _vectors(spark, sf)).select("id", "cluster", "confidence"))
+
+
 @query("m6_mixture_sweep")
 def mixture_sweep(spark, sf):
-    return rounded(sweep_gmm(_vectors(spark, sf), range(2, 4), restarts=1, max_iter=50), 2)
+    return rounded(sweep_gmm(_vectors(spark, sf)), 2)
 
 
 _SILHOUETTE = """, pair AS (SELECT a.id, a.label, b.label AS other, sum({d}) AS s, count(*) AS c

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
+import pyarrow as pa
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
 from shopsight.cluster.metrics import (
@@ -21,6 +23,11 @@ from shopsight.cluster.metrics import (
 from shopsight.session import cut_lineage, together
 
 MICRO_CLUSTERS = 2000
+START_ROUNDS = 10
+START_ROWS = 4096
+COVARIANCE_RIDGE = 1e-6
+MIN_WEIGHT = 1e-12
+SUMS = pa.schema([("model", pa.int32()), ("component", pa.int32()), ("sums", pa.list_(pa.float64()))])
 
 
 def fit_kmeans(
@@ -106,16 +113,135 @@ def gap_statistic(vectors: DataFrame, ks: Iterable[int], samples: int = 5, seed:
     return spark.createDataFrame(rows, "k int, gap double, deviation double")
 
 
-def fit_gmm(
-    vectors: DataFrame, k: int, seed: int = 42, restarts: int = 5, max_iter: int = 200, threads: int = 4
-) -> GaussianMixtureModel:
-    """The restart with the highest likelihood."""
-
-    def once(offset: int) -> GaussianMixtureModel:
-        return GaussianMixture(k=k, seed=seed + offset, maxIter=max_iter, tol=1e-3).fit(vectors)
+@dataclass
+class Mixture:
+    """Gaussians with full covariances. `log_likelihood` is the total of the rows under these parameters."""
+
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray | None
+    log_likelihood: float = -np.inf
+    rounds: int = 0
+
+    @property
+    def k(self) -> int:
+        return len(self.means)
+
+    def whitening(self) -> tuple[list[np.ndarray], list[float]]:
+        """Of each component: the inverse of the Cholesky factor, and the logarithm of weight times density at the mean."""
+        halves = [np.linalg.cholesky(c) for c in self.covariances]
+        dims = self.means.shape[1]
+        peaks = [
+            float(np.log(max(w, MIN_WEIGHT)) - 0.5 * dims * np.log(2 * np.pi) - np.log(np.diag(h)).sum())
+            for w, h in zip(self.weights, halves, strict=True)
+        ]
+        return [np.linalg.inv(h) for h in halves], peaks
+
+    def shares(self, x: np.ndarray) -> tuple[np.ndarray, float]:
+        """Posterior of each component for every row, and the log-likelihood of the rows; nearest mean without covariances."""
+        if self.covariances is None:
+            gaps = np.stack([((x - m) ** 2).sum(axis=1) for m in self.means], axis=1)
+            return np.eye(self.k)[gaps.argmin(axis=1)], -np.inf
+        inverses, peaks = self.whitening()
+        logs = np.stack([p - 0.5 * (((x - m) @ h.T) ** 2).sum(axis=1) for m, h, p in zip(self.means, inverses, peaks, strict=True)], axis=1)
+        top = logs.max(axis=1, keepdims=True)
+        total = top[:, 0] + np.log(np.exp(logs - top).sum(axis=1))
+        return np.exp(logs - total[:, None]), float(total.sum())
+
+    def improved(self, sums: np.ndarray) -> Mixture:
+        """The next parameters, from sums about the means: weight, vector and outer products of each component."""
+        dims = self.means.shape[1]
+        mass = np.maximum(sums[:, 0], MIN_WEIGHT)
+        moved = sums[:, 1 : 1 + dims] / mass[:, None]
+        outer = sums[:, 1 + dims :].reshape(-1, dims, dims) / mass[:, None, None]
+        spread = outer - moved[:, :, None] * moved[:, None, :] + COVARIANCE_RIDGE * np.eye(dims)
+        return Mixture(mass / mass.sum(), self.means + moved, spread, rounds=self.rounds + 1)
+
+
+def _mixture_sums(points: DataFrame, models: list[Mixture]) -> list[tuple[float, np.ndarray]]:
+    """(log-likelihood, sums) of every model, in one pass over the points.
+
+    A task returns one row for each model and component; these are added up by Spark, and what reaches the driver
+    depends on the models and the dimensions only.
+    """
+    shared = points.sparkSession.sparkContext.broadcast(models)
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: list = [0.0] * len(shared.value)
+        for part in parts:
+            if not part.num_rows:
+                continue
+            x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+            for i, model in enumerate(shared.value):
+                share, likelihood = model.shares(x)
+                own = []
+                for j, mean in enumerate(model.means):
+                    away = x - mean
+                    weighed = away * share[:, j : j + 1]
+                    own.append(np.concatenate([[likelihood, share[:, j].sum()], weighed.sum(axis=0), (away.T @ weighed).ravel()]))
+                totals[i] = totals[i] + np.array(own)
+        rows = [(i, j, sums.tolist()) for i, own in enumerate(totals) if not np.isscalar(own) for j, sums in enumerate(own)]
+        if rows:
+            yield pa.RecordBatch.from_pylist([dict(zip(("model", "component", "sums"), row)) for row in rows], SUMS)
+
+    partial = points.mapInArrow(work, "model int, component int, sums array<double>")
+    cells = partial.select("model", "component", F.posexplode("sums")).groupBy("model", "component", "pos").agg(F.sum("col").alias("v"))
+    dims = models[0].means.shape[1]
+    found = [np.zeros((m.k, 2 + dims + dims * dims)) for m in models]
+    for row in cells.collect():
+        found[row.model][row.component, row.pos] = row.v
+    shared.destroy()
+    return [(float(f[0, 0]), f[:, 1:]) for f in found]
+
+
+def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> Mixture:
+    """K-Means centres of a few rows, spread by their squared distances at first."""
+    centres = x[[rng.integers(len(x))]]
+    gaps = ((x - centres[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        total = gaps.sum()
+        centres = np.vstack([centres, x[rng.choice(len(x), p=gaps / total if total > 0 else None)]])
+        gaps = np.minimum(gaps, ((x - centres[-1]) ** 2).sum(axis=1))
+    for _ in range(START_ROUNDS):
+        label = distances(x.ravel(), len(x), centres.ravel(), k).argmin(axis=1)
+        centres = np.stack([x[label == j].mean(axis=0) if (label == j).any() else centres[j] for j in range(k)])
+    return Mixture(np.full(k, 1 / k), centres, None)
+
+
+def fit_mixtures(
+    vectors: DataFrame, ks: Sequence[int], seed: int = 42, restarts: int = 5, max_iter: int = 200, tol: float = 1e-3, start_rows: int = START_ROWS
+) -> dict[int, Mixture]:
+    """For each k, the restart with the highest likelihood.
+
+    Expectation-maximisation over all rows, from K-Means centres of at most `start_rows` of them, chosen by a hash.
+    Every round is one pass over the rows for all models that still move; a model stops when the mean log-likelihood
+    of a row gains less than `tol`. Decompositions of the small covariances are numpy's.
+    """
 
-    models = together(vectors.sparkSession, once, range(restarts), threads)
-    return max(models, key=lambda m: m.summary.logLikelihood)
+    points = vectors.select(vector_to_array("features").alias("x"))
+    sample = points.orderBy(F.xxhash64("x")).limit(start_rows).collect()  # start values only; every round reads all rows
+    near = np.array([row.x for row in sample], float)
+    jobs = [(k, offset) for k in ks for offset in range(restarts)]
+    models = {(k, offset): _start(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs}
+    n = vectors.count()
+    likelihoods = dict.fromkeys(jobs, -np.inf)
+    moving = jobs
+    while moving:
+        found = _mixture_sums(points, [models[job] for job in moving])
+        still = []
+        for job, (likelihood, sums) in zip(moving, found, strict=True):
+            model, before = models[job], likelihoods[job]
+            model.log_likelihood = likelihoods[job] = likelihood
+            if model.covariances is None or (likelihood - before > tol * n and model.rounds < max_iter):
+                models[job] = model.improved(sums)
+                still.append(job)
+        moving = still
+    return {k: max((models[k, o] for o in range(restarts)), key=lambda m: m.log_likelihood) for k in ks}
+
+
+def fit_gmm(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 5, max_iter: int = 200) -> Mixture:
+    """The restart with the highest likelihood. `vectors` should be persisted by the caller."""
+    return fit_mixtures(vectors, [k], seed, restarts, max_iter)[k]
 
 
 def gmm_criteria(log_likelihood: float, k: int, dims: int, n: int) -> tuple[float, float]:
@@ -125,25 +251,30 @@ def gmm_criteria(log_likelihood: float, k: int, dims: int, n: int) -> tuple[floa
 
 
 def sweep_gmm(
-    vectors: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42, restarts: int = 5, max_iter: int = 200, threads: int = 4
+    vectors: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42, restarts: int = 5, max_iter: int = 200
 ) -> DataFrame:
-    n = vectors.count()
-    dims = vectors.first()["features"].size
+    """n (components), log_likelihood, bic and aic; the models of all k are fitted in the same passes."""
+    rows_read = vectors.count()
+    models = fit_mixtures(vectors, list(ks), seed, restarts, max_iter)
+    rows = [(k, m.log_likelihood, *gmm_criteria(m.log_likelihood, k, m.means.shape[1], rows_read)) for k, m in models.items()]
+    return vectors.sparkSession.createDataFrame(rows, "n int, log_likelihood double, bic double, aic double")
 
-    def once(k: int) -> tuple:
-        model = fit_gmm(vectors, k, seed, restarts, max_iter, threads=1)
-        likelihood = float(model.summary.logLikelihood)
-        return (k, likelihood, *gmm_criteria(likelihood, k, dims, n))
 
-    rows = together(vectors.sparkSession, once, list(ks), threads)
-    return vectors.sparkSession.createDataFrame(rows, "n int, log_likelihood double, bic double, aic double")
+def gmm_labels(model: Mixture, vectors: DataFrame) -> DataFrame:
+    """cluster (lowest number on ties) and the probability of it, as expressions."""
+    inverses, peaks = model.whitening()
 
+    def log_density(mean: np.ndarray, inverse: np.ndarray, peak: float) -> Column:
+        dot = lambda row: F.aggregate(F.zip_with("_x", F.lit(row.tolist()), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        sides = F.array(*[dot(row) - F.lit(float(row @ mean)) for row in inverse])
+        return F.lit(peak) - F.aggregate(sides, F.lit(0.0), lambda s, v: s + v * v) / 2
 
-def gmm_labels(model: GaussianMixtureModel, vectors: DataFrame) -> DataFrame:
-    """cluster and the probability of it."""
-    scored = model.transform(vectors)
-    sure = F.array_max(vector_to_array("probability")).alias("confidence")
-    return scored.select(*vectors.columns, F.col("prediction").alias("cluster"), sure)
+    logs = F.array(*[log_density(*one) for one in zip(model.means, inverses, peaks, strict=True)])
+    scored = vectors.withColumn("_x", vector_to_array("features")).withColumn("_logs", logs)
+    top = F.array_max("_logs")
+    sure = 1 / F.aggregate(F.transform("_logs", lambda v: F.exp(v - F.array_max("_logs"))), F.lit(0.0), lambda s, v: s + v)
+    others = [c for c in vectors.columns if c not in ("cluster", "confidence")]
+    return scored.select(*others, (F.array_position("_logs", top) - 1).cast("int").alias("cluster"), sure.alias("confidence"))
 
 
 def merge_tree(centres: np.ndarray, sizes: np.ndarray, method: str = "ward") -> np.ndarray:

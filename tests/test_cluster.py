@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shopsight.cluster import metrics as M
 from shopsight.cluster.blocks import make_blocks
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
-from shopsight.cluster.models import cut_tree, gmm_criteria, hierarchical, merge_tree
+from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, merge_tree, sweep_gmm
 from shopsight.cluster.segments import business_labels
 
 SIZES = [16, 1024]
@@ -145,6 +145,48 @@ def test_hierarchical_above_the_limit_covers_every_row(spark):
     assert out.count() == len(xs) and out.select("cluster").distinct().count() == 3
 
 
+def brute_step(xs, weights, means, covariances):
+    """One round of expectation-maximisation in plain numpy: (new parameters, log-likelihood of the old ones)."""
+    logs = []
+    for w, m, c in zip(weights, means, covariances):
+        away = xs - m
+        quad = np.einsum("ni,ij,nj->n", away, np.linalg.inv(c), away)
+        logs.append(np.log(w) - 0.5 * (quad + np.log(np.linalg.det(2 * np.pi * c))))
+    dens = np.exp(np.array(logs).T)
+    share = dens / dens.sum(axis=1, keepdims=True)
+    mass = share.sum(axis=0)
+    new_means = share.T @ xs / mass[:, None]
+    spreads = [((xs - m).T * share[:, j]) @ (xs - m) / mass[j] + 1e-6 * np.eye(xs.shape[1]) for j, m in enumerate(new_means)]
+    return (mass / len(xs), new_means, np.array(spreads)), np.log(dens.sum(axis=1)).sum(), share
+
+
+def test_mixture_is_a_fixed_point_of_the_plain_steps(spark):
+    rng = np.random.default_rng(6)
+    xs = np.vstack([rng.normal([0, 0, 0], [1, 0.5, 2], (200, 3)), rng.normal([6, 5, -4], [0.5, 1, 1], (100, 3)), np.tile([[3.0, -3.0, 3.0]], (30, 1))])
+    rows = vectors(spark, xs, np.ones(len(xs))).repartition(5).persist()
+    model = fit_mixtures(rows, [3], restarts=2, tol=1e-9)[3]
+    (weights, means, spreads), likelihood, share = brute_step(xs, model.weights, model.means, model.covariances)
+    assert model.log_likelihood == pytest.approx(likelihood)
+    assert model.weights == pytest.approx(weights, abs=1e-4)
+    assert model.means == pytest.approx(means, abs=1e-3)
+    assert model.covariances == pytest.approx(spreads, abs=1e-3)
+    got = {r.id: r for r in gmm_labels(model, rows).collect()}
+    assert [got[i].cluster for i in range(len(xs))] == share.argmax(axis=1).tolist()
+    assert [got[i].confidence for i in range(len(xs))] == pytest.approx(share.max(axis=1).tolist())
+
+
+def test_mixtures_of_many_sizes_are_fitted_in_one_sweep(spark):
+    found = {r.n: r for r in sweep_gmm(vectors(spark, cloud(7)), range(1, 5), restarts=2).collect()}
+    assert sorted(found) == [1, 2, 3, 4] and found[1].log_likelihood < found[3].log_likelihood
+    assert found[2].aic == pytest.approx(gmm_criteria(found[2].log_likelihood, 2, 3, len(cloud(7)))[1])
+
+
+def test_mixture_without_covariances_starts_at_the_nearest_mean():
+    start = Mixture(np.array([0.5, 0.5]), np.array([[0.0], [10.0]]), None)
+    share, _ = start.shares(np.array([[1.0], [9.0]]))
+    assert share.tolist() == [[1, 0], [0, 1]]
+
+
 def test_criteria():
     bic, aic = gmm_criteria(-100.0, 2, 3, 50)
     assert aic == 200 + 2 * (6 + 12 + 1) and bic == pytest.approx(200 + 19 * np.log(50))
