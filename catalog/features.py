@@ -414,7 +414,15 @@ def box_cox(spark, sf):
     return rounded(orders.select("o_orderkey", E.box_cox("o_totalprice", power).alias("transformed")), 2)
 
 
-@query("e11_quantile_uniform")
+@query(
+    "e11_quantile_uniform",
+    "WITH q AS (SELECT unnest(range(101)) AS i, unnest(quantile_cont(value, ["
+    + ", ".join(str(i / 100) for i in range(101))
+    + """])) AS v FROM events), k AS (SELECT v, (min(i) + max(i)) / 200.0::DOUBLE AS lvl FROM q GROUP BY v),
+    s AS (SELECT v, lvl, lead(v) OVER (ORDER BY v) AS next_v, lead(lvl) OVER (ORDER BY v) AS next_lvl FROM k)
+    SELECT event_id, round(coalesce(lvl + (value - v) / (next_v - v) * (next_lvl - lvl), lvl), 4) AS level
+    FROM events ASOF LEFT JOIN s ON events.value >= s.v""",
+)
 def quantile_uniform(spark, sf):
     out = E.quantile_uniform(bindings.table(spark, sf, "events"), "value", "level")
     return rounded(out.select("event_id", "level"))

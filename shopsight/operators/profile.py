@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shopsight.functions.values import finite
 from shopsight.operators.ranking import quantiles
@@ -312,8 +312,10 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: Sequence[str] = ()
     x = F.col(column)
     index = F.least(F.lit(bins - 1), F.floor((x - low) / width).cast("int"))
     counted = df.where(x.isNotNull()).groupBy(*by, index.alias("bin")).agg(F.count("*").alias("n"))
-    total = counted.groupBy(*by).agg(F.sum("n").alias("_all"))
-    joined = counted.join(total, list(by)) if by else counted.join(total)
+    if by:  # one row for each group and bin; rows without a group are a group
+        joined = counted.withColumn("_all", F.sum("n").over(Window.partitionBy(*by)))
+    else:
+        joined = counted.join(counted.agg(F.sum("n").alias("_all")))
     return joined.select(
         *by,
         "bin",

@@ -216,3 +216,9 @@ def test_connected_components(spark):
     star = [(5, i) for i in range(6, 30)]
     out = {r.node: r.root for r in connected_components(spark.createDataFrame(chain + star + [(40, 40)], "u long, v long")).collect()}
     assert set(out.values()) == {100, 5} and all(out[i] == 100 for i in range(100, 161)) and all(out[i] == 5 for i in range(5, 30))
+
+
+def test_histogram_keeps_rows_without_a_group(spark):
+    df = spark.createDataFrame([("a", 0.0), ("a", 1.0), (None, 1.0), (None, None)], "g string, x double")
+    got = {(r.g, r.bin): (r.n, r.density) for r in P.histogram(df, "x", 2, by=["g"]).collect()}
+    assert got == {("a", 0): (1, 1.0), ("a", 1): (1, 1.0), (None, 1): (1, 2.0)}
