@@ -12,7 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from shopsight.llm import exact_dedup, langid, licenses, quality_rules, queries, simhash, urls
+import corpus_pipeline
+from shopsight.llm import exact_dedup, langid, licenses, near_dedup, quality_rules, queries, simhash, urls
 from tests import oracle
 
 EDGE = [
@@ -141,6 +142,55 @@ def test_near_copies_of_edge_cases(spark):
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
+def five_words(text):
+    words = (text or "").lower().split()
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def brute_similar(texts, ids):
+    """component_id of every row by all pairs of sets."""
+    sets, parent = [five_words(t) for t in texts], list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(len(sets)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            parent[root(a)] = root(b)
+    least = defaultdict(list)
+    for i, doc_id in enumerate(ids):
+        least[root(i)].append(doc_id)
+    return [min((x for x in least[root(i)] if x is not None), default=None) for i in range(len(texts))]
+
+
+def test_pipeline_drops_all_copies_of_similarity_four_fifths(spark, small):
+    docs = queries.documents(spark, small)
+    given = docs.select("doc_id", "text").collect()
+    expected = brute_similar([r.text for r in given], [r.doc_id for r in given])
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()}
+    assert kept == {r.doc_id for r, c in zip(given, expected, strict=True) if r.doc_id == c}
+    assert {177, 145}.isdisjoint(kept)  # similarity 0.83 to 1 and to 6
+
+
+def test_similar_texts_of_mixed_groups_and_edge_cases(spark):
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(9999)}" for _ in range(200)] for _ in range(4)]
+    rows = [(1000 + i, text, "en", "s", 0) for i, text in enumerate([" ".join(w) for w in base])]
+    for i in range(120):
+        words = list(base[i % 4])
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(200)] = f"x{rng.randrange(9999)}"
+        rows.append((i, " ".join(words), "en", "s", 0))
+    given = [(r[0], r[1]) for r in rows] + [(2000, None), (2001, " "), (2002, ""), (2003, "a B"), (2004, "A  b"), (None, "a b"), (None, "alone here")]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
+    expected = brute_similar([t for _, t in given], [i for i, _ in given])
+    kept = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in near_dedup.drop_near_copies(docs).collect())
+    assert kept == sorted((i if i is not None else -1, t or "") for (i, t), c in zip(given, expected, strict=True) if i == c)
+    assert near_dedup.drop_near_copies(docs.limit(0)).count() == 0
+
+
 def test_language_is_right_on_held_out_documents(spark, small):
     docs = queries.documents(spark, small)
     rows = queries.language_query(spark, small).join(docs, "doc_id").where("held_out").collect()
