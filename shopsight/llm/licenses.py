@@ -26,41 +26,50 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopsight.llm.common import stored, text_column
 
 MIN_SCORE = 0.5
-# Titles, short forms, headers, and first sentences of public licenses.
+# Titles, short forms, headers, first sentences and SPDX identifiers of public licenses.
 TEMPLATES = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "Apache License Version 2.0, January 2004",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "BSD-3-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Released under the BSD 3-Clause License.",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Creative Commons Attribution 4.0 International Public License",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Creative Commons Attribution-NonCommercial 4.0 International Public License",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "GNU General Public License Version 3, 29 June 2007",
+        "SPDX-License-Identifier: GPL-3.0",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Mozilla Public License Version 2.0",
+        "SPDX-License-Identifier: MPL-2.0",
     ],
-    "Proprietary": ["All rights reserved."],
+    "Proprietary": ["All rights reserved.", "SPDX-License-Identifier: LicenseRef-Proprietary"],
 }
 NAMES_LICENSE = r"(?i)licen[sc]|copyright|rights reserved|permission is hereby|redistribution and use|free software|SPDX"
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)[^/]*$"

@@ -407,6 +407,23 @@ def test_whole_license_files_give_their_license(spark, tmp_path):
         assert found == {300: (name, "own"), 301: (name, "code/3"), 400: (None, None), 401: (None, None)}
 
 
+HEADERS = [
+    ("# This work is licensed under a Creative Commons Attribution-\n# NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("# This work is licensed under the\nimport os", None),
+    ("# This work is licensed under the\n# Mozilla Public License, v. 2.0.", "MPL-2.0"),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not\n * distributed */", "MPL-2.0"),
+    ("// SPDX-License-Identifier: ISC", None), ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+    *((f"# SPDX-License-Identifier: {name}", name) for name in licenses.TEMPLATES if name != "Proprietary"),
+    ("# SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), ("# SPDX-License-Identifier: LicenseRef-Proprietary", "Proprietary"),
+]
+
+
+def test_wrapped_headers_and_identifiers(spark):
+    files = spark.createDataFrame([(i, f"{i}.py", text) for i, (text, _) in enumerate(HEADERS)], "row long, path string, text string")
+    found = {r.row: r.license for r in licenses.licensed(files).collect()}
+    assert found == {i: name for i, (_, name) in enumerate(HEADERS)}
+
+
 def brute_license(path, text):
     weights, idf, norms = defaultdict(dict), {}, {}
     for name, word, weight, w_idf in licenses.template_weights(licenses.TEMPLATES):
