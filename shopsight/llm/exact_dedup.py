@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopsight.llm.common import input_partitions, stored, text_column
+from shopsight.llm.common import stored, text_column
 
 FAN_IN = 8
 KEY = ["digest", "n_bytes", "check"]
@@ -54,7 +54,8 @@ def merged_runs(digests: DataFrame, runs: int, fan_in: int = FAN_IN) -> DataFram
 def exact_copies(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 and row of every row of `docs`."""
     digests = stored(text_digests(docs), "digests")
-    merged = stored(merged_runs(digests, input_partitions(docs)), "merged-runs")
+    last = digests.agg(F.max("run")).first()[0]  # of the runs written, not of a plan that may count other splits
+    merged = stored(merged_runs(digests, 1 if last is None else last + 1), "merged-runs")
     return (
         digests.join(merged, KEY)
         .select(

@@ -49,6 +49,14 @@ def test_dropping_exact_copies_keeps_columns_and_one_row(spark):
     assert len({normal(r.text) for r in kept.collect()}) == kept.count() == len({normal(t) for _, t, *_ in EDGE})
 
 
+def test_exact_copies_count_the_runs_that_were_written(spark, monkeypatch):
+    """Eight splits are planned after twelve runs were written, as after a loss of executors."""
+    docs = spark.createDataFrame([(i, "same") for i in range(12)], "doc_id long, text string").repartitionByRange(12, "doc_id")
+    monkeypatch.setattr(exact_dedup, "input_partitions", lambda docs: 8, raising=False)
+    rows = exact_dedup.exact_copies(docs).collect()
+    assert sorted((r.doc_id, r.group_size, r.kept) for r in rows) == [(i, 12, i == 0) for i in range(12)]
+
+
 def test_registered_oracles(spark, small):
     db = oracle.connect(small)
     for name, sql in queries.ORACLES.items():
