@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -103,21 +104,30 @@ def _best_exchange(to: list[tuple[int, int]], fill: int, other: list[tuple[int,
     return best
 
 
-def local_search(bins: list[list[int]], lengths: list[int], size: int) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], size: int, whole: bool = False) -> list[list[int]]:
     """Exchange pieces between the emptiest bins while the sum of squared fills rises; empty bins go.
 
-    The search looks at the `SEARCH_BINS` emptiest bins: the others gain nothing worth the time. Each step
-    raises an integer sum, so it ends.
+    The search looks at the `SEARCH_BINS` emptiest bins: a window's other bins gain nothing worth the time, as its leftovers
+    are packed again. With `whole`, for the last round, it goes on while all underfull bins together lack a sequence or more:
+    it looks at as many bins as lack one, at twice as many where nothing moves, and then drains the next emptiest bin. Each
+    step raises an integer sum, so it ends.
     """
     open_bins = [sorted((lengths[i], i) for i in b) for b in bins]
     fills = [sum(length for length, _ in b) for b in open_bins]
-    for _ in range(SEARCH_ROUNDS):
-        order = sorted((b for b in range(len(open_bins)) if 0 < fills[b] < size), key=lambda b: fills[b])[:SEARCH_BINS]
+    width, stuck = SEARCH_BINS, set()
+    for _ in count() if whole else range(SEARCH_ROUNDS):
+        every = sorted((b for b in range(len(open_bins)) if 0 < fills[b] < size), key=lambda b: fills[b])
+        order = every[:width]
+        if whole:
+            while len(order) < len(every) and sum(fills[b] for b in order) > (len(order) - 1) * size:
+                order = every[: 2 * len(order)]
         if len(order) < 2 or sum(fills[b] for b in order) > (len(order) - 1) * size:
             break  # not one bin fewer is possible among these
         changed = False
-        least = order[0]
-        for target in reversed(order[1:]):
+        least = next((b for b in order if b not in stuck), None)
+        if least is None:
+            break
+        for target in reversed([b for b in order if b != least and fills[b] >= fills[least]]):
             if not fills[least]:
                 break
             gain, give, take = _best_exchange(open_bins[target], fills[target], open_bins[least], fills[least], size)
@@ -133,14 +143,20 @@ def local_search(bins: list[list[int]], lengths: list[int], size: int) -> list[l
             moved = sum(p[0] for p in give) - sum(p[0] for p in take)
             fills[target] += moved
             fills[least] -= moved
-        if not changed:
+        if changed:
+            stuck.clear()
+        elif not whole:
             break
+        elif len(order) < len(every):
+            width = 2 * len(order)
+        else:
+            stuck.add(least)
     return [[i for _, i in b] for b in open_bins if b]
 
 
-def pack(lengths: list[int], size: int) -> list[list[int]]:
+def pack(lengths: list[int], size: int, whole: bool = False) -> list[list[int]]:
     """Bins of at most `size`, as lists of places in `lengths`."""
-    return local_search(best_fit(lengths, size), lengths, size)
+    return local_search(best_fit(lengths, size), lengths, size, whole)
 
 
 class _Window:
@@ -158,7 +174,7 @@ class _Window:
     def packed(self, last_round: bool) -> Iterator[pa.RecordBatch]:
         lengths = [row[3] for row in self.rows]
         out: list[tuple] = []
-        for members in pack(lengths, self.size):
+        for members in pack(lengths, self.size, last_round):
             sequence, offset = next(self.sequences), 0
             settled = last_round or sum(lengths[i] for i in members) >= self.size
             for i in members:

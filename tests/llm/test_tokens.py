@@ -136,6 +136,15 @@ def test_packing_in_small_windows_and_rounds(spark, small, monkeypatch):
     assert packing.packed_pieces(docs.limit(0), WORDS, 1, 512).count() == 0
 
 
+def test_last_round_counts_the_room_of_all_bins():
+    lengths = [10] * 99 * 200  # 200 bins lack 10 each, two sequences in all, but the 64 emptiest lack less than one
+    bins = [list(range(99 * b, 99 * b + 99)) for b in range(200)]
+    found = packing.local_search(bins, lengths, 1000, whole=True)
+    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 1000 for b in found)
+    assert len(found) == 198
+
+
 def test_local_search_empties_a_bin_that_best_fit_leaves():
     size = 100
     bins = [[0, 1], [2, 3], [4]]
