@@ -178,7 +178,7 @@ def density_customers(spark, sf):
 
 @query("m5_hierarchical")
 def ward(spark, sf):
-    return hierarchical(_vectors(spark, sf), "id", 4).groupBy("cluster").agg(F.count("*").alias("n"))
+    return hierarchical(_vectors(spark, sf), "id", 4).groupBy("cluster", "method", "micro_clusters").agg(F.count("*").alias("n"))
 
 
 @query("m5_hierarchical_rows", W + " SELECT count(*) AS customers, 4 AS clusters FROM cust")

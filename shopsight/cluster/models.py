@@ -339,10 +339,8 @@ def cut_tree(merges: np.ndarray, leaves: int, clusters: int) -> np.ndarray:
 
 
 def micro_clusters(vectors: DataFrame, id_column: str, m: int = MICRO_CLUSTERS, seed: int = 42) -> DataFrame:
-    """(id, micro): every row its own when there are at most m rows, else the nearest of m centres."""
-    if vectors.count() <= m:
-        return vectors.select(id_column, "features", F.col(id_column).cast("long").alias("micro"))
-    model = KMeans(k=m, seed=seed, maxIter=5, initSteps=1).fit(vectors)
+    """(id, micro): the nearest of at most m K-Means centres, fitted by Spark whatever the number of rows."""
+    model = KMeans(k=m, seed=seed).fit(vectors)
     scored = model.transform(vectors)
     return scored.select(id_column, "features", F.col("prediction").cast("long").alias("micro"))
 
@@ -363,16 +361,16 @@ def ward_tree(
 def hierarchical(
     vectors: DataFrame, id_column: str, clusters: int, m: int = MICRO_CLUSTERS, method: str = "ward", seed: int = 42
 ) -> DataFrame:
-    """(id, cluster). The tree is exact for at most m rows; above, it is built on m weighted centres."""
+    """(id, cluster, method, micro_clusters): the tree is built on at most m weighted centres, the number in the last column."""
     assigned, leaves, merges = ward_tree(vectors, id_column, m, method, seed)
     labels = cut_tree(merges, len(leaves), min(clusters, len(leaves)))
     rows = [(int(leaf), int(c)) for leaf, c in zip(leaves, labels)]
     names = vectors.sparkSession.createDataFrame(rows, "micro long, cluster int")
-    return assigned.join(names, "micro").select(id_column, "cluster")
+    return assigned.join(names, "micro").select(id_column, "cluster", F.lit(method).alias("method"), F.lit(len(leaves)).alias("micro_clusters"))
 
 
 def linkage_table(vectors: DataFrame, id_column: str, m: int = MICRO_CLUSTERS, method: str = "ward") -> DataFrame:
-    """The merges as rows: step, left, right, height, size."""
-    _, _, merges = ward_tree(vectors, id_column, m, method)
-    rows = [(i + 1, int(a), int(b), float(h), int(s)) for i, (a, b, h, s) in enumerate(merges)]
-    return vectors.sparkSession.createDataFrame(rows, "step int, left int, right int, height double, size long")
+    """The merges as rows: step, left, right, height, size, method and the number of micro clusters."""
+    _, leaves, merges = ward_tree(vectors, id_column, m, method)
+    rows = [(i + 1, int(a), int(b), float(h), int(s), method, len(leaves)) for i, (a, b, h, s) in enumerate(merges)]
+    return vectors.sparkSession.createDataFrame(rows, "step int, left int, right int, height double, size long, method string, micro_clusters int")

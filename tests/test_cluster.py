@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shopsight.cluster import metrics as M
 from shopsight.cluster.blocks import make_blocks
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
-from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, merge_tree, sweep_gmm
+from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, linkage_table, merge_tree, micro_clusters, sweep_gmm
 from shopsight.cluster.segments import business_labels
 
 SIZES = [16, 1024]
@@ -202,3 +202,17 @@ def test_labels_repeat_with_the_cluster_number(spark):
 def test_copies_are_collapsed(spark):
     points = vectors(spark, cloud()).select("id", F.array(F.lit(1.0)).alias("x"))
     assert distinct_points(points).count() == 1
+
+
+def test_ward_leaves_are_fitted_centres_whatever_the_row_count(spark):
+    rng = np.random.default_rng(5)
+    middle = np.repeat([[0.0, 0.0], [9.0, 0.0], [0.0, 9.0]], 20, axis=0)
+    rows = [(1000 + i, x.tolist()) for i, x in enumerate(middle + rng.normal(0, 0.3, middle.shape))]
+    vectors = spark.createDataFrame(rows, "id long, x array<double>").select("id", array_to_vector("x").alias("features")).persist()
+    for m in (20, 100):  # fewer and more than the rows
+        assert micro_clusters(vectors, "id", m).agg(F.max("micro")).first()[0] < m
+        found = hierarchical(vectors, "id", 3, m).collect()
+        assert len(found) == 60 and len({(r.cluster, (r.id - 1000) // 20) for r in found}) == 3
+        assert {(r.method, 3 <= r.micro_clusters <= min(m, 60)) for r in found} == {("ward", True)}
+        tree = linkage_table(vectors, "id", m).collect()
+        assert {(r.method, r.micro_clusters) for r in tree} == {("ward", len(tree) + 1)}
