@@ -3,8 +3,9 @@
 Documents are encoded whole and followed by the end id. A document longer than a sequence is cut into full
 pieces and a last, shorter one; nothing else is cut. A full piece is a sequence of its own. Other pieces are packed
 in windows of bounded size as the texts stream by: first best fit decreasing, then local search. The search
-exchanges pieces one for one, two for one, or moves one between two underfull bins wherever that raises the sum
-of squared fills, so that bins drain until one is empty.
+exchanges pieces one for one, two for one, or moves one or two between two underfull bins wherever that raises the sum
+of squared fills, so that bins drain until one is empty. It looks at all underfull bins of a group, stops when they lack
+less than a sequence, and in any case after `SEARCH_WORK` comparisons, or `LEFTOVER_WORK` in the far fewer groups of leftovers.
 
 What a window leaves in bins that aren't full (a few bins of a window) is written apart. These leftovers meet
 in rounds: `WINDOW_TOKENS` worth of pieces in each group, packed together, and what is again left moves on with
@@ -16,9 +17,8 @@ repeat are packed each. An empty table gives an empty result; further columns ar
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Iterator
-from itertools import count
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 from shopsight.llm.common import WordEncoder, bounded_batches, stored, text_column
 
 WINDOW_TOKENS = 4_000_000
-SEARCH_BINS = 64
-SEARCH_ROUNDS = 200
+SEARCH_WORK = 5_000_000
+LEFTOVER_WORK = 10_000_000
 OUT_ROWS = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long, settled boolean"
 ARROW = pa.schema(
@@ -62,108 +62,124 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def _gain(a: int, b: int, moved: int) -> int:
-    """Change of the sum of squared fills when `moved` tokens go from a bin of fill b to one of fill a."""
-    return (a + moved) ** 2 + (b - moved) ** 2 - a * a - b * b
-
-
-def _best_exchange(to: list[tuple[int, int]], fill: int, other: list[tuple[int, int]], other_fill: int, size: int):
-    """The exchange that moves most tokens into `to`: (gain, pieces out of other, pieces out of to). Pieces are (length, place)."""
-    room = size - fill
-    best = (0, (), ())
-
-    def offer(moved: int, give: tuple, take: tuple) -> None:
-        nonlocal best
-        if 0 < moved <= room and (gain := _gain(fill, other_fill, moved)) > best[0]:
-            best = (gain, give, take)
-
-    own_lengths = [length for length, _ in to]
-    for x in other:
-        offer(x[0], (x,), ())
-        k = bisect_left(own_lengths, x[0] - room)
-        if k < len(to):
-            offer(x[0] - to[k][0], (x,), (to[k],))
-    lengths = [length for length, _ in other]
-    for i, x in enumerate(other):
-        for take in to:
-            # two for one: the longest partner that still fits
-            k = bisect_left(lengths, room + take[0] - x[0] + 1) - 1
-            while k >= 0 and k == i:
-                k -= 1
-            if k >= 0:
-                offer(x[0] + other[k][0] - take[0], (x, other[k]), (take,))
-    for i, x in enumerate(other):
-        for a in range(len(to)):
-            # one for two, which may also fill up
-            want = x[0] - room - to[a][0]
-            k = bisect_left(own_lengths, want)
-            while k < len(to) and k == a:
-                k += 1
-            if k < len(to):
-                offer(x[0] - to[a][0] - to[k][0], (x,), (to[a], to[k]))
-    return best
-
-
-def local_search(bins: list[list[int]], lengths: list[int], size: int, whole: bool = False) -> list[list[int]]:
-    """Exchange pieces between the emptiest bins while the sum of squared fills rises; empty bins go.
-
-    The search looks at the `SEARCH_BINS` emptiest bins: a window's other bins gain nothing worth the time, as its leftovers
-    are packed again. With `whole`, for the last round, it goes on while all underfull bins together lack a sequence or more:
-    it looks at as many bins as lack one, at twice as many where nothing moves, and then drains the next emptiest bin. Each
-    step raises an integer sum, so it ends.
+def _open_pieces(bins: list[Counter], fills: list[int], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and length of every different piece of the underfull bins, and for each of these bins a place without a piece (length 0)."""
+    places, lengths = [], []
+    for b, pieces in enumerate(bins):
+        if 0 < fills[b] < size:
+            places.extend([b] * (len(pieces) + 1))
+            lengths.append(0)
+            lengths.extend(pieces)
+    return np.array(places, np.int64), np.array(lengths, np.int64)
+
+
+def _gifts(own: Counter) -> tuple[np.ndarray, Callable[[int], tuple[int, ...]]]:
+    """Ascending sums of one or two pieces of a bin, and the lengths behind each."""
+    ones = np.array(sorted(own), np.int64)
+    first, second = np.triu_indices(len(ones))
+    twice = np.array([own[n] > 1 for n in ones.tolist()])
+    real = (first != second) | twice[first]
+    first, second = ones[first[real]], ones[second[real]]
+    sums = np.concatenate([ones, first + second])
+    order = np.argsort(sums, kind="stable")
+
+    def lengths_of(place: int) -> tuple[int, ...]:
+        k = int(order[place])
+        return (int(ones[k]),) if k < len(ones) else (int(first[k - len(ones)]), int(second[k - len(ones)]))
+
+    return sums[order], lengths_of
+
+
+def _best_exchange(donor: int, bins: list[Counter], fills: np.ndarray, places: np.ndarray, lengths: np.ndarray, size: int):
+    """The exchange of `donor` with any other underfull bin that raises the sum of squared fills most, or None.
+
+    The donor gives one piece or two and takes one piece or none. For every piece that it could take, the longest gift
+    that still fits is looked up among the sorted gifts: (target, lengths given, lengths taken).
     """
-    open_bins = [sorted((lengths[i], i) for i in b) for b in bins]
-    fills = [sum(length for length, _ in b) for b in open_bins]
-    width, stuck = SEARCH_BINS, set()
-    for _ in count() if whole else range(SEARCH_ROUNDS):
-        every = sorted((b for b in range(len(open_bins)) if 0 < fills[b] < size), key=lambda b: fills[b])
-        order = every[:width]
-        if whole:
-            while len(order) < len(every) and sum(fills[b] for b in order) > (len(order) - 1) * size:
-                order = every[: 2 * len(order)]
-        if len(order) < 2 or sum(fills[b] for b in order) > (len(order) - 1) * size:
-            break  # not one bin fewer is possible among these
-        changed = False
-        least = next((b for b in order if b not in stuck), None)
-        if least is None:
+    gifts, given_of = _gifts(bins[donor])
+    room = size - fills[places] + lengths
+    found = np.searchsorted(gifts, room, "right") - 1
+    moved = np.where((found >= 0) & (places != donor), gifts[np.maximum(found, 0)] - lengths, 0)
+    gain = np.where(moved > 0, moved * (fills[places] - fills[donor] + moved), 0)
+    best = int(gain.argmax())
+    if gain[best] <= 0:
+        return None
+    taken = int(lengths[best])
+    return int(places[best]), given_of(found[best]), (taken,) if taken else ()
+
+
+def local_search(bins: list[list[int]], lengths: list[int], size: int, work: int = SEARCH_WORK) -> list[list[int]]:
+    """Exchange pieces between underfull bins while the sum of squared fills rises; empty bins go.
+
+    The emptiest bin gives pieces to whichever underfull bin gains most, until it is empty or nothing moves; then the next
+    emptiest one does. Pieces of one length in a bin are one entry, and a bin like one that could not give is not tried
+    again before something moves. The search ends when all underfull bins together lack less than a sequence, when no bin
+    can give, or after comparing `work` entries, with the bins it has then.
+    """
+    members: list[dict[int, list[int]]] = []
+    for b in bins:
+        by_length: dict[int, list[int]] = {}
+        for i in b:
+            by_length.setdefault(lengths[i], []).append(i)
+        members.append(by_length)
+    counts = [Counter({n: len(rows) for n, rows in m.items()}) for m in members]
+    fills = np.array([sum(n * k for n, k in c.items()) for c in counts], np.int64)
+    left = work
+    stuck: set[tuple] = set()
+    tried: set[int] = set()
+    places, sizes = _open_pieces(counts, fills.tolist(), size)
+    while left > 0:
+        underfull = np.flatnonzero((fills > 0) & (fills < size))
+        if len(underfull) < 2 or (size - fills[underfull]).sum() < size:
+            break  # not one bin fewer is possible
+        order = underfull[np.argsort(fills[underfull], kind="stable")].tolist()
+        donor = next((b for b in order if b not in tried and not (tried and tuple(sorted(counts[b].items())) in stuck)), None)
+        if donor is None:
             break
-        for target in reversed([b for b in order if b != least and fills[b] >= fills[least]]):
-            if not fills[least]:
+        moved = False
+        while fills[donor] and left > 0:
+            n = len(counts[donor])
+            left -= len(places) + n * n
+            found = _best_exchange(donor, counts, fills, places, sizes, size)
+            if found is None:
                 break
-            gain, give, take = _best_exchange(open_bins[target], fills[target], open_bins[least], fills[least], size)
-            if not gain:
-                continue
-            changed = True
-            for piece in give:
-                open_bins[least].remove(piece)
-                insort(open_bins[target], piece)
-            for piece in take:
-                open_bins[target].remove(piece)
-                insort(open_bins[least], piece)
-            moved = sum(p[0] for p in give) - sum(p[0] for p in take)
-            fills[target] += moved
-            fills[least] -= moved
-        if changed:
-            stuck.clear()
-        elif not whole:
-            break
-        elif len(order) < len(every):
-            width = 2 * len(order)
+            moved = True
+            target, given, taken = found
+            for source, goal, which in ((donor, target, given), (target, donor, taken)):
+                for length in which:
+                    members[goal].setdefault(length, []).append(members[source][length].pop())
+                    counts[goal][length] += 1
+                    counts[source][length] -= 1
+                    if not counts[source][length]:
+                        del counts[source][length], members[source][length]
+            change = sum(given) - sum(taken)
+            fills[target] += change
+            fills[donor] -= change
+            stay = (places != donor) & (places != target)
+            fresh = [b for b in (donor, target) if 0 < fills[b] < size]
+            more_places, more_sizes = _open_pieces([counts[b] for b in fresh], [int(fills[b]) for b in fresh], size)
+            places = np.concatenate([places[stay], np.array(fresh, np.int64)[more_places]]) if fresh else places[stay]
+            sizes = np.concatenate([sizes[stay], more_sizes]) if fresh else sizes[stay]
+        if moved:
+            tried, stuck = set(), set()
+            if fills[donor]:
+                tried.add(donor)
         else:
-            stuck.add(least)
-    return [[i for _, i in b] for b in open_bins if b]
+            tried.add(donor)
+            stuck.add(tuple(sorted(counts[donor].items())))
+    return [[i for rows in m.values() for i in rows] for m, fill in zip(members, fills.tolist(), strict=True) if fill]
 
 
-def pack(lengths: list[int], size: int, whole: bool = False) -> list[list[int]]:
+def pack(lengths: list[int], size: int, work: int = SEARCH_WORK) -> list[list[int]]:
     """Bins of at most `size`, as lists of places in `lengths`."""
-    return local_search(best_fit(lengths, size), lengths, size, whole)
+    return local_search(best_fit(lengths, size), lengths, size, work)
 
 
 class _Window:
     """Pieces of one window, packed and given out together."""
 
-    def __init__(self, size: int, sequences: Iterator[int]):
-        self.size, self.sequences = size, sequences
+    def __init__(self, size: int, sequences: Iterator[int], work: int):
+        self.size, self.sequences, self.work = size, sequences, work
         self.rows: list[tuple] = []
         self.tokens = 0
 
@@ -174,7 +190,7 @@ class _Window:
     def packed(self, last_round: bool) -> Iterator[pa.RecordBatch]:
         lengths = [row[3] for row in self.rows]
         out: list[tuple] = []
-        for members in pack(lengths, self.size, last_round):
+        for members in pack(lengths, self.size, self.work):
             sequence, offset = next(self.sequences), 0
             settled = last_round or sum(lengths[i] for i in members) >= self.size
             for i in members:
@@ -211,7 +227,7 @@ def packed_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, keep_
 
     def first(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, numbers = WordEncoder.of(tokenizer), _numbers(0)
-        window = _Window(size, numbers)
+        window = _Window(size, numbers, SEARCH_WORK)
         for part in parts:
             found = encoder.encode_all(part.column("text").to_pylist())
             for doc_id, own in zip(part.column("doc_id").to_pylist(), found, strict=True):
@@ -248,7 +264,7 @@ def _repacked(left: DataFrame, groups: int, size: int, stage: int, last: bool) -
     """Leftover pieces packed anew in `groups` groups of whole former bins."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window = _Window(size, _numbers(stage))
+        window = _Window(size, _numbers(stage), LEFTOVER_WORK)
         for part in parts:
             for row in zip(*(part.column(c).to_pylist() for c in ("doc_id", "piece", "start", "ids"))):
                 window.add(*row)

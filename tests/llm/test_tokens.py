@@ -1,6 +1,7 @@
 """Tokenisers, token files and packing against the libraries and brute force."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -136,15 +137,30 @@ def test_packing_in_small_windows_and_rounds(spark, small, monkeypatch):
     assert packing.packed_pieces(docs.limit(0), WORDS, 1, 512).count() == 0
 
 
-def test_last_round_counts_the_room_of_all_bins():
-    lengths = [10] * 99 * 200  # 200 bins lack 10 each, two sequences in all, but the 64 emptiest lack less than one
+def test_search_counts_the_room_of_all_bins():
+    lengths = [10] * 99 * 200  # 200 bins lack 10 each, two sequences in all
     bins = [list(range(99 * b, 99 * b + 99)) for b in range(200)]
-    found = packing.local_search(bins, lengths, 1000, whole=True)
+    found = packing.local_search(bins, lengths, 1000)
     assert sorted(i for b in found for i in b) == list(range(len(lengths)))
     assert all(sum(lengths[i] for i in b) <= 1000 for b in found)
     assert len(found) == 198
 
 
+@pytest.mark.parametrize("n,length", [(48_000, 17), (62_400, 17), (100_000, 1), (3_000, 2049)])
+def test_packing_of_like_pieces_ends_soon(n, length):
+    start = time.perf_counter()
+    assert len(packing.pack([length] * n, 4096)) == -(-n // (4096 // length))
+    assert time.perf_counter() - start < 5
+
+
+def test_search_stops_at_its_bound_of_work():
+    rng = random.Random(5)
+    lengths = [rng.randint(1200, 1500) for _ in range(900)]
+    before = packing.best_fit(lengths, 4096)
+    sizes = [len(packing.local_search(before, lengths, 4096, work)) for work in (0, 100_000, packing.SEARCH_WORK)]
+    assert sizes[0] == len(before) and sizes[0] >= sizes[1] >= sizes[2] and sizes[2] < sizes[0]
+
+
 def test_local_search_empties_a_bin_that_best_fit_leaves():
     size = 100
     bins = [[0, 1], [2, 3], [4]]
