@@ -31,7 +31,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shopsight.llm.common import batch_rows, batches, stored, text_column
 from shopsight.operators.graphs import connected_components
@@ -68,16 +68,15 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, mark: Column | None = None) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) and mark (a long computed by Spark, 0 if none is given) of every row."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id and fp (the fingerprint as a signed long) of every row."""
 
     def work(part: pa.RecordBatch) -> dict:
         fps = np.array([fingerprint(t, size) for t in part.column("text").to_pylist()], "<u8").view("<i8")
-        return {"doc_id": part.column("doc_id"), "fp": fps, "mark": part.column("mark")}
+        return {"doc_id": part.column("doc_id"), "fp": fps}
 
-    marked = F.lit(0).cast("long") if mark is None else mark
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().cast("binary").alias("text"), marked.alias("mark"))
-    return batches(texts, work, "doc_id long, fp long, mark long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().cast("binary").alias("text"))
+    return batches(texts, work, "doc_id long, fp long")
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -153,7 +152,7 @@ def _keyed(fps: DataFrame) -> DataFrame:
     return fps.select("fp").mapInArrow(work, "key long, fp long, looked byte")
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
+def forest(left: np.ndarray, right: np.ndarray) -> tuple[list[int], list[int]]:
     """A spanning forest of the links: their components, with at most one link for each fingerprint."""
     parent: dict[int, int] = {}
 
@@ -202,7 +201,7 @@ def bucket_links(parts: Iterator[pa.RecordBatch], max_bits: int = MAX_BITS, pair
             a, b = np.repeat(look_fp[rows], n), stored_fp[place]
             close = (np.bitwise_count((a ^ b).view(np.uint64)) <= max_bits) & (a != b)
             if close.any():
-                left, right = _forest(a[close], b[close])
+                left, right = forest(a[close], b[close])
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["u", "v"])
             at = reach
         key_before = key[-1]
@@ -235,17 +234,3 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS)
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     found = components(stored(fingerprints(docs, size), "simhash"), max_bits)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of `docs` whose document names its component, with all their columns.
-
-    Rows are recognised by doc_id and a hash of the text. Rows without an identifier go if their component has
-    a row with one, and stay otherwise.
-    """
-    mark = F.xxhash64(text_column())
-    found = components(stored(fingerprints(docs.select("doc_id", "text"), size, mark), "simhash"), max_bits)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    tagged = docs.withColumn("_nd_id", F.col("doc_id").cast("long")).withColumn("_nd_mark", mark)
-    same = F.col("_nd_id").eqNullSafe(F.col("_id")) & (F.col("_nd_mark") == F.col("_mark"))
-    return tagged.join(stored(gone, "near-copies"), same, "left_anti").drop("_nd_id", "_nd_mark")

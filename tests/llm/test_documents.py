@@ -144,9 +144,6 @@ def test_near_copies_of_edge_cases(spark):
     assert len(rows) == len(EDGE)
     assert {r.fingerprint for r in rows if r.doc_id in (4, 5, 6)} == {"0" * 16}
     assert {r.component_id for r in rows if r.doc_id in (4, 5, 6)} == {4}
-    kept = simhash.drop_near_copies(docs)
-    assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {r.component_id for r in rows}
     assert simhash.near_copies(docs.limit(0)).count() == 0
 
 
@@ -182,6 +179,41 @@ def test_pipeline_drops_all_copies_of_similarity_four_fifths(spark, small):
     assert {177, 145}.isdisjoint(kept)  # similarity 0.83 to 1 and to 6
 
 
+def test_near_copies_of_one_text_write_rows_in_proportion(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(9999)}" for _ in range(100)]
+    texts = []
+    for _ in range(1200):
+        words = list(base)
+        for _ in range(rng.randrange(1, 6)):  # most pairs are less similar than 0.8, also of texts that share a key
+            words[rng.randrange(100)] = f"x{rng.randrange(9999)}"
+        texts.append(" ".join(words))
+    written = []
+
+    def counted(df, name, write=near_dedup.stored):
+        out = write(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 100)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.component_id for r in near_dedup.components(docs).collect()}
+    assert [found[i] for i in range(1200)] == brute_similar(texts, range(1200))
+    assert max(n for _, n in written) <= 1200 * near_dedup.BANDS
+
+
+def test_unlinked_sets_of_one_key_leave_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 256)
+    rng = np.random.default_rng(4)
+    core = rng.integers(0, 2**62, 100)
+    sets = [np.unique(np.concatenate([core, rng.integers(0, 2**62, 60)])) for _ in range(2000)]
+    sets[7] = np.unique(np.concatenate([sets[1500][:150], [5]]))
+    made = spark.createDataFrame([(i, s.astype("<u8").tobytes()) for i, s in enumerate(sets)], "node long, hashes binary")
+    apart = made.select(F.explode(F.expr("array(1L, 2L)")).alias("key"), "node", F.lit(160).cast("long").alias("n"), F.col("node").alias("root"))
+    assert [(r.u, r.v) for r in near_dedup._compared(apart, made, 0.8).collect()] in ([(7, 1500)], [(1500, 7)])
+
+
 def test_similar_texts_of_mixed_groups_and_edge_cases(spark):
     rng = random.Random(3)
     base = [[f"w{rng.randrange(9999)}" for _ in range(200)] for _ in range(4)]

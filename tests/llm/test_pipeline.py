@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from shopsight.llm import langid, quality_rules, queries
-from tests.llm.test_documents import brute_components, brute_fingerprint, normal
+from tests.llm.test_documents import brute_similar, normal
 
 
 def test_pipeline_against_brute_force(spark, small):
@@ -22,7 +22,7 @@ def test_pipeline_against_brute_force(spark, small):
     for i in stay:
         first.setdefault(normal(given[i]), i)
     stay = sorted(first.values())
-    groups = brute_components([brute_fingerprint(given[i]) for i in stay], stay)
+    groups = brute_similar([given[i] for i in stay], stay)
     stay = [i for i, g in zip(stay, groups, strict=True) if i == g]
 
     rows = corpus_pipeline.run(spark, small).collect()
