@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopsight.llm import byte_counts, exact_dedup, langid, licenses, packing, quality_rules, simhash, spm, token_files, urls
+from shopsight.llm import byte_counts, exact_dedup, langid, licenses, mixing, packing, quality_rules, simhash, spm, token_files, urls
 
 END_ID = 1
 TOKEN_LIMIT = 1024
@@ -81,6 +81,10 @@ def packing_query(spark: SparkSession, sf_dir: str, tokenizer: str | None = None
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(documents(spark, sf_dir)).drop("source")
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,9 +102,28 @@ QUERIES = {
     "op8_pieces": piece_query,
     "op9_token_counts": count_query,
     "op10_packing": packing_query,
+    "op11_mixing": mixing_query,
     "pipeline": pipeline_query,
 }
 
+
+
+def _time_sql(share: str, schedule: mixing.Schedule) -> str:
+    """SQL of the time at which a source has given a share of its words."""
+    total, done, cases = mixing.integral(schedule), 0.0, []
+    for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+        area = (t1 - t0) * (w0 + w1) / 2
+        need = f"(({share} - {done / total!r}::DOUBLE) * {total!r}::DOUBLE)"
+        root = f"sqrt(greatest({w0 * w0!r}::DOUBLE + {2.0 * ((w1 - w0) / (t1 - t0))!r}::DOUBLE * {need}, 0::DOUBLE))"
+        step = f"CASE WHEN {need} <= 0 THEN 0::DOUBLE ELSE 2::DOUBLE * {need} / ({w0!r}::DOUBLE + {root}) END"
+        if area > 0:
+            cases.append(f"WHEN {share} < {(done + area) / total!r}::DOUBLE THEN least({t0!r}::DOUBLE + {step}, {t1!r}::DOUBLE)")
+        done += area
+    return f"CASE {' '.join(cases)} ELSE 1::DOUBLE END"
+
+
+_WEIGHTS = ", ".join(f"{mixing.integral(s)!r}::DOUBLE" for s in mixing.SCHEDULES)
+_TIMES = " ".join(f"WHEN {kind} THEN {_time_sql('share', s)}" for kind, s in enumerate(mixing.SCHEDULES))
 _BLANK = r"[\x20\x09-\x0D]+"
 ORACLES = {
     "op6_urls": r"""
@@ -118,6 +141,34 @@ WITH parts AS (
   FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (page_id)
+""",
+    "op11_mixing": rf"""
+WITH rows AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents
+), sources AS (
+  SELECT source, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.SCHEDULES)} AS kind, source_size, {mixing.MAX_REPEATS} * source_size AS cap
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source)
+), weighed AS (SELECT *, [{_WEIGHTS}][kind + 1] AS weight FROM sources
+), filled AS (
+  SELECT *, row_number() OVER o AS k, cap < weight * ((sum(cap) OVER () / {mixing.MAX_REPEATS} - coalesce(sum(cap) OVER p, 0))::DOUBLE / (sum(weight) OVER () - coalesce(sum(weight) OVER p, 0))) AS over
+  FROM weighed WINDOW o AS (ORDER BY cap / weight, source), p AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), first_open AS (SELECT min(k) AS k FROM filled WHERE NOT over
+), level AS (
+  SELECT (sum(source_size) - coalesce(sum(cap) FILTER (f.k < o.k), 0))::DOUBLE / (sum(weight) FILTER (f.k >= o.k)) AS level FROM filled f, first_open o
+), targets AS (SELECT source, kind, source_size, CASE WHEN cap < level * weight THEN cap::DOUBLE ELSE level * weight END AS target FROM weighed, level
+), placed AS (
+  SELECT r.*, kind, source_size, target, row_number() OVER () AS id,
+    coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY h, r.doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
+  FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+), copies AS (
+  SELECT *, (begins + turn * source_size + size / 2::DOUBLE) / target AS share FROM placed, range({mixing.MAX_REPEATS}) AS turns(turn) WHERE 2 * (begins + turn * source_size) + size < 2::DOUBLE * target
+), timed AS (SELECT *, CASE kind {_TIMES} END AS position FROM copies
+), started AS (
+  SELECT *, coalesce(sum(size) OVER (ORDER BY position, h, doc_id NULLS LAST, source NULLS LAST, begins, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM timed
+), found AS (SELECT id, sum(size)::BIGINT AS taken, count(*)::INTEGER AS copies, min(position) AS first_position, min(start) AS first_start FROM started GROUP BY id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, coalesce(copies, 0) AS copies, first_position, first_start
+FROM placed LEFT JOIN found USING (id)
 """,
     "op7_exact_copies": rf"""
 WITH norm AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_BLANK}', ' ', 'g')) AS text_sha256 FROM documents)
