@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from shopsight.llm.common import WordEncoder, bounded_batches, stored, text_column
 
 WINDOW_TOKENS = 4_000_000
-SEARCH_WORK = 5_000_000
+SEARCH_WORK = 1_000_000
 LEFTOVER_WORK = 10_000_000
 OUT_ROWS = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long, settled boolean"
