@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopsight.llm import byte_counts, exact_dedup, langid, licenses, mixing, packing, quality_rules, simhash, spm, token_files, urls
+from shopsight.llm import byte_counts, centroids, exact_dedup, langid, licenses, mixing, packing, quality_rules, simhash, spm, token_files, urls
 
 END_ID = 1
 TOKEN_LIMIT = 1024
@@ -85,6 +85,10 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir)).drop("source")
 
 
+def centroid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.described(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +107,7 @@ QUERIES = {
     "op9_token_counts": count_query,
     "op10_packing": packing_query,
     "op11_mixing": mixing_query,
+    "op12_centroids": centroid_query,
     "pipeline": pipeline_query,
 }
 
@@ -122,6 +127,31 @@ def _time_sql(share: str, schedule: mixing.Schedule) -> str:
     return f"CASE {' '.join(cases)} ELSE 1::DOUBLE END"
 
 
+def _centroid_sql(k: int, rounds: int, size: int) -> str:
+    """SQL of the clustering with its rounds written out; all sums are whole numbers that doubles hold exactly."""
+    nearest = """
+n{r} AS MATERIALIZED (
+  SELECT id, arg_min(c, {{'d': d, 'c': c}}) AS c, min(d) AS d FROM (
+    SELECT id, c, list_inner_product(v, v) - 2 * list_inner_product(v, m) + list_inner_product(m, m) AS d FROM kept, c{r}) GROUP BY id)"""
+    means = """,
+c{s} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(new, m) AS m FROM c{r} LEFT JOIN (
+    SELECT c, list(mean ORDER BY i) AS new FROM (
+      SELECT c, i, floor(sum(v[i]) / count(*)) AS mean FROM n{r} JOIN kept USING (id), range(1, {size} + 1) AS places(i) GROUP BY c, i) GROUP BY c) USING (c)),"""
+    steps = "".join(nearest.format(r=r) + (means.format(r=r, s=r + 1, size=size) if r < rounds else "") for r in range(rounds + 1))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, [floor({centroids.SCALE} * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len([x FOR x IN embedding IF isfinite(x)]) = {size}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT sha256('{centroids.SALT}' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept) ORDER BY h, v LIMIT {k}
+), {steps}
+SELECT vec_id, n{rounds}.c::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY n{rounds}.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string([x::BIGINT FOR x IN m], ',')) AS centroid_sha256
+FROM n{rounds} JOIN kept USING (id) JOIN c{rounds} USING (c)
+"""
+
+
 _WEIGHTS = ", ".join(f"{mixing.integral(s)!r}::DOUBLE" for s in mixing.SCHEDULES)
 _TIMES = " ".join(f"WHEN {kind} THEN {_time_sql('share', s)}" for kind, s in enumerate(mixing.SCHEDULES))
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -142,6 +172,7 @@ WITH parts AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (page_id)
 """,
+    "op12_centroids": _centroid_sql(centroids.CLUSTERS, centroids.ROUNDS, centroids.SIZE),
     "op11_mixing": rf"""
 WITH rows AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

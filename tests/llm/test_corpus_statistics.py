@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
 from itertools import product
 
+import numpy as np
 import pytest
 
-from shopsight.llm import mixing, queries
+from shopsight.llm import centroids, mixing
 
 ROWS = [
     (1, "a b  c\n", "x", 0), (2, None, "x", 0), (3, "", None, 0), (None, "one two", None, 0), (4, "w " * 9000, "y", 0), (4, "w " * 9000, "y", 0), (5, "w", "y", 0),
@@ -79,3 +81,58 @@ def test_positions_follow_the_schedules(spark):
         assert abs(share - early) < 0.01
     with pytest.raises(ValueError):
         mixing.checked([(0.0, 1.0), (0.4, 1.0)])
+
+
+def brute_clusters(rows, k, rounds, size):
+    """cluster, distance of every kept row, and the centroids, with plain integers."""
+    kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"2:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    means = [v for _, v in order[:k]]
+    for turn in range(rounds + 1):
+        near = [min((sum((x - y) ** 2 for x, y in zip(v, m)), j) for j, m in enumerate(means)) for _, v in kept]
+        if turn < rounds:
+            for j in range(len(means)):
+                own = [v for (_, v), (_, c) in zip(kept, near) if c == j]
+                if own:
+                    means[j] = [sum(column) // len(own) for column in zip(*own)]
+    return [(i, c, d) for (i, _), (d, c) in zip(kept, near)], means
+
+
+def test_clusters_against_brute_force_with_edge_cases(spark):
+    rng = random.Random(8)
+    bad = [(1, None), (2, []), (3, [1.0, None, 0.0]), (4, [1.0, float("nan"), 0.0]), (5, [float("inf"), 0.0, 0.0]), (6, [1.0, 2.0]), (7, [0.0] * 4)]
+    same = [(100 + i, [0.5, 0.25, -0.125]) for i in range(90)] + [(8, [0.1, 0.2, 0.3])] * 3 + [(None, [-0.001, 0.0, 0.001])] * 2
+    rows = bad + same + [(1000 + i, [rng.choice([-1, 0, 1]) + rng.gauss(0, 0.1) for _ in range(3)]) for i in range(300)]
+    table = spark.createDataFrame([(i, v, 3, "x") for i, v in rows], "vec_id long, embedding array<double>, cluster int, v string").repartition(4)
+    for k in (1, 2, 12):
+        expected, means = brute_clusters(rows, k, 5, 3)
+        found, got = centroids.clustered(table, k, 5, 3)
+        assert got.tolist() == means
+        assert sorted(map(repr, found.collect())) == sorted(f"Row(vec_id={i}, cluster={c}, distance={d})" for i, c, d in expected)
+    out = centroids.described(table, 12, 5, 3).collect()
+    assert {r.inertia for r in out} == {sum(d for _, _, d in expected)}
+    assert centroids.described(table.limit(0), 12, 5, 3).count() == 0
+    assert {r.cluster for r in centroids.clustered(table.where("vec_id in (8)"), 12, 5, 3)[0].collect()} == {0}
+    with pytest.raises(Exception, match="components are at most"):
+        centroids.clustered(spark.createDataFrame([(1, [1e9, 0.0, 0.0])], "vec_id long, embedding array<double>"), 2, 1, 3)
+
+
+def test_bounds_spare_most_comparisons_and_change_nothing():
+    rng = np.random.default_rng(1)
+    at = rng.integers(-4000, 4000, (20, 16))
+    v = (at[rng.integers(0, 20, 3000)] + rng.integers(-200, 200, (3000, 16))).astype(np.int64)
+    c, before = v[:20].copy(), None
+    a = b = np.zeros(3000, np.int32)
+    upper, lower, compared = np.full(3000, np.inf), np.zeros(3000), []
+    for _ in range(8):
+        search = centroids.Shallot(c, before)
+        a, b, upper, lower, n = search.assign(v, a, b, upper, lower)
+        compared.append(n)
+        apart = ((v[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+        assert (a == apart.argmin(axis=1)).all()
+        exact = np.sqrt(apart.astype(float))
+        assert (upper >= exact[np.arange(3000), a]).all()
+        exact[np.arange(3000), a] = np.inf
+        assert (lower <= exact.min(axis=1)).all()
+        before, c = c, np.array([v[a == j].sum(axis=0) // max(1, (a == j).sum()) if (a == j).any() else c[j] for j in range(20)])
+    assert compared[0] == 3000 and compared[-1] < 300
