@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shopsight.llm.common import stored, text_column
 
 MAX_REPEATS = 3
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_096
 RANGE_ROWS = 200_000
 MAX_BITS = 24
 HEX_DIGITS = 15

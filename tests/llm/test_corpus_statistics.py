@@ -39,7 +39,7 @@ def brute_targets(sizes):
     return target
 
 
-@pytest.mark.parametrize("rows_per_bucket", [2, 50_000])
+@pytest.mark.parametrize("rows_per_bucket", [2, 4_096])
 def test_mixing_of_edge_cases(spark, monkeypatch, rows_per_bucket):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", rows_per_bucket)
     monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
