@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopsight.llm.common import batch_rows, stored
+from shopsight.llm.common import batch_rows, removed, stored
 
 SCALE = 256
 CLUSTERS = 40
@@ -210,14 +210,6 @@ def _first_state(vectors: DataFrame, size: int) -> DataFrame:
         return stored(vectors.mapInArrow(work, STATE), "centroid-rows")
 
 
-def _removed(state: DataFrame) -> None:
-    """Remove a written table of a former round."""
-    spark = state.sparkSession
-    for path in {f.rsplit("/", 1)[0] for f in state.inputFiles()}:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def clustered(table: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, size: int = SIZE) -> tuple[DataFrame, np.ndarray]:
     """vec_id, cluster and distance (squared) of every kept vector, and the centroids of the last assignment."""
     vectors = whole_vectors(table, size)
@@ -228,7 +220,7 @@ def clustered(table: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, size: i
     for turn in range(rounds + 1):
         last = turn == rounds
         new = _round(state, Shallot(centroids, before), size, last)
-        _removed(state)
+        removed(state)
         state = new
         if not last:
             before, centroids = centroids, _means(state, centroids)

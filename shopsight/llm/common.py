@@ -44,6 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(uri)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more: the folders below the scratch folder that hold their files."""
+    for table in tables:
+        spark = table.sparkSession
+        base = scratch_uri(spark, "x").rsplit("/", 1)[0]
+        inside = base.rsplit("/", 1)[-1] + "/"
+        for top in {f.split(inside, 1)[0] + inside + f.split(inside, 1)[1].split("/", 1)[0] for f in table.inputFiles() if inside in f}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(top)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def input_partitions(df: DataFrame) -> int:
     """The number of scan tasks, which follows the bytes of the input; no job runs."""
     return max(1, df.rdd.getNumPartitions())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopsight.llm import byte_counts, centroids, exact_dedup, langid, licenses, mixing, packing, quality_rules, simhash, spm, token_files, urls
+from shopsight.llm import byte_counts, centroids, exact_dedup, langid, licenses, mixing, packing, phrases, quality_rules, simhash, spm, token_files, urls
 
 END_ID = 1
 TOKEN_LIMIT = 1024
@@ -89,6 +89,10 @@ def centroid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.described(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def phrase_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(documents(spark, sf_dir))
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -108,6 +112,7 @@ QUERIES = {
     "op10_packing": packing_query,
     "op11_mixing": mixing_query,
     "op12_centroids": centroid_query,
+    "op13_phrases": phrase_query,
     "pipeline": pipeline_query,
 }
 
@@ -171,6 +176,32 @@ WITH parts AS (
   FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (page_id)
+""",
+    "op13_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM words, range(1, 5) AS lengths(k) WHERE len(w) >= k
+), counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, cut, array_to_string(string_split(c.phrase, ' ')[1:cut], ' ') AS head, array_to_string(string_split(c.phrase, ' ')[cut + 1:], ' ') AS tail
+  FROM candidates c, range(1, 4) AS places(cut) WHERE cut < c.k
+), scores AS (
+  SELECT c.*, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head AND x.k = cut JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail AND y.k = c.k - cut
+), lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scores) WHERE place = 1
+), inside AS (
+  SELECT lang, sub, max(f) AS longer FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS sub FROM candidates, range(2, 4) AS sizes(m) WHERE m < k) GROUP BY ALL
+), ranked AS (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM lowest s JOIN totals USING (lang) LEFT JOIN inside i ON i.lang = s.lang AND i.sub = s.phrase WHERE NOT coalesce(100 * longer >= 80 * a, false)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """,
     "op12_centroids": _centroid_sql(centroids.CLUSTERS, centroids.ROUNDS, centroids.SIZE),
     "op11_mixing": rf"""

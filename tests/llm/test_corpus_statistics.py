@@ -7,12 +7,11 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
-from itertools import product
 
 import numpy as np
 import pytest
 
-from shopsight.llm import centroids, mixing
+from shopsight.llm import centroids, mixing, phrases
 
 ROWS = [
     (1, "a b  c\n", "x", 0), (2, None, "x", 0), (3, "", None, 0), (None, "one two", None, 0), (4, "w " * 9000, "y", 0), (4, "w " * 9000, "y", 0), (5, "w", "y", 0),
@@ -136,3 +135,53 @@ def test_bounds_spare_most_comparisons_and_change_nothing():
         assert (lower <= exact.min(axis=1)).all()
         before, c = c, np.array([v[a == j].sum(axis=0) // max(1, (a == j).sum()) if (a == j).any() else c[j] for j in range(20)])
     assert compared[0] == 3000 and compared[-1] < 300
+
+
+def brute_phrases(rows, least, limit):
+    """The ranked phrases of (lang, text) rows by plain counting."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(words)
+            for k in range(1, 5):
+                f[lang or "und"].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        found = {p for p, a in counts.items() if len(p) > 1 and a >= least}
+        ranked = []
+        for p in found:
+            a = counts[p]
+            score, _, left, right = min((2000000 * a // (counts[p[:k]] + counts[p[k:]]), k, counts[p[:k]], counts[p[k:]]) for k in range(1, len(p)))
+            longer = [q for q in found if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))]
+            if not any(100 * counts[q] >= 80 * a for q in longer):
+                ranked.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(ranked)[:limit], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("chunk,filter_bytes,shards", [(5, 8, 3), (400_000, 8 << 20, 4), (50, 64, 1)])
+def test_phrases_against_plain_counts(spark, monkeypatch, chunk, filter_bytes, shards):
+    monkeypatch.setattr(phrases, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(phrases, "FILTER_BYTES", filter_bytes)
+    rng = random.Random(3)
+    words = ["a", "B", "cc", "été", "d-d", "x" * 300, "É"]
+    rows = [(rng.choice(["en", "de", None, "und"]), "".join(rng.choice(words[: rng.randint(1, 7)]) + rng.choice([" ", " ", "  ", "\t", ". ", "\n", "!,", "\x0b"]) for _ in range(rng.randint(0, 60)))) for _ in range(120)]
+    rows += [("en", None), ("fr", ""), ("fr", " .\n"), ("es", "q " * 5000), ("pt", "only once here")] + [("en", "hot line of words")] * 40
+    docs = spark.createDataFrame([(i, t, lang, 1) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, k int").repartition(5)
+    found = phrases.top_phrases(docs, 30, 7, shards).collect()
+    assert sorted(map(tuple, found)) == brute_phrases(rows, 7, 30)
+
+
+def test_phrases_of_an_empty_table(spark):
+    assert phrases.top_phrases(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+
+
+def test_filters_hold_what_they_were_given(spark):
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
+    made = phrases.bit_field(spark.createDataFrame([(int(h),) for h in hashes], "h long"), 5000)
+    assert made.holds(hashes.view(np.uint64)).all()
+    assert made.holds(np.random.default_rng(2).integers(0, 2**63, 5000).astype(np.uint64)).mean() < 0.05
+    assert not phrases.bit_field(spark.createDataFrame([], "h long"), 0).holds(hashes.view(np.uint64)).any()
