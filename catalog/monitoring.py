@@ -9,7 +9,7 @@ from shopsight.learn.models import decision_tree
 from shopsight.operators.encode import fit_preprocessor
 from shopsight.session import scratch_uri
 from shopsight.sources import bindings
-from shopsight.streaming.drift import monitor_stream, serving_skew, window_drift
+from shopsight.streaming.drift import WindowMonitor, bin_edges, monitor_stream, serving_skew, window_drift
 from shopsight.streaming.scoring import sampled_log, score_stream
 
 _LIMITS = {"price": 0.2, "delivery_delta": 0.3}
@@ -52,8 +52,7 @@ def skew(spark, sf):
     return rounded(serving_skew(train, serving, ["price", "delivery_delta"], thresholds=_LIMITS))
 
 
-@query(
-    "s2_window_drift",
+_WINDOW_DRIFT = (
     """WITH edge AS (SELECT min(value) AS lo, (max(value) - min(value)) / 10 AS w FROM events),
     b AS (SELECT date_trunc('hour', ts) AS h, greatest(0, least(9, floor((value - lo) / w))) AS bin, count(*) AS n FROM events, edge GROUP BY ALL),
     sh AS (SELECT h, bin, n / sum(n) OVER (PARTITION BY h) AS share FROM b),
@@ -63,8 +62,11 @@ def skew(spark, sf):
       LEFT JOIN sh x ON x.h = grid.before AND x.bin = grid.bin LEFT JOIN sh y ON y.h = grid.h AND y.bin = grid.bin)
     SELECT strftime(h, '%Y-%m-%d %H:%M') AS window_start, round("""
     + _MEASURE
-    + ", 4) AS js FROM pq GROUP BY h",
+    + ", 4) AS js FROM pq GROUP BY h"
 )
+
+
+@query("s2_window_drift", _WINDOW_DRIFT)
 def drift(spark, sf):
     table = window_drift(bindings.table(spark, sf, "events"), "ts", ["value"])
     return rounded(table.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "js"))
@@ -87,6 +89,19 @@ def _stream(spark, sf, name):
     return raw.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else raw
 
 
+@query("s2_successive_stream", _WINDOW_DRIFT)
+def successive_stream(spark, sf):
+    """Each hour of the event stream against the hour before it, the last one closed at the end."""
+    uri = scratch_uri(spark, "windows")
+    edges = bin_edges(bindings.table(spark, sf, "events"), ["value"])
+    monitor = WindowMonitor(edges, "ts", uri, late="1 day")
+    running = monitor.start(_stream(spark, sf, "events"), f"{uri}/checkpoint")
+    running.awaitTermination()
+    monitor.finish(spark, running.lastProgress["batchId"])
+    found = monitor.drift(spark)
+    return rounded(found.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "js"))
+
+
 @query("s2_drift_stream")
 def drift_stream(spark, sf):
     """Hourly windows of the event stream against the histogram of all events."""

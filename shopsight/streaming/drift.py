@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 # Alert thresholds by feature.
 DEFAULT_THRESHOLDS = {"delivery_delta": 0.3, "price": 0.2}
 SMOOTHING = 1e-6
+WINDOW_STATE = "window_start timestamp, window_end timestamp, feature string, bin int, n long, closed boolean, mark timestamp"
 
 
 def bin_edges(df: DataFrame, columns: list[str], bins: int = 10) -> dict[str, tuple[float, float]]:
@@ -92,6 +94,13 @@ def window_drift(
     """Per window and feature: distance to the window before it that has rows."""
     edges = edges or bin_edges(df, columns, bins)
     counts = binned(df, edges, bins, [F.window(ts, every)["start"].alias("window_start")])
+    return successive_drift(counts, bins, thresholds, default)
+
+
+def successive_drift(
+    counts: DataFrame, bins: int = 10, thresholds: Mapping[str, float] = DEFAULT_THRESHOLDS, default: float = 0.3
+) -> DataFrame:
+    """`window_drift` from counts by (window_start, feature, bin)."""
     shares = _shares(counts, ["window_start"], "q")
     # One row per (window, feature) with its whole histogram: the order is over windows, not events.
     hist = shares.groupBy("window_start", "feature").agg(
@@ -162,3 +171,90 @@ def monitor_stream(
         .foreachBatch(compare)
         .start()
     )
+
+
+@dataclass(frozen=True)
+class WindowMonitor:
+    """Drift between successive windows of a stream, with its state in tables.
+
+    After batch i, `state/batch=i` holds the counts of every window that is still open, of the last window closed, and
+    the watermark (latest event so far less `late`). It has a row for each window, feature and bin, whatever the events.
+    Batch i reads the state of batch i - 1 and writes `drift/batch=i`, `late/batch=i` and its own state: a batch that is
+    repeated after a failure replaces its output, and a stream that starts again goes on where it stopped.
+
+    A window closes when the watermark reaches its end, and is compared with the one closed before it that has rows of the
+    feature. Events of closed windows go to `late` with all their columns, so events on time and late ones are all events.
+    Events without a time belong to no window and count as late. `finish` closes what is open when a stream has ended.
+    """
+
+    edges: Mapping[str, tuple[float, float]]
+    ts: str
+    output_uri: str
+    every: str = "1 hour"
+    late: str = "10 minutes"
+    bins: int = 10
+    thresholds: Mapping[str, float] = field(default_factory=lambda: dict(DEFAULT_THRESHOLDS))
+    default: float = 0.3
+
+    def _state(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id < 0:
+            return spark.createDataFrame([], WINDOW_STATE)
+        return spark.read.schema(WINDOW_STATE).parquet(f"{self.output_uri}/state/batch={batch_id}")
+
+    def _close(self, counts: DataFrame, mark: Column, batch: str) -> DataFrame:
+        """Write the drift of the windows that end by `mark`; the counts with the state of their window.
+
+        `counts` has one row for each window, feature and bin; `closed` marks the window that later ones are compared with.
+        """
+        ended = F.col("closed") | (F.col("window_end") <= mark)
+        drifted = successive_drift(counts.where(ended), self.bins, self.thresholds, self.default)
+        drifted.write.mode("overwrite").parquet(f"{self.output_uri}/drift/{batch}")
+        latest = F.max(F.when(ended, F.col("window_start"))).over(Window.partitionBy("feature"))
+        kept = counts.withColumn("_latest", latest).where(~ended | (F.col("window_start") == F.col("_latest")))
+        return kept.withColumn("closed", ended).drop("_latest")
+
+    def batch(self, rows: DataFrame, batch_id: int) -> None:
+        """Add one batch of events."""
+        spark = rows.sparkSession
+        rows = rows.persist()
+        before = self._state(spark, batch_id - 1).persist()
+        reached = before.agg(F.max("mark")).first()[0]
+        seen = F.col(self.ts).cast("timestamp")
+        latest = rows.agg(F.max(seen - F.expr(f"interval {self.late}"))).first()[0]
+        window = F.window(seen, self.every)
+        timed = rows.where(seen.isNotNull())  # Spark's windows drop rows without a time
+        closed = F.lit(False) if reached is None else window["end"] <= F.lit(reached)
+        rows.where(seen.isNull()).unionByName(timed.where(closed).select(*rows.columns)).write.mode("overwrite").parquet(f"{self.output_uri}/late/batch={batch_id}")
+        new = binned(timed.where(~closed), self.edges, self.bins, [window["start"].alias("window_start"), window["end"].alias("window_end")])
+        held = before.where("feature is not null")
+        keys = ["window_start", "window_end", "feature", "bin"]
+        both = held.select(*keys, "n", "closed").unionByName(new.withColumn("closed", F.lit(False)))
+        counts = both.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("closed").alias("closed")).persist()
+        mark = max((m for m in (reached, latest) if m is not None), default=None)
+        state = self._close(counts, F.lit(mark).cast("timestamp"), f"batch={batch_id}")
+        marks = spark.createDataFrame([(mark,)], "mark timestamp")
+        state.unionByName(marks, allowMissingColumns=True).select(*held.columns).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.output_uri}/state/batch={batch_id}"
+        )
+        for frame in (rows, before, counts):
+            frame.unpersist()
+
+    def start(self, stream: DataFrame, checkpoint_uri: str) -> StreamingQuery:
+        """Work off what has arrived, batch by batch."""
+        return (
+            stream.writeStream.option("checkpointLocation", checkpoint_uri)
+            .trigger(availableNow=True)
+            .foreachBatch(self.batch)
+            .start()
+        )
+
+    def finish(self, spark: SparkSession, last_batch: int) -> None:
+        """Close all windows that are open after the last batch."""
+        held = self._state(spark, last_batch).where("feature is not null").drop("mark")
+        self._close(held, F.lit("9999-12-31").cast("timestamp"), "batch=end")
+
+    def drift(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.output_uri}/drift").drop("batch")
+
+    def late_events(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.output_uri}/late").drop("batch")
