@@ -1,15 +1,15 @@
 """Clustering: exact measures on the labelled embeddings, models on the customer table."""
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.base import W, query, r, rounded, wide
 from shopsight.cluster import metrics as M
 from shopsight.cluster.density import dbscan, k_distances, suggest_eps
+from shopsight.cluster.kmeans import assign_to_centres, fit_many
 from shopsight.cluster.models import (
     Mixture,
-    assign_to_centres,
     best_k,
     fit_gmm,
     fit_kmeans,
@@ -105,7 +105,23 @@ def nearest_centre(spark, sf):
 
 @query("m2_kmeans_sweep")
 def sweep(spark, sf):
-    return rounded(sweep_kmeans(_vectors(spark, sf), "id", range(2, 5), restarts=2))
+    return rounded(sweep_kmeans(_vectors(spark, sf), "id"))
+
+
+@query("m2_sweep_fixed_points", W + " SELECT k, (SELECT count(*) FROM cust) AS customers, 0 AS empty, 0 AS moved, true AS cost_agrees FROM (SELECT unnest(range(2, 11))::INT AS k)")
+def sweep_fixed_points(spark, sf):
+    """For each k of the sweep: no cluster is empty, every centre is the mean of its customers, and the cost is that of the assignment."""
+    vectors = _vectors(spark, sf)
+    x = vector_to_array("features")
+    rows = []
+    for k, model in fit_many(vectors, range(2, 11)).items():
+        found = assign_to_centres(vectors, model.centres.tolist())
+        dims = model.centres.shape[1]
+        means = found.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.col("distance") * F.col("distance")).alias("cost"), F.array(*[F.avg(x[i]) for i in range(dims)]).alias("mean")).collect()
+        away = sum(float(np.abs(np.array(m["mean"]) - model.centres[m["cluster"]]).max()) > 1e-3 for m in means)
+        cost = sum(m["cost"] for m in means)
+        rows.append((k, sum(m["n"] for m in means), k - len(means), int(away), abs(cost - model.cost) <= 1e-6 * cost))
+    return spark.createDataFrame(rows, "k int, customers long, empty int, moved int, cost_agrees boolean")
 
 
 @query(
@@ -353,7 +369,7 @@ def labels(spark, sf):
 @query("m14_segmentation")
 def segmentation(spark, sf):
     result = segment_customers(
-        _customers(spark, sf), k=4, ks=range(2, 4), restarts=2, mixture_restarts=1, sweep_mixtures=False
+        _customers(spark, sf), k=4
     )
     return rounded(result.comparison)
 
@@ -362,7 +378,7 @@ def segmentation(spark, sf):
 def artifacts(spark, sf):
     """Save a segmentation, load its fitted stages, score with them: sizes must agree with the saved labels."""
     customers = _customers(spark, sf)
-    result = segment_customers(customers, k=3, ks=[3], restarts=1, mixture_restarts=1, sweep_mixtures=False, silhouette="squared")
+    result = segment_customers(customers)
     uri = scratch_uri(spark, "segments")
     save_segmentation(result, uri)
     scored = score_customers(customers, *load_segmentation(uri)).select("customer_unique_id", "cluster_id")
@@ -416,4 +432,4 @@ def chi(spark, sf):
 
 @query("m17_gap_statistic")
 def gap(spark, sf):
-    return rounded(gap_statistic(_vectors(spark, sf), [2, 3], samples=2))
+    return rounded(gap_statistic(_vectors(spark, sf), range(2, 11)))

@@ -11,6 +11,7 @@ from shopsight.learn import explain as X, metrics as M, models as L, search as S
 from shopsight.learn.predict import batch_predict
 from shopsight.operators.encode import feature_names, fit_preprocessor
 from shopsight.operators.quality import Rule
+from shopsight.operators.ranking import running_totals
 from shopsight.operators.split import assign_time_split, expanding_folds, stratified_folds
 from shopsight.operators.targets import add_targets
 from shopsight.plans.satisfaction import save_trained, train_classifiers, train_regressors
@@ -90,14 +91,18 @@ def _judged(spark, sf, estimator, name):
 
 
 def _valid(spark, sf, estimator):
-    """Held-out documents, those without a class and a score in 0..1, and whether the ranking beats chance."""
+    """Held-out documents, those without a class and a score in 0..1, and whether the AUC is that of the scores' ranks."""
     found = _held_out(spark, sf, estimator).persist()
     sound = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0, 1)
     sizes = found.agg(F.count("*").alias("documents"), (F.count("*") - F.count_if(sound)).alias("off"))
-    return sizes.join(M.evaluate_classifier(found, "model").select((F.col("roc_auc") > 0.5).alias("better")))
+    tied = found.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    below = running_totals(tied, ["score"], {"negatives": "neg"})
+    auc = F.try_divide(F.sum(F.col("pos") * (F.col("negatives") - F.col("neg") / 2)), F.sum("pos") * F.sum("neg"))
+    both = below.agg(auc.alias("auc")).join(M.evaluate_classifier(found, "model").select("roc_auc"))
+    return sizes.join(both.select(F.coalesce(F.abs(F.col("auc") - F.col("roc_auc")) < 1e-9, F.lit(True)).alias("auc_agrees")))
 
 
-_VALID = """SELECT count(*) AS documents, 0::BIGINT AS off, true AS better FROM (
+_VALID = """SELECT count(*) AS documents, 0::BIGINT AS off, true AS auc_agrees FROM (
   SELECT row_number() OVER (PARTITION BY quality ORDER BY doc_id) AS place FROM labels JOIN documents USING (doc_id)) WHERE (place - 1) % 5 = 4"""
 
 

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
+from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, start_centres
 from shopsight.cluster.metrics import (
     MEASURES,
     calinski_harabasz,
@@ -23,35 +24,14 @@ from shopsight.cluster.metrics import (
 from shopsight.session import cut_lineage, together
 
 MICRO_CLUSTERS = 2000
-START_ROUNDS = 10
-START_ROWS = 4096
 COVARIANCE_RIDGE = 1e-6
 MIN_WEIGHT = 1e-12
 SUMS = pa.schema([("model", pa.int32()), ("component", pa.int32()), ("sums", pa.list_(pa.float64()))])
 
 
-def fit_kmeans(
-    vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300, threads: int = 4
-) -> KMeansModel:
-    """The restart with the lowest cost. `vectors` should be persisted by the caller."""
-
-    def once(offset: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + offset, maxIter=max_iter, tol=1e-4).fit(vectors)
-
-    models = together(vectors.sparkSession, once, range(restarts), threads)
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
-def assign_to_centres(vectors: DataFrame, centres: list[list[float]], features: str = "features") -> DataFrame:
-    """Nearest of the given centres (lowest number on ties), as an expression."""
-    x = vector_to_array(features) if dict(vectors.dtypes)[features] != "array<double>" else F.col(features)
-    options = []
-    for i, centre in enumerate(centres):
-        point = F.array(*[F.lit(float(v)) for v in centre])
-        gap = F.aggregate(F.zip_with(x, point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, g: s + g)
-        options.append(F.struct(gap.alias("d"), F.lit(i).alias("i")))
-    nearest = F.array_min(F.array(*options))
-    return vectors.withColumns({"cluster": nearest["i"], "distance": F.sqrt(nearest["d"])})
+def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300) -> CentreModel:
+    """The restart with the lowest cost; all restarts share their passes. `vectors` should be persisted by the caller."""
+    return fit_many(vectors, [k], seed, restarts, max_iter)[k]
 
 
 def sweep_kmeans(
@@ -63,21 +43,27 @@ def sweep_kmeans(
     silhouette: str = "squared",
     threads: int = 4,
 ) -> DataFrame:
-    """k, inertia, silhouette (by the given measure), davies_bouldin, calinski_harabasz and measure for each k."""
+    """k, inertia, silhouette (by the given measure), davies_bouldin, calinski_harabasz and measure for each k.
+
+    The models of all k and restarts are fitted in the same passes.
+    """
     if silhouette not in MEASURES:
         raise ValueError(f"silhouette is one of {MEASURES}")
 
+    ks = list(ks)
+    models = fit_many(vectors, ks, seed, restarts)
+
     def once(k: int) -> tuple:
-        model = fit_kmeans(vectors, k, seed, restarts, threads=1)
+        model = models[k]
         labelled = model.transform(vectors).withColumnRenamed("prediction", "cluster").persist()
         score = exact_silhouette(labelled, id_column) if silhouette == "exact" else squared_silhouette(labelled)
         centroids = centroid_table(labelled).persist()
-        row = (k, float(model.summary.trainingCost), score, davies_bouldin(centroids), calinski_harabasz(centroids), silhouette)
+        row = (k, model.cost, score, davies_bouldin(centroids), calinski_harabasz(centroids), silhouette)
         centroids.unpersist()
         labelled.unpersist()
         return row
 
-    rows = together(vectors.sparkSession, once, list(ks), threads)
+    rows = together(vectors.sparkSession, once, ks, threads)
     schema = "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double, measure string"
     return vectors.sparkSession.createDataFrame(rows, schema)
 
@@ -88,7 +74,7 @@ def best_k(sweep: DataFrame) -> int:
 
 
 def gap_statistic(vectors: DataFrame, ks: Iterable[int], samples: int = 5, seed: int = 42, restarts: int = 1) -> DataFrame:
-    """Mean log cost on uniform data in the same box minus the log cost on the data, per k."""
+    """Mean log cost on uniform data in the same box minus the log cost on the data, per k; one set of passes a sample."""
     spark = vectors.sparkSession
     xs = vectors.select(vector_to_array("features").alias("x")).persist()
     dims = len(xs.first()["x"])
@@ -96,19 +82,16 @@ def gap_statistic(vectors: DataFrame, ks: Iterable[int], samples: int = 5, seed:
         F.array(*[F.min(F.col("x")[i]) for i in range(dims)]).alias("lo"),
         F.array(*[F.max(F.col("x")[i]) for i in range(dims)]).alias("hi"),
     ).first()
-    n = xs.count()
-    rows = []
-    for k in ks:
-        cost = np.log(fit_kmeans(vectors, k, seed, restarts).summary.trainingCost)
-        logs = []
-        for b in range(samples):
-            axes = [
-                F.lit(box["lo"][i]) + F.rand(seed + b * dims + i) * (box["hi"][i] - box["lo"][i]) for i in range(dims)
-            ]
-            uniform = spark.range(n).select(array_to_vector(F.array(*axes)).alias("features")).persist()
-            logs.append(np.log(fit_kmeans(uniform, k, seed, restarts).summary.trainingCost))
-            uniform.unpersist()
-        rows.append((k, float(np.mean(logs) - cost), float(np.std(logs) * np.sqrt(1 + 1 / samples))))
+    n, ks = xs.count(), list(ks)
+    costs = {k: np.log(m.cost) for k, m in fit_many(vectors, ks, seed, restarts).items()}
+    logs: dict[int, list[float]] = {k: [] for k in ks}
+    for b in range(samples):
+        axes = [F.lit(box["lo"][i]) + F.rand(seed + b * dims + i) * (box["hi"][i] - box["lo"][i]) for i in range(dims)]
+        uniform = spark.range(n).select(array_to_vector(F.array(*axes)).alias("features")).persist()
+        for k, model in fit_many(uniform, ks, seed, restarts).items():
+            logs[k].append(np.log(model.cost))
+        uniform.unpersist()
+    rows = [(k, float(np.mean(logs[k]) - costs[k]), float(np.std(logs[k]) * np.sqrt(1 + 1 / samples))) for k in ks]
     xs.unpersist()
     return spark.createDataFrame(rows, "k int, gap double, deviation double")
 
@@ -195,17 +178,7 @@ def _mixture_sums(points: DataFrame, models: list[Mixture]) -> list[tuple[float,
 
 
 def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> Mixture:
-    """K-Means centres of a few rows, spread by their squared distances at first."""
-    centres = x[[rng.integers(len(x))]]
-    gaps = ((x - centres[0]) ** 2).sum(axis=1)
-    for _ in range(k - 1):
-        total = gaps.sum()
-        centres = np.vstack([centres, x[rng.choice(len(x), p=gaps / total if total > 0 else None)]])
-        gaps = np.minimum(gaps, ((x - centres[-1]) ** 2).sum(axis=1))
-    for _ in range(START_ROUNDS):
-        label = distances(x.ravel(), len(x), centres.ravel(), k).argmin(axis=1)
-        centres = np.stack([x[label == j].mean(axis=0) if (label == j).any() else centres[j] for j in range(k)])
-    return Mixture(np.full(k, 1 / k), centres, None)
+    return Mixture(np.full(k, 1 / k), start_centres(x, k, rng), None)
 
 
 def fit_mixtures(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.functions.values import finite
 from shopsight.operators.profile import correlation_pairs
-from shopsight.operators.ranking import medians, quantiles
+from shopsight.operators.ranking import medians, null_safe_left, quantiles
 
 
 @dataclass
@@ -220,7 +220,7 @@ def target_encoded(train: DataFrame, df: DataFrame, column: str, target: str, sm
     """Encode `df` with what `train` shows; unseen values get the training mean."""
     mean = train.agg(F.avg(target)).first()[0]
     name = f"{column}_target"
-    joined = df.join(target_encoding(train, column, target, smoothing), column, "left")
+    joined = null_safe_left(df, target_encoding(train, column, target, smoothing), [column])
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(mean)))
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from shopsight.functions.values import clip
-from shopsight.operators.ranking import ROWS_PER_RANGE, cut_ranges, quantiles
+from shopsight.operators.ranking import ROWS_PER_RANGE, cut_ranges, null_safe_left, quantiles
 from shopsight.operators.targets import correct_types
 
 STRATEGIES = ("drop", "mean", "median", "mode", "constant", "keep")
@@ -376,7 +376,7 @@ def forward_fill(
     earlier = Window.partitionBy(*partition_by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(*keys, *[F.last(f"_in_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns])
     here = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    filled = frame.join(carried, keys, "left").withColumns(
+    filled = null_safe_left(frame, carried, keys).withColumns(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(here), F.col(f"_in_{c}")) for c in columns}
     )
     return filled.select(*df.columns)

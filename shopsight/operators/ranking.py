@@ -201,6 +201,13 @@ def medians(df: DataFrame, columns: Sequence[str], keep: bool = True) -> dict[st
     return {c: (q[0] if q else None) for c, q in quantiles(df, columns, [0.5], keep).items()}
 
 
+def null_safe_left(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on `keys` in which null meets null; `table` has one row for each combination of them."""
+    other = table.select(*[F.col(k).alias(f"_same_{k}") for k in keys], *[c for c in table.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys])
+    return df.join(other, same, "left").drop(*[f"_same_{k}" for k in keys])
+
+
 def _range_index(df: DataFrame, source: str, bounds: Sequence[float], target: str) -> DataFrame:
     edges = [-math.inf, *bounds, math.inf]
     return Bucketizer(splits=edges, inputCol=source, outputCol=target, handleInvalid="keep").transform(df)
@@ -287,7 +294,7 @@ def running_totals(
     before = Window.partitionBy(*within).orderBy("_r1", "_r2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
     local = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = frame.join(offsets, part, "left")
+    joined = null_safe_left(frame, offsets, part)
     out = joined.withColumns(
         {s: F.sum(f"_v_{s}").over(local) + F.coalesce(F.col(f"_o_{s}"), F.lit(0)) for s in sums}
     )

@@ -7,10 +7,10 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.cluster.density import dbscan, k_distances, suggest_eps
+from shopsight.cluster.kmeans import CentreModel
 from shopsight.cluster.metrics import compare_methods
 from shopsight.cluster.models import best_k, fit_gmm, fit_kmeans, gmm_labels, hierarchical, sweep_gmm, sweep_kmeans
 from shopsight.cluster.prepare import CLUSTER_FEATURES, fit_cluster_prep
@@ -27,7 +27,7 @@ from shopsight.sources.writers import write_metadata, write_table
 class Segmentation:
     customers: DataFrame
     prep: PipelineModel
-    model: KMeansModel
+    model: CentreModel
     k: int
     sweep: DataFrame
     mixtures: DataFrame | None
@@ -102,7 +102,7 @@ def segment_customers(
 def save_segmentation(result: Segmentation, uri: str) -> None:
     """Fitted stages, tables and the clustered customers under one folder."""
     result.prep.write().overwrite().save(f"{uri}/preparation")
-    result.model.write().overwrite().save(f"{uri}/kmeans")
+    result.model.save(f"{uri}/kmeans")
     write_table(result.customers, f"{uri}/customers")
     for name in ("sweep", "comparison", "profile", "summary", "labels"):
         write_table(getattr(result, name), f"{uri}/{name}", "csv")
@@ -110,8 +110,8 @@ def save_segmentation(result: Segmentation, uri: str) -> None:
     write_metadata(result.customers.sparkSession, facts, f"{uri}/metadata")
 
 
-def load_segmentation(uri: str) -> tuple[PipelineModel, KMeansModel]:
-    return PipelineModel.load(f"{uri}/preparation"), KMeansModel.load(f"{uri}/kmeans")
+def load_segmentation(uri: str) -> tuple[PipelineModel, CentreModel]:
+    return PipelineModel.load(f"{uri}/preparation"), CentreModel.load(f"{uri}/kmeans")
 
 
 def main(argv: list[str] | None = None) -> None:

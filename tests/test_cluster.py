@@ -1,11 +1,13 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shopsight.cluster import metrics as M
+from shopsight.cluster import kmeans as kmeans_module, metrics as M
 from shopsight.cluster.blocks import make_blocks
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
+from shopsight.cluster.kmeans import CentreModel, fit_many, lloyd
 from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, linkage_table, merge_tree, micro_clusters, sweep_gmm
 from shopsight.cluster.segments import business_labels
 
@@ -216,3 +218,38 @@ def test_ward_leaves_are_fitted_centres_whatever_the_row_count(spark):
         assert {(r.method, 3 <= r.micro_clusters <= min(m, 60)) for r in found} == {("ward", True)}
         tree = linkage_table(vectors, "id", m).collect()
         assert {(r.method, r.micro_clusters) for r in tree} == {("ward", len(tree) + 1)}
+
+
+def test_shared_passes_equal_plain_lloyd(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.4, (80, 3)) for c in ((0, 0, 0), (4, 0, 1), (0, 5, -2))])
+    points = spark.createDataFrame([(row.tolist(),) for row in x], "x array<double>").repartition(4)
+    starts = [x[rng.choice(len(x), k, replace=False)] for k in (1, 2, 3, 5)] + [np.concatenate([x[:2], [[99.0, 99.0, 99.0]]])]
+    starts.append(starts[2][::-1])  # the same centres in another order: followed once
+    for start, model in zip(starts, lloyd(points, starts, tol=0.0)):
+        centres = np.array(start, float)
+        for _ in range(model.rounds + 1):
+            gaps = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+            label = gaps.argmin(axis=1)
+            centres = np.stack([x[label == j].mean(axis=0) if (label == j).any() else centres[j] for j in range(len(centres))])
+        assert np.allclose(sorted(model.centres.tolist()), sorted(centres.tolist()))
+        assert np.isclose(model.cost, gaps.min(axis=1).sum())
+
+
+def test_one_pass_serves_all_k_and_restarts(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 0.2, (60, 2)) for c in ((0, 0), (3, 0), (0, 3), (3, 3))])
+    vectors = spark.createDataFrame([(i, Vectors.dense(row)) for i, row in enumerate(x.tolist())], ["id", "features"]).persist()
+    passes = []
+    plain = kmeans_module._pass
+    monkeypatch.setattr(kmeans_module, "_pass", lambda points, models: passes.append(len(models)) or plain(points, models))
+    best = fit_many(vectors, [2, 4, 1], restarts=4)
+    assert passes[0] == 12 and len(passes) <= 1 + max(m.rounds for m in best.values()) + 20 and passes[-1] < 12
+    assert best[4].cost < best[2].cost < best[1].cost and best[4].cost < 60
+    best[4].save(f"{tmp_path}/model")
+    again = CentreModel.load(f"{tmp_path}/model")
+    assert np.array_equal(again.centres, best[4].centres) and again.cost == best[4].cost
+    found = again.transform(vectors)
+    assert found.columns == ["id", "features", "prediction"] and found.groupBy("prediction").count().collect().__len__() == 4
+    with pytest.raises(ValueError):
+        fit_many(vectors.limit(0), [2])

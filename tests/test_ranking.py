@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsight.operators import ranking as R
+from shopsight.operators.encode import target_encoded
+from shopsight.operators.quality import forward_fill
 
 
 def frame(spark, n=5000, heavy=True):
@@ -89,3 +91,27 @@ def test_a_rank_between_two_heavy_values_is_found(spark):
     ranks = [0, 9_999, 10_000, 10_002, 10_005, 10_006, 20_005]
     got = R.order_statistics(df, "x", ranks, buffer_values=3)
     assert got == {r: (ordered[r], ordered.index(ordered[r])) for r in ranks}
+
+
+@pytest.mark.parametrize("rows_per_range", [10, 1_000_000])
+def test_null_groups_are_groups(spark, rows_per_range):
+    rows = [(i, None if i % 3 == 0 else f"g{i % 3}", float((i * 37) % 101)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    out = R.global_rank(df, ["x", "id"], "k", within=["g"], rows_per_range=rows_per_range).collect()
+    for group in (None, "g1", "g2"):
+        mine = sorted((r for r in out if r.g == group), key=lambda r: (r.x, r.id))
+        assert [r.k for r in mine] == list(range(1, 51))
+
+
+@pytest.mark.parametrize("rows_per_range", [10, 1_000_000])
+def test_null_partitions_are_filled(spark, rows_per_range):
+    rows = [(i, None if i % 2 else "p", float(i) if i < 2 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, p string, v double")
+    assert {(r.id, r.v) for r in forward_fill(df, ["p"], ["id"], ["v"], rows_per_range).collect()} == {(i, float(i % 2)) for i in range(100)}
+
+
+def test_a_null_level_is_encoded_by_what_training_shows(spark):
+    train = spark.createDataFrame([(None, 1.0), (None, 1.0), ("a", 0.0), ("a", 0.0)], "c string, y double")
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, "new")], "id int, c string")
+    out = {r.id: r.c_target for r in target_encoded(train, df, "c", "y", smoothing=0.0).collect()}
+    assert out == {1: 1.0, 2: 0.0, 3: 0.5}
