@@ -92,20 +92,30 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
     """A model of the languages in the labelled rows of `docs` (doc_id, text, lang) that aren't held out."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    languages = sorted(row.lang for row in labelled.select("lang").distinct().limit(sample_rows).collect())
+    mark = F.xxhash64(F.col("text").cast("string"))
+    marked = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", mark.alias("mark")).withColumn("h", F.xxhash64("doc_id", "mark"))
+    sizes = marked.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    known = sizes.limit(sample_rows + 1).collect()
+    if len(known) > sample_rows:
+        raise ValueError(f"more than {sample_rows} languages: raise sample_rows")
+    languages = sorted(row["lang"] for row in known)
     if not languages:
         return LanguageModel([], np.zeros((COLUMNS, 0), np.float32))
     quota = max(1, sample_rows // len(languages))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= quota)
-    texts = labelled.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # rows whose hash lies below a threshold that leaves some more than the quota of each language, so that few are ranked
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, (2 * quota + 100) / max(1, r["n"]))) for r in known], "lang string, share double")
+    few = marked.join(F.broadcast(shares), "lang").where(F.shiftrightunsigned("h", 11) / 2.0**53 < F.col("share")).select("doc_id", "lang", "mark", "h").distinct()
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", "mark")
+    chosen = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= quota).drop("h")
+    texts = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", mark.alias("mark"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(chosen), ["doc_id", "lang", "mark"]).dropDuplicates(["doc_id", "lang", "mark"])
 
     def work(part: pa.RecordBatch) -> dict:
         bits = np.packbits(presence(part.column("text").to_pylist()), axis=1)
         return {"doc_id": part.column("doc_id"), "lang": part.column("lang"), "place": part.column("place"), "bits": [b.tobytes() for b in bits]}
 
-    rows = batches(texts.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "place", "text"), work, "doc_id long, lang string, place int, bits binary")
-    sample = sorted(rows.collect(), key=lambda r: (r.place, r.lang, r.doc_id, r.bits))[:sample_rows]
+    rows = batches(texts.select("doc_id", "lang", "place", "text"), work, "doc_id long, lang string, place int, bits binary")
+    sample = sorted(rows.collect(), key=lambda r: (r.place, r.lang, r.doc_id, r.bits))
     return _solve(sample, languages, landmarks, ridge)
 
 

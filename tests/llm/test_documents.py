@@ -257,6 +257,17 @@ def brute_kernel(a, b):
     return [len(x & y) for x, y in zip(*sets)]
 
 
+def test_language_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    rows = [(3, "the same words of a text", "en")] * 300 + [(3, f"ein anderer Text {i}", "de") for i in range(300)] + [(i, f"le texte numero {i}", "fr") for i in range(400)]
+    sizes = []
+    solve = langid._solve
+    monkeypatch.setattr(langid, "_solve", lambda sample, *rest: sizes.append(Counter(r.lang for r in sample)) or solve(sample, *rest))
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6), sample_rows=90)
+    assert sizes == [{"en": 1, "de": 30, "fr": 30}] and model.languages == ["de", "en", "fr"]
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=2)
+
+
 def test_presence_counts_common_short_grams():
     a, b = langid.presence(["banana band", "bandana"]).astype(int)
     assert (a[:256] & b[:256]).sum() == brute_kernel("banana band", "bandana")[0]
