@@ -7,10 +7,11 @@ shard once. So lengths are interleaved: most pairs are counted while words still
 are rare. A phrase with `min_count` occurrences has parts with as many, so none is missed, and whoever is active
 sees the whole corpus, so counts are exact.
 
-A scan task may count a phrase if filters of the parts let it through: bit fields of at most `FILTER_BYTES` each, whatever
-the number of parts, one of the parts that are frequent so far and one of those that became so within the last
-cycle (a phrase of which neither part is among them has completed its cycle). What passes by a false positive, or
-too early, meets the written table of frequent phrases in an exact join and goes.
+When a part becomes frequent, its step is noted in two cells of a table of `CELLS` bytes a length, unless they already hold
+an earlier one. The later of its two cells is the step from which a task takes a part as frequent. It is never later than
+the true one, stays the same once it is set, and every task reads it from the same table; so each phrase has one first
+step and is counted through exactly one cycle. Parts that share cells only let more phrases be counted; a table
+that has filled up costs time, not exactness. The tables are all that is broadcast.
 
 Results: candidates are the phrases of 2 to `LONGEST` words; see `scored` and `top_phrases`.
 
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.llm.common import bounded_batches, removed, stored, text_column
@@ -34,13 +36,13 @@ MIN_COUNT = 30
 LONGEST = 4
 SHARDS = 4
 CHUNK_WORDS = 400_000
-FILTER_BYTES = 8 << 20
-BITS_PER_PHRASE = 16
+CELLS = 1 << 23
+NEVER = 255
+MARK = "\n"  # no phrase has one, so the last one in a key ends the language
 SEED = 42
 SALTS = 32
 BREAK = b"\n"
 FOLDED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\v\f\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
-COUNTED = "lang string, k int, phrase string, h long, c long"
 KEY = ["lang", "k", "phrase"]
 
 
@@ -52,34 +54,44 @@ def mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-class BitField:
-    """A Bloom filter with two bits a phrase."""
+def places(hashes: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two cells of each phrase."""
+    n = np.uint64(cells)
+    return (hashes % n).astype(np.int64), ((hashes >> np.uint64(29)) % n).astype(np.int64)
 
-    def __init__(self, words: np.ndarray | None = None):
-        self.words = words
 
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        if self.words is None:
-            return np.zeros(len(hashes), bool)
-        n = np.uint64(64 * len(self.words))
-        found = np.ones(len(hashes), bool)
-        for bits in (hashes % n, (hashes >> np.uint64(20)) % n):
-            found &= (self.words[bits >> np.uint64(6)] >> (bits & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return found
+def steps_of(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The step from which each phrase is taken as frequent, `NEVER` if it is not."""
+    first, second = places(hashes, len(table))
+    return np.maximum(table[first], table[second])
 
 
-def bit_field(hashes: DataFrame, n: int) -> BitField:
-    """The filter of a column h of n rows: words of 64 bits are gathered by Spark, at most `FILTER_BYTES` reach the driver."""
-    if not n:
-        return BitField()
-    size = min(FILTER_BYTES // 8, max(1, n * BITS_PER_PHRASE // 64))
-    size = 1 << (size.bit_length() - 1)  # a power of two: the remainder is a mask of bits
-    bits = F.explode(F.array(F.col("h").bitwiseAND(64 * size - 1), F.shiftrightunsigned("h", 20).bitwiseAND(64 * size - 1)))
-    placed = hashes.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    words = np.zeros(size, np.uint64)
-    found = placed.toArrow()
-    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return BitField(words)
+def noted(tables: dict[int, np.ndarray], reached: DataFrame, step: int, cells: int) -> None:
+    """Note in the tables which phrases (column key) became frequent; at most a row for 64 cells reaches the driver."""
+    from xxhash import xxh64_intdigest
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            ks, hashes = [], []
+            for key in part.column("key").to_pylist():
+                lang, words = key.rsplit(MARK, 1)
+                own = [xxh64_intdigest(f"{lang}{MARK}{w}", SEED) for w in words.split(" ")]
+                h = np.array([own[0]], np.uint64)
+                for w in own[1:]:
+                    h = mixed(h, np.array([w], np.uint64))
+                ks.append(len(own))
+                hashes.append(h[0])
+            two = np.concatenate(places(np.array(hashes, np.uint64), cells))
+            yield pa.RecordBatch.from_arrays([pa.array(ks * 2, pa.int32()), pa.array(two)], names=["k", "cell"])
+
+    found = reached.select("key").mapInArrow(work, "k int, cell long")
+    words = found.groupBy("k", F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).toArrow()
+    for k in set(words.column("k").to_pylist()):
+        own = words.filter(pa.compute.equal(words.column("k"), k))
+        bits = np.unpackbits(own.column("bits").to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        cell = (own.column("word").to_numpy()[:, None] * 64 + np.arange(64))[bits.astype(bool)]
+        table = tables.setdefault(k, np.full(cells, NEVER, np.uint8))
+        table[cell] = np.minimum(table[cell], step)
 
 
 class _Words(dict):
@@ -90,8 +102,8 @@ class _Words(dict):
         return number
 
 
-def _chunk(lang: str, texts: list[bytes], gates: dict[int, tuple[BitField, BitField | None]], single: bool) -> Iterator[tuple]:
-    """(k, phrases, hashes, counts) for each length to be counted."""
+def _chunk(lang: str, texts: list[bytes], tables: dict[int, np.ndarray], step: int, shards: int) -> Iterator[tuple]:
+    """(phrases, first steps, counts) of the active phrases of each length."""
     from xxhash import xxh64_intdigest
 
     known = _Words({BREAK: 0})
@@ -100,7 +112,7 @@ def _chunk(lang: str, texts: list[bytes], gates: dict[int, tuple[BitField, BitFi
     ids = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
     ids = np.append(ids, 0)
     words = list(known)
-    mark = lang.encode() + b"\x00"
+    mark = (lang + MARK).encode()
     own = np.array([xxh64_intdigest(mark + w, SEED) for w in words], np.uint64)
     spelled = [w.decode("utf-8", "replace") for w in words]
     at = np.flatnonzero(ids)  # places where a phrase of the length at hand starts
@@ -108,14 +120,13 @@ def _chunk(lang: str, texts: list[bytes], gates: dict[int, tuple[BitField, BitFi
     values, code, times = np.unique(code, return_inverse=True, return_counts=True)
     hashes = own[values]
     ends = values[:, None]  # the words of each different phrase
-    if single:
-        yield 1, [spelled[i] for i in values.tolist()], hashes, times
+    if step < shards:
+        yield [spelled[i] for i in values.tolist()], np.zeros(len(values), np.int32), times
     for k in range(2, LONGEST + 1):
-        if k not in gates:
+        if k - 1 not in tables:
             break
-        frequent, recent = gates[k]
-        ok = frequent.holds(hashes)
-        fresh = recent.holds(hashes) if recent is not None else np.ones(len(hashes), bool)
+        since = steps_of(tables[k - 1], hashes).astype(np.int32)
+        ok = since < step
         # a phrase starts where its first k-1 words do, and its last k-1 words start one place later
         place = np.full(len(ids), -1, np.int64)
         place[at] = code
@@ -130,23 +141,22 @@ def _chunk(lang: str, texts: list[bytes], gates: dict[int, tuple[BitField, BitFi
         lead, follow = values // max(1, len(hashes)), values % max(1, len(hashes))
         last = ends[follow, -1]
         ends = np.concatenate([ends[lead], last[:, None]], axis=1)
-        active = fresh[lead] | fresh[follow]
+        begun = np.maximum(since[lead], since[follow]) + 1
+        active = begun + shards > step
         hashes = mixed(hashes[lead], own[last])
         at = start
         if active.any():
             rows = ends[active].tolist()
-            yield k, [" ".join([spelled[i] for i in row]) for row in rows], hashes[active], times[active]
+            yield [" ".join([spelled[i] for i in row]) for row in rows], begun[active], times[active]
 
 
-def _scan(shard: DataFrame, gates: dict, single: bool) -> DataFrame:
-    """Counts of the phrases of a shard that the gates let through."""
-    shared = shard.sparkSession.sparkContext.broadcast(gates)
+def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: int) -> DataFrame:
+    """key (language and phrase), c and begun of the phrases that are active in this step, as each task's chunks count them."""
+    shared = shard.sparkSession.sparkContext.broadcast(tables)
 
     def batch(lang: str, made: tuple) -> pa.RecordBatch:
-        k, phrases, h, times = made
-        n = len(phrases)
-        columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(phrases, pa.string()), pa.array(h.view(np.int64)), pa.array(times.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "h", "c"])
+        phrases, begun, times = made
+        return pa.RecordBatch.from_arrays([pa.array([f"{lang}{MARK}{p}" for p in phrases], pa.string()), pa.array(times.astype(np.int64)), pa.array(begun, pa.int32())], names=["key", "c", "begun"])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
@@ -156,16 +166,15 @@ def _scan(shard: DataFrame, gates: dict, single: bool) -> DataFrame:
                 waiting.setdefault(lang, []).append(text)
                 size[lang] = size.get(lang, 0) + len(text)
                 if size[lang] > 6 * CHUNK_WORDS:
-                    for made in _chunk(lang, waiting.pop(lang), shared.value, single):
+                    for made in _chunk(lang, waiting.pop(lang), shared.value, step, shards):
                         yield batch(lang, made)
                     del size[lang]
         for lang, texts in waiting.items():
-            for made in _chunk(lang, texts, shared.value, single):
+            for made in _chunk(lang, texts, shared.value, step, shards):
                 yield batch(lang, made)
 
     bounded_batches(shard.sparkSession)
-    counted = shard.select("lang", "text").mapInArrow(work, COUNTED)
-    return counted.groupBy(*KEY).agg(F.first("h").alias("h"), F.sum("c").alias("c"))
+    return shard.select("lang", "text").mapInArrow(work, "key string, c long, begun int")
 
 
 def _sharded(docs: DataFrame, shards: int) -> DataFrame:
@@ -178,56 +187,33 @@ def _sharded(docs: DataFrame, shards: int) -> DataFrame:
     return docs.sparkSession.read.schema("lang string, text binary, shard int").parquet(uri)
 
 
-def _due(counted: DataFrame, state: DataFrame, step: int, shards: int) -> DataFrame:
-    """The counts of longer phrases that are active in this step, with the step in which they became so."""
-    parts = state.where("reached is not null").select("lang", "k", "phrase", "reached")
-    longer = counted.where("k > 1").withColumn("part", F.col("k") - 1)
-    longer = longer.withColumn("lead", F.expr("substring_index(phrase, ' ', part)")).withColumn("tail", F.expr("substring(phrase, instr(phrase, ' ') + 1)"))
-    for name in ("lead", "tail"):
-        own = parts.select(F.col("lang").alias("_lang"), F.col("k").alias("_k"), F.col("phrase").alias("_phrase"), F.col("reached").alias(f"{name}_reached"))
-        longer = longer.join(own, (F.col("lang") == F.col("_lang")) & (F.col("part") == F.col("_k")) & (F.col(name) == F.col("_phrase"))).drop("_lang", "_k", "_phrase")
-    begun = F.greatest("lead_reached", "tail_reached") + 1
-    return longer.withColumn("begun", begun).where((F.col("begun") <= step) & (step < F.col("begun") + shards)).select(*KEY, "h", "c", "begun")
-
-
 def counted_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, f) of every phrase of up to `LONGEST` words with f >= min_count, and (lang, n)."""
     spark = docs.sparkSession
     dealt = _sharded(docs, shards)
-    state = stored(spark.createDataFrame([], "lang string, k int, phrase string, h long, c long, begun int, reached int"), "phrase-counts")
-    words = []
-    step = 0
-    while True:
-        known = {(r["k"], r["recent"]): r["n"] for r in state.where("reached is not null").groupBy("k", (F.col("reached") >= step - shards).alias("recent")).agg(F.count("*").alias("n")).collect()}
-        single = step < shards
-        if not single and not any(known.get((k, True)) for k in range(1, LONGEST)):
-            break
-        gates = {}
-        for k in range(2, LONGEST + 1):
-            fresh, n = known.get((k - 1, True), 0), known.get((k - 1, True), 0) + known.get((k - 1, False), 0)
-            if not n:
-                break
-            mine = state.where((F.col("k") == k - 1) & F.col("reached").isNotNull())
-            recent = None if fresh == n else bit_field(mine.where(F.col("reached") >= step - shards), fresh)
-            gates[k] = (bit_field(mine, n), recent)
-        counted = stored(_scan(dealt.where(F.col("shard") == step % shards), gates, single), "phrase-scan")
-        new = _due(counted, state, step, shards) if gates else None
-        if single:
-            words.append(stored(counted.where("k = 1").groupBy("lang").agg(F.sum("c").alias("n")), "phrase-words"))
-            ones = counted.where("k = 1").select(*KEY, "h", "c", F.lit(0).alias("begun"))
-            new = ones if new is None else new.unionByName(ones)
+    state = stored(spark.createDataFrame([], "key string, c long, begun int, reached int"), "phrase-counts")
+    phrase = F.substring_index("key", MARK, -1)
+    lang = F.substring(F.col("key"), F.lit(1), F.length("key") - F.length(phrase) - 1).alias("lang")
+    single = F.instr(phrase, " ") == 0
+    tables: dict[int, np.ndarray] = {}
+    total, step = None, 0
+    while step < shards or any((tables[k] != NEVER).any() and int(tables[k][tables[k] != NEVER].max()) >= step - shards for k in tables if k < LONGEST):
+        new = _scan(dealt.where(F.col("shard") == step % shards), tables, step, shards)
         every = state.unionByName(new.withColumn("reached", F.lit(None).cast("int")))
-        sums = every.groupBy(*KEY).agg(F.first("h").alias("h"), F.sum("c").alias("c"), F.first("begun").alias("begun"), F.max("reached").alias("reached"))
+        sums = every.groupBy("key").agg(F.sum("c").alias("c"), F.max("begun").alias("begun"), F.max("reached").alias("reached"))
         sums = sums.withColumn("reached", F.coalesce("reached", F.when(F.col("c") >= min_count, step)))
-        # who has seen every shard and is still rare is done
-        after = stored(sums.where(F.col("reached").isNotNull() | (F.lit(step + 1) < F.col("begun") + shards)), "phrase-counts")
-        removed(counted, state)
-        state, step = after, step + 1
+        # who has seen every shard and is still rare is done; words stay one step more, as their total is needed
+        waits = F.lit(step + 1) < F.col("begun") + F.when(single, shards + 1).otherwise(shards)
+        after = stored(sums.where(F.col("reached").isNotNull() | waits), "phrase-counts")
+        removed(state)
+        state = after
+        noted(tables, state.where(F.col("reached") == step), step, CELLS)
+        step += 1
+        if step == shards:
+            total = stored(state.where(single).groupBy(lang).agg(F.sum("c").alias("n")), "phrase-words")
     removed(dealt)
-    total = words[0]
-    for more in words[1:]:
-        total = total.unionByName(more)
-    return state.where("reached is not null").select(*KEY, F.col("c").alias("f")), total.groupBy("lang").agg(F.sum("n").alias("n"))
+    found = state.where("reached is not null").select(lang, phrase.alias("phrase"), F.col("c").alias("f"))
+    return found.select("lang", F.size(F.split("phrase", " ")).alias("k"), "phrase", "f"), total
 
 
 def scored(frequent: DataFrame, occurrences: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from shopsight.llm import centroids, mixing, phrases
 
@@ -162,13 +163,13 @@ def brute_phrases(rows, least, limit):
     return sorted(out)
 
 
-@pytest.mark.parametrize("chunk,filter_bytes,shards", [(5, 8, 3), (400_000, 8 << 20, 4), (50, 64, 1)])
-def test_phrases_against_plain_counts(spark, monkeypatch, chunk, filter_bytes, shards):
+@pytest.mark.parametrize("chunk,cells,shards", [(5, 64, 3), (400_000, 1 << 20, 4), (50, 1 << 12, 1)])
+def test_phrases_against_plain_counts(spark, monkeypatch, chunk, cells, shards):
     monkeypatch.setattr(phrases, "CHUNK_WORDS", chunk)
-    monkeypatch.setattr(phrases, "FILTER_BYTES", filter_bytes)
+    monkeypatch.setattr(phrases, "CELLS", cells)
     rng = random.Random(3)
     words = ["a", "B", "cc", "été", "d-d", "x" * 300, "É"]
-    rows = [(rng.choice(["en", "de", None, "und"]), "".join(rng.choice(words[: rng.randint(1, 7)]) + rng.choice([" ", " ", "  ", "\t", ". ", "\n", "!,", "\x0b"]) for _ in range(rng.randint(0, 60)))) for _ in range(120)]
+    rows = [(rng.choice(["en", "de a\nb", None, "und"]), "".join(rng.choice(words[: rng.randint(1, 7)]) + rng.choice([" ", " ", "  ", "\t", ". ", "\n", "!,", "\x0b"]) for _ in range(rng.randint(0, 60)))) for _ in range(120)]
     rows += [("en", None), ("fr", ""), ("fr", " .\n"), ("es", "q " * 5000), ("pt", "only once here")] + [("en", "hot line of words")] * 40
     docs = spark.createDataFrame([(i, t, lang, 1) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string, k int").repartition(5)
     found = phrases.top_phrases(docs, 30, 7, shards).collect()
@@ -179,9 +180,13 @@ def test_phrases_of_an_empty_table(spark):
     assert phrases.top_phrases(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 
-def test_filters_hold_what_they_were_given(spark):
-    hashes = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
-    made = phrases.bit_field(spark.createDataFrame([(int(h),) for h in hashes], "h long"), 5000)
-    assert made.holds(hashes.view(np.uint64)).all()
-    assert made.holds(np.random.default_rng(2).integers(0, 2**63, 5000).astype(np.uint64)).mean() < 0.05
-    assert not phrases.bit_field(spark.createDataFrame([], "h long"), 0).holds(hashes.view(np.uint64)).any()
+def test_steps_are_never_later_than_noted(spark):
+    tables = {}
+    keys = [f"en{phrases.MARK}w{i} x" for i in range(3000)]
+    for step in (0, 1, 2):
+        phrases.noted(tables, spark.createDataFrame([(k,) for k in keys[step::3]], "key string"), step, 1 << 14)
+    own = [[xxhash.xxh64_intdigest(f"en{phrases.MARK}{w}", phrases.SEED) for w in (f"w{i}", "x")] for i in range(3000)]
+    hashes = phrases.mixed(np.array([h for h, _ in own], np.uint64), np.array([h for _, h in own], np.uint64))
+    found = phrases.steps_of(tables[2], hashes)
+    assert list(tables) == [2] and all((found[step::3] <= step).all() for step in (0, 1, 2)) and (found[2::3] == 2).mean() > 0.5
+    assert (phrases.steps_of(tables[2], np.arange(1, 4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) == phrases.NEVER).mean() > 0.8
