@@ -44,6 +44,7 @@ def business_labels(
     """
     wide, scaled = _relative(summary, [recency, frequency, monetary, review])
     r, f, m, s = (scaled.get(c, F.lit(NEUTRAL)) for c in (recency, frequency, monetary, review))
+    # The thresholds of the names.
     active = (r < 0.4) & ((m > 0.5) | (f > 0.5))
     base = (
         F.when(active & (s > 0.5), "champions")

@@ -2,51 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_TYPES = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "d": T.DoubleType(),
-}
-
-
-def _layout(spec: str) -> T.StructType:
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind], True))
-    return T.StructType(fields)
-
-
 # Logical table names and the columns of the raw files (dates arrive as text).
-RAW_SCHEMAS: dict[str, T.StructType] = {
-    "orders": _layout(
-        "order_id:s customer_id:s order_status:s order_purchase_timestamp:s order_approved_at:s "
-        "order_delivered_carrier_date:s order_delivered_customer_date:s order_estimated_delivery_date:s"
-    ),
-    "order_items": _layout(
-        "order_id:s order_item_id:i product_id:s seller_id:s shipping_limit_date:s price:d freight_value:d"
-    ),
-    "products": _layout(
-        "product_id:s product_category_name:s product_name_lenght:i product_description_lenght:i "
-        "product_photos_qty:i product_weight_g:d product_length_cm:d product_height_cm:d product_width_cm:d"
-    ),
-    "customers": _layout(
-        "customer_id:s customer_unique_id:s customer_zip_code_prefix:i customer_city:s customer_state:s"
-    ),
-    "sellers": _layout("seller_id:s seller_zip_code_prefix:i seller_city:s seller_state:s"),
-    "payments": _layout(
-        "order_id:s payment_sequential:i payment_type:s payment_installments:i payment_value:d"
-    ),
-    "reviews": _layout(
-        "review_id:s order_id:s review_score:i review_comment_title:s review_comment_message:s "
-        "review_creation_date:s review_answer_timestamp:s"
-    ),
-    "geolocation": _layout(
-        "geolocation_zip_code_prefix:i geolocation_lat:d geolocation_lng:d geolocation_city:s geolocation_state:s"
-    ),
-    "category_translation": _layout("product_category_name:s product_category_name_english:s"),
+RAW_SCHEMAS: dict[str, str] = {
+    "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp string, "
+    "order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string, "
+    "order_estimated_delivery_date string",
+    "order_items": "order_id string, order_item_id int, product_id string, seller_id string, shipping_limit_date string, "
+    "price double, freight_value double",
+    "products": "product_id string, product_category_name string, product_name_lenght int, product_description_lenght int, "
+    "product_photos_qty int, product_weight_g double, product_length_cm double, product_height_cm double, "
+    "product_width_cm double",
+    "customers": "customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, "
+    "customer_state string",
+    "sellers": "seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string",
+    "payments": "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double",
+    "reviews": "review_id string, order_id string, review_score int, review_comment_title string, "
+    "review_comment_message string, review_creation_date string, review_answer_timestamp string",
+    "geolocation": "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double, geolocation_city string, "
+    "geolocation_state string",
+    "category_translation": "product_category_name string, product_category_name_english string",
 }
 
 # Timestamp columns by table.
