@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopsight.session import cut_lineage
 
+ROWS_PER_FILE = 500_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,9 +31,10 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     """
     pairs = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v"))
     pairs = cut_lineage(pairs.where(F.col("u") != F.col("v")).distinct())
-    mark = None
+    mark, rows = None, pairs.count()
     while True:
-        pairs = cut_lineage(_small_star(_large_star(pairs)))
+        # small graphs are written as few files; a round never adds edges
+        pairs = cut_lineage(_small_star(_large_star(pairs)).coalesce(max(1, -(-rows // ROWS_PER_FILE))))
         seen = tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if seen == mark:
             break
