@@ -22,6 +22,7 @@ gives an empty result; further columns, whatever their names, are ignored. A tas
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ MIN_COUNT = 30
 LONGEST = 4
 SHARDS = 4
 CHUNK_WORDS = 400_000
-CELLS = 1 << 23
+CELLS = 1 << 22
 NEVER = 255
 MARK = "\n"  # no phrase has one, so the last one in a key ends the language
 SEED = 42
@@ -152,13 +153,15 @@ def _chunk(lang: str, texts: list[bytes], tables: dict[int, np.ndarray], step: i
 
 def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: int) -> DataFrame:
     """key (language and phrase), c and begun of the phrases that are active in this step, as each task's chunks count them."""
-    shared = shard.sparkSession.sparkContext.broadcast(tables)
+    # mostly empty tables take little room in every executor's folder
+    shared = shard.sparkSession.sparkContext.broadcast({k: zlib.compress(t.tobytes(), 1) for k, t in tables.items()})
 
     def batch(lang: str, made: tuple) -> pa.RecordBatch:
         phrases, begun, times = made
         return pa.RecordBatch.from_arrays([pa.array([f"{lang}{MARK}{p}" for p in phrases], pa.string()), pa.array(times.astype(np.int64)), pa.array(begun, pa.int32())], names=["key", "c", "begun"])
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = {k: np.frombuffer(zlib.decompress(t), np.uint8) for k, t in shared.value.items()}
         waiting: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
         for part in parts:
@@ -166,11 +169,11 @@ def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: in
                 waiting.setdefault(lang, []).append(text)
                 size[lang] = size.get(lang, 0) + len(text)
                 if size[lang] > 6 * CHUNK_WORDS:
-                    for made in _chunk(lang, waiting.pop(lang), shared.value, step, shards):
+                    for made in _chunk(lang, waiting.pop(lang), own, step, shards):
                         yield batch(lang, made)
                     del size[lang]
         for lang, texts in waiting.items():
-            for made in _chunk(lang, texts, shared.value, step, shards):
+            for made in _chunk(lang, texts, own, step, shards):
                 yield batch(lang, made)
 
     bounded_batches(shard.sparkSession)
