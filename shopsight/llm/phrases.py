@@ -1,6 +1,6 @@
 """Phrase mining by dynamic itemset counting.
 
-Documents are dealt once into `SHARDS` written shards, which are scanned in a cycle. Single words are counted from the first
+Documents are cut into words once and written as chunks of numbered words in `SHARDS` shards, which are scanned in a cycle. Single words are counted from the first
 shard on. A longer phrase becomes active once both of its parts (without the last word, without the first) have been
 met `min_count` times in what was scanned so far; it is counted from the next shard on, until it has seen every
 shard once. So lengths are interleaved: most pairs are counted while words still are, and no phrase is counted whose parts
@@ -17,26 +17,33 @@ Results: candidates are the phrases of 2 to `LONGEST` words; see `scored` and `t
 
 Everything is per language; null is `und`, as is a language of that name. Text is lower-cased (A-Z), cut into pieces at
 `.,;:!?` and line ends, and into words at spaces and tabs; null is empty. Repeated rows count each. An empty table
-gives an empty result; further columns, whatever their names, are ignored. A task holds `CHUNK_WORDS` words and one text.
+gives an empty result; further columns, whatever their names, are ignored. A task holds `WAITING_WORDS` words and one text
+when it writes, and `CHUNKS_AT_ONCE` chunks of `CHUNK_WORDS` words (or one text) when it scans.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shopsight.llm.common import bounded_batches, removed, stored, text_column
+from shopsight.llm.common import batch_rows, bounded_batches, removed, stored, text_column
 from shopsight.session import scratch_uri
 
 MIN_COUNT = 30
 LONGEST = 4
 SHARDS = 4
 CHUNK_WORDS = 400_000
+WAITING_WORDS = 10 * CHUNK_WORDS  # of all languages together
+CHUNKS_AT_ONCE = 4
+ROW_GROUP_BYTES = 32 << 20
+CODED = ["lang", "words", "hashes", "ids"]
 CELLS = 1 << 22
 NEVER = 255
 MARK = "\n"  # no phrase has one, so the last one in a key ends the language
@@ -103,52 +110,55 @@ class _Words(dict):
         return number
 
 
-def _chunk(lang: str, texts: list[bytes], tables: dict[int, np.ndarray], step: int, shards: int) -> Iterator[tuple]:
-    """(phrases, first steps, counts) of the active phrases of each length."""
+def _encoded(lang: str, texts: list[bytes]) -> tuple[bytes, bytes, bytes]:
+    """The different words of some texts, their hashes, and the texts as numbers of words with a break after each piece."""
     from xxhash import xxh64_intdigest
 
     known = _Words({BREAK: 0})
-    joined = BREAK.join(texts).translate(FOLDED).replace(BREAK, b" \n ")
-    parts = [w for w in joined.split(b" ") if w]
-    ids = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
-    ids = np.append(ids, 0)
-    words = list(known)
+    parts = BREAK.join(texts).translate(FOLDED).replace(BREAK, b" \n ").split(b" ")
+    ids = np.fromiter((known[w] for w in parts if w), "<i4")
     mark = (lang + MARK).encode()
-    own = np.array([xxh64_intdigest(mark + w, SEED) for w in words], np.uint64)
-    spelled = [w.decode("utf-8", "replace") for w in words]
-    at = np.flatnonzero(ids)  # places where a phrase of the length at hand starts
-    code = ids[at]
-    values, code, times = np.unique(code, return_inverse=True, return_counts=True)
-    hashes = own[values]
-    ends = values[:, None]  # the words of each different phrase
+    hashes = np.array([xxh64_intdigest(mark + w, SEED) for w in known], "<u8")
+    return b" ".join(known), hashes.tobytes(), np.append(ids, 0).astype("<i4").tobytes()
+
+
+def _codes(ids: np.ndarray, start: np.ndarray, k: int, words: int) -> np.ndarray:
+    """A number for each phrase of `k` words, equal for equal phrases only."""
+    code = ids[start].astype(np.int64)
+    for j in range(1, k):
+        if len(code) and int(code.max()) >= (1 << 62) // words:
+            code = np.unique(code, return_inverse=True)[1]
+        code = code * words + ids[start + j]
+    return code
+
+
+def _chunk(words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.ndarray], step: int, shards: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(phrases, first steps, counts) of the active phrases of each length, from texts as `_encoded` gives them."""
+    spelled = pa.array(words.decode("utf-8", "replace").split(" "), pa.string())
     if step < shards:
-        yield [spelled[i] for i in values.tolist()], np.zeros(len(values), np.int32), times
+        yield spelled[1:], np.zeros(len(own) - 1, np.int32), np.bincount(ids, minlength=len(own))[1:]
+    if 1 not in tables:
+        return
+    since = steps_of(tables[1], own).astype(np.int32)
+    since[0] = NEVER
+    at = np.flatnonzero(since[ids] < step)  # places where a frequent phrase of k-1 words starts
+    since, hashes = since[ids[at]], own[ids[at]]
     for k in range(2, LONGEST + 1):
-        if k - 1 not in tables:
-            break
-        since = steps_of(tables[k - 1], hashes).astype(np.int32)
-        ok = since < step
-        # a phrase starts where its first k-1 words do, and its last k-1 words start one place later
-        place = np.full(len(ids), -1, np.int64)
-        place[at] = code
-        start = at[ok[code]]
-        follow = place[start + 1]
-        good = follow >= 0
-        start, follow = start[good], follow[good]
-        good = ok[follow]
-        start, follow = start[good], follow[good]
-        lead = place[start]
-        values, code, times = np.unique(lead * len(hashes) + follow, return_inverse=True, return_counts=True)
-        lead, follow = values // max(1, len(hashes)), values % max(1, len(hashes))
-        last = ends[follow, -1]
-        ends = np.concatenate([ends[lead], last[:, None]], axis=1)
-        begun = np.maximum(since[lead], since[follow]) + 1
+        # the last k-1 words of a phrase start one place after its first ones
+        both = np.flatnonzero(at[1:] == at[:-1] + 1)
+        start, begun = at[both], np.maximum(since[both], since[both + 1]) + 1
         active = begun + shards > step
-        hashes = mixed(hashes[lead], own[last])
-        at = start
         if active.any():
-            rows = ends[active].tolist()
-            yield [" ".join([spelled[i] for i in row]) for row in rows], begun[active], times[active]
+            counted = start[active]
+            _, first, times = np.unique(_codes(ids, counted, k, len(own)), return_index=True, return_counts=True)
+            one = counted[first]
+            yield pa.compute.binary_join_element_wise(*(spelled.take(pa.array(ids[one + j])) for j in range(k)), " "), begun[active][first], times
+        if k not in tables:
+            return
+        hashes = mixed(hashes[both], own[ids[start + k - 1]])
+        since = steps_of(tables[k], hashes).astype(np.int32)
+        ok = since < step
+        at, since, hashes = start[ok], since[ok], hashes[ok]
 
 
 def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: int) -> DataFrame:
@@ -156,38 +166,55 @@ def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: in
     # mostly empty tables take little room in every executor's folder
     shared = shard.sparkSession.sparkContext.broadcast({k: zlib.compress(t.tobytes(), 1) for k, t in tables.items()})
 
-    def batch(lang: str, made: tuple) -> pa.RecordBatch:
-        phrases, begun, times = made
-        return pa.RecordBatch.from_arrays([pa.array([f"{lang}{MARK}{p}" for p in phrases], pa.string()), pa.array(times.astype(np.int64)), pa.array(begun, pa.int32())], names=["key", "c", "begun"])
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {k: np.frombuffer(zlib.decompress(t), np.uint8) for k, t in shared.value.items()}
+        for part in parts:
+            for lang, words, own, ids in zip(*(part.column(name) for name in CODED)):
+                numbers = np.frombuffer(own.as_buffer(), "<u8"), np.frombuffer(ids.as_buffer(), "<i4")
+                for phrases, begun, times in _chunk(words.as_py(), *numbers, known, step, shards):
+                    key = pa.compute.binary_join_element_wise(pa.scalar(f"{lang.as_py()}{MARK}"), phrases, "")
+                    yield pa.RecordBatch.from_arrays([key, pa.array(times.astype(np.int64)), pa.array(begun, pa.int32())], names=["key", "c", "begun"])
+
+    return shard.select(*CODED).mapInArrow(work, "key string, c long, begun int")
+
+
+def _sharded(docs: DataFrame, shards: int) -> DataFrame:
+    """The texts as chunks of numbered words (lang and what `_encoded` gives), dealt into shards in turn and written by shard.
+
+    So texts are cut into words once, and a scan of one shard reads no other.
+    """
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = {k: np.frombuffer(zlib.decompress(t), np.uint8) for k, t in shared.value.items()}
+        turns = count(TaskContext.get().partitionId())
         waiting: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
+        held = 0
+
+        def chunk(lang: str) -> pa.RecordBatch:
+            nonlocal held
+            held -= size.pop(lang)
+            made = lang, *_encoded(lang, waiting.pop(lang)), next(turns) % shards
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(made, (pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))], names=[*CODED, "shard"])
+
         for part in parts:
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 waiting.setdefault(lang, []).append(text)
-                size[lang] = size.get(lang, 0) + len(text)
+                size[lang] = size.get(lang, 0) + len(text) + 1
+                held += len(text) + 1
                 if size[lang] > 6 * CHUNK_WORDS:
-                    for made in _chunk(lang, waiting.pop(lang), own, step, shards):
-                        yield batch(lang, made)
-                    del size[lang]
-        for lang, texts in waiting.items():
-            for made in _chunk(lang, texts, own, step, shards):
-                yield batch(lang, made)
-
-    bounded_batches(shard.sparkSession)
-    return shard.select("lang", "text").mapInArrow(work, "key string, c long, begun int")
-
+                    yield chunk(lang)
+                elif held > 6 * WAITING_WORDS:
+                    yield chunk(max(size, key=size.get))
+        for lang in list(waiting):
+            yield chunk(lang)
 
-def _sharded(docs: DataFrame, shards: int) -> DataFrame:
-    """lang, text and shard of every row, written by shard, so that a scan of one reads no other."""
-    rows = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_column().cast("binary").alias("text"), (F.monotonically_increasing_id() % shards).cast("int").alias("shard")
-    )
-    uri = scratch_uri(docs.sparkSession, "phrase-shards")
-    rows.write.partitionBy("shard").parquet(uri)
-    return docs.sparkSession.read.schema("lang string, text binary, shard int").parquet(uri)
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_column().cast("binary").alias("text"))
+    coded = "lang string, words binary, hashes binary, ids binary, shard int"
+    uri = scratch_uri(spark, "phrase-shards")
+    rows.mapInArrow(work, coded).write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("shard").parquet(uri)
+    return spark.read.schema(coded).parquet(uri)
 
 
 def counted_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
@@ -207,7 +234,8 @@ def counted_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shards: int = S
         sums = sums.withColumn("reached", F.coalesce("reached", F.when(F.col("c") >= min_count, step)))
         # who has seen every shard and is still rare is done; words stay one step more, as their total is needed
         waits = F.lit(step + 1) < F.col("begun") + F.when(single, shards + 1).otherwise(shards)
-        after = stored(sums.where(F.col("reached").isNotNull() | waits), "phrase-counts")
+        with batch_rows(spark, CHUNKS_AT_ONCE):
+            after = stored(sums.where(F.col("reached").isNotNull() | waits), "phrase-counts")
         removed(state)
         state = after
         noted(tables, state.where(F.col("reached") == step), step, CELLS)
