@@ -9,7 +9,8 @@ sees the whole corpus, so counts are exact.
 
 When a part becomes frequent, its step is noted in two cells of a table of `CELLS` bytes a length, unless they already hold
 an earlier one. The later of its two cells is the step from which a task takes a part as frequent. It is never later than
-the true one, stays the same once it is set, and every task reads it from the same table; so each phrase has one first
+the true one, stays the same once it is set, and every task reads it from the same table. A part counts as frequent no
+earlier than in the step from which it is counted itself, whatever its cells hold; so each phrase has one first
 step and is counted through exactly one cycle. Parts that share cells only let more phrases be counted; a table
 that has filled up costs time, not exactness. The tables are all that is broadcast.
 
@@ -74,8 +75,8 @@ def steps_of(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.maximum(table[first], table[second])
 
 
-def noted(tables: dict[int, np.ndarray], reached: DataFrame, step: int, cells: int) -> None:
-    """Note in the tables which phrases (column key) became frequent; at most a row for 64 cells reaches the driver."""
+def noted(tables: dict[int, np.ndarray], reached: DataFrame, step: int, cells: int) -> set[int]:
+    """Note in the tables which phrases (column key) became frequent, and return their lengths; at most a row for 64 cells reaches the driver."""
     from xxhash import xxh64_intdigest
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,12 +95,14 @@ def noted(tables: dict[int, np.ndarray], reached: DataFrame, step: int, cells: i
 
     found = reached.select("key").mapInArrow(work, "k int, cell long")
     words = found.groupBy("k", F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).toArrow()
-    for k in set(words.column("k").to_pylist()):
+    lengths = set(words.column("k").to_pylist())
+    for k in lengths:
         own = words.filter(pa.compute.equal(words.column("k"), k))
         bits = np.unpackbits(own.column("bits").to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         cell = (own.column("word").to_numpy()[:, None] * 64 + np.arange(64))[bits.astype(bool)]
         table = tables.setdefault(k, np.full(cells, NEVER, np.uint8))
         table[cell] = np.minimum(table[cell], step)
+    return lengths
 
 
 class _Words(dict):
@@ -156,7 +159,8 @@ def _chunk(words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.
         if k not in tables:
             return
         hashes = mixed(hashes[both], own[ids[start + k - 1]])
-        since = steps_of(tables[k], hashes).astype(np.int32)
+        # cells of other phrases may be earlier than a phrase is counted
+        since = np.maximum(steps_of(tables[k], hashes).astype(np.int32), begun)
         ok = since < step
         at, since, hashes = start[ok], since[ok], hashes[ok]
 
@@ -226,8 +230,9 @@ def counted_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shards: int = S
     lang = F.substring(F.col("key"), F.lit(1), F.length("key") - F.length(phrase) - 1).alias("lang")
     single = F.instr(phrase, " ") == 0
     tables: dict[int, np.ndarray] = {}
+    last: dict[int, int] = {}  # the last step in which a phrase of each length became frequent
     total, step = None, 0
-    while step < shards or any((tables[k] != NEVER).any() and int(tables[k][tables[k] != NEVER].max()) >= step - shards for k in tables if k < LONGEST):
+    while step < shards or any(step <= last[k] + shards for k in last if k < LONGEST):
         new = _scan(dealt.where(F.col("shard") == step % shards), tables, step, shards)
         every = state.unionByName(new.withColumn("reached", F.lit(None).cast("int")))
         sums = every.groupBy("key").agg(F.sum("c").alias("c"), F.max("begun").alias("begun"), F.max("reached").alias("reached"))
@@ -238,7 +243,7 @@ def counted_phrases(docs: DataFrame, min_count: int = MIN_COUNT, shards: int = S
             after = stored(sums.where(F.col("reached").isNotNull() | waits), "phrase-counts")
         removed(state)
         state = after
-        noted(tables, state.where(F.col("reached") == step), step, CELLS)
+        last |= dict.fromkeys(noted(tables, state.where(F.col("reached") == step), step, CELLS), step)
         step += 1
         if step == shards:
             total = stored(state.where(single).groupBy(lang).agg(F.sum("c").alias("n")), "phrase-words")

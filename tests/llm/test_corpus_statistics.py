@@ -176,6 +176,17 @@ def test_phrases_against_plain_counts(spark, monkeypatch, chunk, cells, shards):
     assert sorted(map(tuple, found)) == brute_phrases(rows, 7, 30)
 
 
+def test_phrases_whose_parts_share_cells_with_earlier_ones(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "CHUNK_WORDS", 300)
+    monkeypatch.setattr(phrases, "CELLS", 1 << 10)
+    rng = random.Random(5)
+    common = [f"w{i}" for i in range(60)]
+    rows = [("en", " ".join(rng.choices(common, k=40)) + f" . r{rng.randint(0, 150)} w1 w2 w3") for _ in range(700)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(16)
+    found = phrases.top_phrases(docs, 5000, 4, 8).collect()
+    assert sorted(map(tuple, found)) == brute_phrases(rows, 4, 5000)
+
+
 def test_phrases_of_an_empty_table(spark):
     assert phrases.top_phrases(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
