@@ -82,9 +82,9 @@ def log(spark, sf):
 
 
 def _stream(spark, sf, name):
-    """The files of one table, arriving as a stream."""
+    """The files of one table, arriving as a stream, be it one file or a folder of them."""
     static = spark.read.parquet(f"{sf}/{name}.parquet")
-    raw = spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    raw = spark.readStream.schema(static.schema).parquet(f"{sf}/{name}[.]parquet")  # a stream takes one file by a pattern only
     ntz = [f.name for f in static.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return raw.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else raw
 

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from catalog.monitoring import _stream
 from shopsight.streaming.drift import WindowMonitor, bin_edges, window_drift
 
 SCHEMA = "event_id long, ts timestamp, price double, other double, n long"
@@ -82,3 +83,15 @@ def test_a_batch_without_events_keeps_the_state(spark, tmp_path, rows):
     monitor.batch(spark.createDataFrame(rows, SCHEMA), 1)
     assert sorted(map(repr, monitor._state(spark, 1).collect())) == sorted(map(repr, before))
     assert monitor.late_events(spark).count() == len(rows)
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_a_table_streams_as_one_file_or_as_a_folder(spark, tmp_path, folder):
+    arrive(spark, events(40), tmp_path, "made")
+    if folder:
+        arrive(spark, events(40), tmp_path, "events.parquet")
+    else:
+        (tmp_path / "events.parquet").write_bytes(next((tmp_path / "made").glob("part-*.parquet")).read_bytes())
+    found = _stream(spark, tmp_path, "events")
+    found.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.schema(SCHEMA).parquet(f"{tmp_path}/out").count() == 40
