@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -23,6 +24,9 @@ from shopsight.functions.values import as_column
 BUFFER_VALUES = 1_000_000
 ROWS_PER_RANGE = 1_000_000
 ACCURACY = 10_000
+# More ranks than this are looked up together in this many ranges.
+FEW_RANKS = 8
+SHARED_RANGES = 4_000
 
 
 def _text_bounds(df: DataFrame, key: str, spot: float) -> tuple:
@@ -88,6 +92,39 @@ def _narrowed(values: DataFrame, state: Mapping[int, tuple], wide: Sequence[int]
     return answers, brackets
 
 
+def _shared(values: DataFrame, ranks: Sequence[int], buffer_values: int) -> dict[int, tuple]:
+    """Answers of many ranks of a numeric key at once: ranges are counted, and only those that hold a rank are sorted, each for itself.
+
+    Three passes over the rows, whatever the number of ranks. Ranks of ranges with too many distinct values are left out.
+    """
+    probs = [i / SHARED_RANGES for i in range(1, SHARED_RANGES)]
+    cuts = values.agg(F.percentile_approx("k", probs, max(ACCURACY, 4 * SHARED_RANGES)).alias("q")).first()["q"]
+    bounds = sorted({float(c) for c in cuts if math.isfinite(c)})
+    numbered = _range_index(values.withColumn("_x", F.col("k").cast("double")), "_x", bounds, "_range").select("k", "_range")
+    sizes = {row["_range"]: row["n"] for row in numbered.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    ends = np.cumsum([sizes[r] for r in sorted(sizes)])
+    own: dict[float, list[int]] = {}
+    start: dict[float, int] = {}
+    for rank in ranks:
+        at = int(np.searchsorted(ends, rank, "right"))
+        place = sorted(sizes)[at]
+        start[place] = int(ends[at]) - sizes[place]
+        own.setdefault(place, []).append(rank - start[place])
+    large = [place for place in own if sizes[place] > buffer_values]
+    if large:
+        many = numbered.where(F.col("_range").isin(large)).groupBy("_range").agg(F.approx_count_distinct("k").alias("d")).where(F.col("d") > buffer_values)
+        for row in many.collect():
+            del own[row["_range"]]
+    if not own:
+        return {}
+    wanted = F.broadcast(values.sparkSession.createDataFrame(list(own.items()), "_range double, _ranks array<long>"))
+    counts = numbered.where(F.col("_range").isin(list(own))).groupBy("_range", "k").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("_range").orderBy("k"))
+    hits = counts.withColumn("upto", upto).join(wanted, "_range").withColumn("below", F.col("upto") - F.col("n"))
+    hits = hits.withColumn("_rank", F.explode(F.filter("_ranks", lambda r: (r >= F.col("below")) & (r < F.col("upto")))))
+    return {start[h["_range"]] + h["_rank"]: (h["k"], start[h["_range"]] + h["below"]) for h in hits.collect()}
+
+
 def order_statistics(
     df: DataFrame, key: Column | str, ranks: Sequence[int], buffer_values: int = BUFFER_VALUES
 ) -> dict[int, tuple]:
@@ -96,8 +133,10 @@ def order_statistics(
     total = values.count()
     wanted = sorted({r for r in ranks if 0 <= r < total})
     answer: dict[int, tuple] = {}
+    if len(wanted) > FEW_RANKS and isinstance(values.schema["k"].dataType, T.DoubleType):
+        answer = _shared(values, wanted, buffer_values)
     # rank -> (low, high, rows before low, rows inside)
-    state = {r: (None, None, 0, total) for r in wanted}
+    state = {r: (None, None, 0, total) for r in wanted if r not in answer}
     k = F.col("k")
     while state:
         if any(s[3] > buffer_values for s in state.values()):
@@ -139,10 +178,10 @@ def quantile_table(
     Groups whose values fit an aggregation buffer use one exact aggregation. Larger groups are found
     by a count first and go through `order_statistics`.
     """
-    by = list(by)
+    by, probs = list(by), [float(p) for p in probs]
     spark = df.sparkSession
     numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    arrays = [F.percentile(c, [float(p) for p in probs]).alias(c) for c in columns]
+    arrays = [F.percentile(c, probs).alias(c) for c in columns]
     if by:
         sizes = numbers.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > buffer_values)
         large = [tuple(r[b] for b in by) for r in sizes.collect()]

@@ -46,6 +46,20 @@ def test_quantiles_match_numpy(spark, buffer_values):
     assert row.q == pytest.approx(list(np.quantile(values, probs)))
 
 
+@pytest.mark.parametrize("buffer_values", [2, 100, 1_000_000])
+def test_many_quantiles_given_as_numpy_numbers(spark, buffer_values):
+    rows = [(float("nan"),), (float("inf"),), (float("-inf"),), (None,)]
+    df = frame(spark).select("x").unionByName(spark.createDataFrame(rows, "x double")).persist()
+    values = sorted((r.x for r in df.where("x is not null").collect()), key=lambda v: (v != v, v))
+    probs = np.arange(0, len(values), 13) / (len(values) - 1)
+    row = R.quantile_table(df, ["x"], probs, buffer_values=buffer_values).first()
+    assert row.q[1:-1] == pytest.approx([values[i] for i in range(0, len(values), 13)][1:-1])
+    ranks = list(range(0, len(values), 50)) + [len(values) - 1]
+    got = R.order_statistics(df, "x", ranks, buffer_values)
+    assert repr([got[r][0] for r in ranks]) == repr([values[r] for r in ranks])
+    assert all(values[before] == v or v != v for v, before in got.values()) and got[len(values) - 1][1] == len(values) - 1
+
+
 @pytest.mark.parametrize("buffer_values", [100, 1_000_000])
 def test_grouped_quantiles(spark, buffer_values):
     df = frame(spark, 600).withColumn("g", F.when(F.col("id") < 550, 1)).persist()
