@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 START_ROUNDS = 10
 START_ROWS = 4096
 BATCH_CELLS = 1 << 21
-SUMS = pa.schema([("model", pa.int32()), ("centre", pa.int32()), ("sums", pa.list_(pa.float64()))])
+TASK_ROWS = 8_192
+MOST_TASK_ROWS = 2_000_000
 
 
 def assign_to_centres(vectors: DataFrame, centres: list[list[float]], features: str = "features") -> DataFrame:
@@ -68,40 +70,58 @@ def nearest(x: np.ndarray, centres: np.ndarray, bounds: Sequence[int]) -> Iterat
         yield label, np.einsum("ij,ij->i", away, away)
 
 
+def spread(vectors: DataFrame) -> DataFrame:
+    """The vectors as arrays (x), dealt evenly for many passes and persisted: two tasks a core, fewer for few rows, more for very many."""
+    points = vectors.select(vector_to_array("features").alias("x"))
+    rows, cores = points.count(), points.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(2 * cores, math.ceil(rows / TASK_ROWS)), math.ceil(rows / MOST_TASK_ROWS))
+    return points.repartition(tasks).persist()
+
+
+def summed(points: DataFrame, shared, total: Callable[[np.ndarray, object], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """The sum of `total(rows, value of shared)` over all rows, in one stage: a task returns one array of the given shape."""
+    parts = points.mapInArrow(_work(shared, total, shape), "sums binary").collect()
+    return np.sum([np.frombuffer(row["sums"]).reshape(shape) for row in parts], axis=0) if parts else np.zeros(shape)
+
+
+def _work(shared, total: Callable, shape: tuple[int, int]) -> Callable:
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, seen = np.zeros(shape), False
+        for part in parts:
+            if part.num_rows:
+                x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                sums, seen = sums + total(x, shared.value), True
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+    return work
+
+
 def _pass(points: DataFrame, models: list[np.ndarray]) -> list[np.ndarray]:
     """For each model a row for each centre: number of rows, their cost, and their coordinate sums.
 
-    What a task returns and what reaches the driver depends on the models and dimensions only.
+    What a task returns depends on the models and dimensions only.
     """
     bounds = np.cumsum([0, *map(len, models)]).tolist()
     shared = points.sparkSession.sparkContext.broadcast(np.concatenate(models))
     dims = models[0].shape[1]
 
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = shared.value
-        totals, seen = np.zeros((len(centres), 2 + dims)), False
+    def total(every: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        totals = np.zeros((len(centres), 2 + dims))
         step = max(1, BATCH_CELLS // len(centres))
-        for part in parts:
-            every = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-            for at in range(0, len(every), step):
-                x, seen = every[at : at + step], True
-                for (a, b), (label, gap) in zip(zip(bounds, bounds[1:]), nearest(x, centres, bounds)):
-                    member = np.zeros((b - a, len(x)))
-                    member[label, np.arange(len(x))] = 1
-                    totals[a:b, 0] += member.sum(axis=1)
-                    totals[a:b, 1] += member @ gap
-                    totals[a:b, 2:] += member @ x
-        if seen:
-            rows = [(i, j, totals[a + j].tolist()) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) for j in range(b - a)]
-            yield pa.RecordBatch.from_pylist([dict(zip(("model", "centre", "sums"), row)) for row in rows], SUMS)
-
-    partial = points.mapInArrow(work, "model int, centre int, sums array<double>")
-    cells = partial.select("model", "centre", F.posexplode("sums")).groupBy("model", "centre", "pos").agg(F.sum("col").alias("v"))
-    found = [np.zeros((len(m), 2 + dims)) for m in models]
-    for row in cells.collect():
-        found[row["model"]][row["centre"], row["pos"]] = row["v"]
+        for at in range(0, len(every), step):
+            x = every[at : at + step]
+            for (a, b), (label, gap) in zip(zip(bounds, bounds[1:]), nearest(x, centres, bounds)):
+                member = np.zeros((b - a, len(x)))
+                member[label, np.arange(len(x))] = 1
+                totals[a:b, 0] += member.sum(axis=1)
+                totals[a:b, 1] += member @ gap
+                totals[a:b, 2:] += member @ x
+        return totals
+
+    found = summed(points, shared, total, (bounds[-1], 2 + dims))
     shared.destroy()
-    return found
+    return [found[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 def start_centres(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = START_ROUNDS) -> np.ndarray:
@@ -157,12 +177,14 @@ def fit_many(
     Start values come from at most `start_rows` rows, chosen by a hash; every round reads all rows. `vectors` should be
     persisted by the caller.
     """
-    points = vectors.select(vector_to_array("features").alias("x"))
+    points = spread(vectors)
     near = np.array([row["x"] for row in points.orderBy(F.xxhash64("x"), "x").limit(start_rows).collect()], float)
     if not len(near):
+        points.unpersist()
         raise ValueError("no rows to cluster")
     jobs = [(k, offset) for k in dict.fromkeys(ks) for offset in range(restarts)]
     fitted = lloyd(points, [start_centres(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs], max_iter, tol)
+    points.unpersist()
     best: dict[int, CentreModel] = {}
     for (k, _), model in zip(jobs, fitted, strict=True):
         if k not in best or model.cost < best[k].cost:

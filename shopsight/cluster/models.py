@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
-from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, start_centres
+from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, spread, start_centres, summed
 from shopsight.cluster.metrics import (
     MEASURES,
     calinski_harabasz,
@@ -26,7 +25,7 @@ from shopsight.session import cut_lineage, together
 MICRO_CLUSTERS = 2000
 COVARIANCE_RIDGE = 1e-6
 MIN_WEIGHT = 1e-12
-SUMS = pa.schema([("model", pa.int32()), ("component", pa.int32()), ("sums", pa.list_(pa.float64()))])
+ROWS_AT_ONCE = 8_192
 
 
 def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300) -> CentreModel:
@@ -42,16 +41,17 @@ def sweep_kmeans(
     restarts: int = 10,
     silhouette: str = "squared",
     threads: int = 4,
+    models: dict[int, CentreModel] | None = None,
 ) -> DataFrame:
     """k, inertia, silhouette (by the given measure), davies_bouldin, calinski_harabasz and measure for each k.
 
-    The models of all k and restarts are fitted in the same passes.
+    The models of all k and restarts are fitted in the same passes, unless fitted ones are given.
     """
     if silhouette not in MEASURES:
         raise ValueError(f"silhouette is one of {MEASURES}")
 
     ks = list(ks)
-    models = fit_many(vectors, ks, seed, restarts)
+    models = models or fit_many(vectors, ks, seed, restarts)
 
     def once(k: int) -> tuple:
         model = models[k]
@@ -74,7 +74,10 @@ def best_k(sweep: DataFrame) -> int:
 
 
 def gap_statistic(vectors: DataFrame, ks: Iterable[int], samples: int = 5, seed: int = 42, restarts: int = 1) -> DataFrame:
-    """Mean log cost on uniform data in the same box minus the log cost on the data, per k; one set of passes a sample."""
+    """Mean log cost on uniform data in the same box minus the log cost on the data, per k.
+
+    Each sample and the data have passes of their own, which run at the same time.
+    """
     spark = vectors.sparkSession
     xs = vectors.select(vector_to_array("features").alias("x")).persist()
     dims = len(xs.first()["x"])
@@ -83,14 +86,18 @@ def gap_statistic(vectors: DataFrame, ks: Iterable[int], samples: int = 5, seed:
         F.array(*[F.max(F.col("x")[i]) for i in range(dims)]).alias("hi"),
     ).first()
     n, ks = xs.count(), list(ks)
-    costs = {k: np.log(m.cost) for k, m in fit_many(vectors, ks, seed, restarts).items()}
-    logs: dict[int, list[float]] = {k: [] for k in ks}
-    for b in range(samples):
+
+    def logs_of(b: int) -> dict[int, float]:
+        if b == samples:
+            return {k: np.log(m.cost) for k, m in fit_many(vectors, ks, seed, restarts).items()}
         axes = [F.lit(box["lo"][i]) + F.rand(seed + b * dims + i) * (box["hi"][i] - box["lo"][i]) for i in range(dims)]
         uniform = spark.range(n).select(array_to_vector(F.array(*axes)).alias("features")).persist()
-        for k, model in fit_many(uniform, ks, seed, restarts).items():
-            logs[k].append(np.log(model.cost))
+        found = {k: np.log(model.cost) for k, model in fit_many(uniform, ks, seed, restarts).items()}
         uniform.unpersist()
+        return found
+
+    *drawn, costs = together(spark, logs_of, range(samples + 1), samples + 1)
+    logs = {k: [one[k] for one in drawn] for k in ks}
     rows = [(k, float(np.mean(logs[k]) - costs[k]), float(np.std(logs[k]) * np.sqrt(1 + 1 / samples))) for k in ks]
     xs.unpersist()
     return spark.createDataFrame(rows, "k int, gap double, deviation double")
@@ -144,37 +151,27 @@ class Mixture:
 def _mixture_sums(points: DataFrame, models: list[Mixture]) -> list[tuple[float, np.ndarray]]:
     """(log-likelihood, sums) of every model, in one pass over the points.
 
-    A task returns one row for each model and component; these are added up by Spark, and what reaches the driver
-    depends on the models and the dimensions only.
+    What a task returns depends on the models and the dimensions only.
     """
     shared = points.sparkSession.sparkContext.broadcast(models)
+    dims = models[0].means.shape[1]
+    bounds = np.cumsum([0, *(m.k for m in models)]).tolist()
 
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: list = [0.0] * len(shared.value)
-        for part in parts:
-            if not part.num_rows:
-                continue
-            x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-            for i, model in enumerate(shared.value):
+    def total(every: np.ndarray, models: list[Mixture]) -> np.ndarray:
+        totals = np.zeros((bounds[-1], 2 + dims + dims * dims))
+        for at in range(0, len(every), ROWS_AT_ONCE):
+            x = every[at : at + ROWS_AT_ONCE]
+            for first, model in zip(bounds, models):
                 share, likelihood = model.shares(x)
-                own = []
                 for j, mean in enumerate(model.means):
                     away = x - mean
                     weighed = away * share[:, j : j + 1]
-                    own.append(np.concatenate([[likelihood, share[:, j].sum()], weighed.sum(axis=0), (away.T @ weighed).ravel()]))
-                totals[i] = totals[i] + np.array(own)
-        rows = [(i, j, sums.tolist()) for i, own in enumerate(totals) if not np.isscalar(own) for j, sums in enumerate(own)]
-        if rows:
-            yield pa.RecordBatch.from_pylist([dict(zip(("model", "component", "sums"), row)) for row in rows], SUMS)
-
-    partial = points.mapInArrow(work, "model int, component int, sums array<double>")
-    cells = partial.select("model", "component", F.posexplode("sums")).groupBy("model", "component", "pos").agg(F.sum("col").alias("v"))
-    dims = models[0].means.shape[1]
-    found = [np.zeros((m.k, 2 + dims + dims * dims)) for m in models]
-    for row in cells.collect():
-        found[row.model][row.component, row.pos] = row.v
+                    totals[first + j] += np.concatenate([[likelihood, share[:, j].sum()], weighed.sum(axis=0), (away.T @ weighed).ravel()])
+        return totals
+
+    found = summed(points, shared, total, (bounds[-1], 2 + dims + dims * dims))
     shared.destroy()
-    return [(float(f[0, 0]), f[:, 1:]) for f in found]
+    return [(float(found[a, 0]), found[a:b, 1:]) for a, b in zip(bounds, bounds[1:])]
 
 
 def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> Mixture:
@@ -191,12 +188,12 @@ def fit_mixtures(
     of a row gains less than `tol`. Decompositions of the small covariances are numpy's.
     """
 
-    points = vectors.select(vector_to_array("features").alias("x"))
+    points = spread(vectors)
     sample = points.orderBy(F.xxhash64("x")).limit(start_rows).collect()  # start values only; every round reads all rows
     near = np.array([row.x for row in sample], float)
     jobs = [(k, offset) for k in ks for offset in range(restarts)]
     models = {(k, offset): _start(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs}
-    n = vectors.count()
+    n = points.count()
     likelihoods = dict.fromkeys(jobs, -np.inf)
     moving = jobs
     while moving:
@@ -209,6 +206,7 @@ def fit_mixtures(
                 models[job] = model.improved(sums)
                 still.append(job)
         moving = still
+    points.unpersist()
     return {k: max((models[k, o] for o in range(restarts)), key=lambda m: m.log_likelihood) for k in ks}
 
 
@@ -224,12 +222,12 @@ def gmm_criteria(log_likelihood: float, k: int, dims: int, n: int) -> tuple[floa
 
 
 def sweep_gmm(
-    vectors: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42, restarts: int = 5, max_iter: int = 200
+    vectors: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42, restarts: int = 5, max_iter: int = 200, models: dict[int, Mixture] | None = None
 ) -> DataFrame:
-    """n (components), log_likelihood, bic and aic; the models of all k are fitted in the same passes."""
-    rows_read = vectors.count()
-    models = fit_mixtures(vectors, list(ks), seed, restarts, max_iter)
-    rows = [(k, m.log_likelihood, *gmm_criteria(m.log_likelihood, k, m.means.shape[1], rows_read)) for k, m in models.items()]
+    """n (components), log_likelihood, bic and aic; the models of all k are fitted in the same passes, unless fitted ones are given."""
+    rows_read, ks = vectors.count(), list(ks)
+    models = models or fit_mixtures(vectors, ks, seed, restarts, max_iter)
+    rows = [(k, models[k].log_likelihood, *gmm_criteria(models[k].log_likelihood, k, models[k].means.shape[1], rows_read)) for k in dict.fromkeys(ks)]
     return vectors.sparkSession.createDataFrame(rows, "n int, log_likelihood double, bic double, aic double")
 
 
