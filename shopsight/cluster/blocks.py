@@ -23,6 +23,7 @@ from shopsight.operators.ranking import global_rank
 
 BLOCK_ROWS = 1024
 SLABS = 64
+FEW_SHARE = 16
 
 
 def as_points(df: DataFrame, id_column: str, features: str = "features", extra: list[str] | None = None) -> DataFrame:
@@ -163,6 +164,54 @@ def distances(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int) -> np.ndar
     return np.sqrt(total)
 
 
+def _exact(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Distances of some pairs, to the last bit as `distances` has them."""
+    total = np.zeros(len(i))
+    for c in range(a.shape[1]):
+        total += (a[i, c] - b[j, c]) ** 2
+    return np.sqrt(total)
+
+
+def _squares(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Both blocks, their squared distances by one matrix product, and a bound of the error of these."""
+    a, b = np.asarray(xs_a, float).reshape(n_a, -1), np.asarray(xs_b, float).reshape(n_b, -1)
+    own_a, own_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    slack = 4 * (a.shape[1] + 4) * np.finfo(float).eps * (own_a.max() + own_b.max())
+    return a, b, own_a[:, None] + own_b[None, :] - 2 * (a @ b.T), float(slack)
+
+
+def within(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, reach: float) -> np.ndarray:
+    """Which points are at most `reach` apart, exactly: pairs whose squares are too close to tell are compared by themselves."""
+    a, b, squares, slack = _squares(xs_a, n_a, xs_b, n_b)
+    slack += 8 * np.finfo(float).eps * (a.shape[1] + 4) * reach * reach
+    near = squares <= reach * reach
+    i, j = np.nonzero(np.abs(squares - reach * reach) <= slack)
+    if len(i) > near.size // FEW_SHARE or not np.isfinite(slack):
+        return distances(xs_a, n_a, xs_b, n_b) <= reach
+    near[i, j] = _exact(a, b, i, j) <= reach
+    return near
+
+
+def nearest_distances(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, weights: np.ndarray, k: int) -> np.ndarray:
+    """The k smallest distances of every point of a to points of b, exact and ascending, copies counted, padded with infinity.
+
+    Those that may be among the k nearest are taken by one matrix product; only they are measured one by one.
+    """
+    a, b, squares, slack = _squares(xs_a, n_a, xs_b, n_b)
+    last = min(k, n_b) - 1
+    i, j = np.nonzero(squares <= np.partition(squares, last, axis=1)[:, last : last + 1] + 2 * slack)
+    if len(i) > k * n_a + squares.size // FEW_SHARE or not np.isfinite(slack):
+        i, j = (side.ravel() for side in np.indices((n_a, n_b)))
+    gaps, copies = _exact(a, b, i, j), np.minimum(weights, k)[j]
+    i, gaps = np.repeat(i, copies), np.repeat(gaps, copies)
+    order = np.lexsort((gaps, i))
+    i, gaps = i[order], gaps[order]
+    place = np.arange(len(i)) - np.searchsorted(i, np.arange(n_a))[i]
+    out = np.full((n_a, k), np.inf)
+    out[i[place < k], place[place < k]] = gaps[place < k]
+    return out
+
+
 def on_pairs(rows: DataFrame, work: Callable[[pd.Series], pd.DataFrame], schema: str) -> DataFrame:
     """Run `work` on one pair of blocks at a time."""
 

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from shopsight.cluster.blocks import BLOCK_ROWS, as_points, close_pairs, distances, make_blocks, on_pairs, paired
+from shopsight.cluster.blocks import BLOCK_ROWS, as_points, close_pairs, make_blocks, nearest_distances, on_pairs, paired, within
 from shopsight.operators.graphs import connected_components
 from shopsight.operators.ranking import global_rank, quantile_table
 from shopsight.session import cut_lineage
@@ -19,14 +19,6 @@ def distinct_points(points: DataFrame) -> DataFrame:
     return points.groupBy("x").agg(F.min("id").alias("id"), F.count("*").alias("w")).select("id", "x", "w")
 
 
-def _nearest(gaps: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """The k smallest distances of every row, copies counted, padded with infinity."""
-    spread = np.repeat(gaps, np.minimum(weights, k), axis=1)
-    if spread.shape[1] < k:
-        spread = np.pad(spread, ((0, 0), (0, k - spread.shape[1])), constant_values=np.inf)
-    return np.sort(np.partition(spread, k - 1, axis=1)[:, :k], axis=1)
-
-
 def k_distances(
     df: DataFrame, id_column: str, k: int = 5, features: str = "features", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -38,7 +30,7 @@ def k_distances(
     blocks = make_blocks(distinct_points(points), block_rows)
 
     def bound(row) -> pd.DataFrame:
-        own = _nearest(distances(row.xs, row.n, row.xs, row.n), np.asarray(row.ws), k)[:, -1]
+        own = nearest_distances(row.xs, row.n, row.xs, row.n, np.asarray(row.ws), k)[:, -1]
         reach = own.max() if np.isfinite(own).all() else 1e300
         return pd.DataFrame({"block": [row.block], "us": [own], "reach": [reach]})
 
@@ -47,8 +39,7 @@ def k_distances(
     pairs = close_pairs(bounded, F.col("reach"))
 
     def improve(row) -> pd.DataFrame:
-        gaps = distances(row.xs_a, row.n_a, row.xs_b, row.n_b)
-        near = _nearest(gaps, np.asarray(row.ws_b), k)
+        near = nearest_distances(row.xs_a, row.n_a, row.xs_b, row.n_b, np.asarray(row.ws_b), k)
         useful = near[:, 0] <= np.asarray(row.us_a)
         return pd.DataFrame({"id": np.asarray(row.ids_a)[useful], "near": list(near[useful])})
 
@@ -99,7 +90,7 @@ def dbscan(
     pairs = close_pairs(blocks, F.lit(float(eps))).persist()
 
     def count(row) -> pd.DataFrame:
-        near = distances(row.xs_a, row.n_a, row.xs_b, row.n_b) <= eps
+        near = within(row.xs_a, row.n_a, row.xs_b, row.n_b, eps)
         total = near @ np.asarray(row.ws_b)
         place = np.flatnonzero(total)
         return pd.DataFrame({"block": row.a, "place": place, "total": total[place]})
@@ -118,7 +109,7 @@ def dbscan(
         part = np.full(len(ids), -1, dtype=np.int64)
         if core.any():
             xs = np.asarray(row.xs, float).reshape(row.n, -1)[core].ravel()
-            near = distances(xs, core.sum(), xs, core.sum()) <= eps
+            near = within(xs, core.sum(), xs, core.sum(), eps)
             part[core] = _local_components(near, ids[core])
         return pd.DataFrame({"block": [row.block], "parts": [part]})
 
@@ -128,10 +119,15 @@ def dbscan(
     blocks.release()
 
     def meet(row) -> pd.DataFrame:
-        near = distances(row.xs_a, row.n_a, row.xs_b, row.n_b) <= eps
+        near = within(row.xs_a, row.n_a, row.xs_b, row.n_b, eps)
         part_a, part_b = np.asarray(row.parts_a), np.asarray(row.parts_b)
-        i, j = np.nonzero(near & (part_b >= 0)[None, :])
-        out = pd.DataFrame({"id": np.asarray(row.ids_a)[i], "part_a": part_a[i], "part_b": part_b[j]})
+        names, first = np.unique(np.sort(part_b[part_b >= 0]), return_index=True)
+        if not len(names):
+            return None
+        # whether a point of a meets a part of b at all: no pairs of points are written down
+        met = np.logical_or.reduceat(near[:, np.argsort(part_b, kind="stable")[(part_b < 0).sum() :]], first, axis=1)
+        i, j = np.nonzero(met)
+        out = pd.DataFrame({"id": np.asarray(row.ids_a)[i], "part_a": part_a[i], "part_b": names[j]})
         inner = out[out.part_a >= 0].drop_duplicates(["part_a", "part_b"])
         border = out[out.part_a < 0].drop_duplicates(["id", "part_b"])
         return pd.concat([inner, border])
