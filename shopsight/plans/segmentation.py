@@ -10,9 +10,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.cluster.density import dbscan, k_distances, suggest_eps
-from shopsight.cluster.kmeans import CentreModel
+from shopsight.cluster.kmeans import CentreModel, fit_many
 from shopsight.cluster.metrics import compare_methods
-from shopsight.cluster.models import best_k, fit_gmm, fit_kmeans, gmm_labels, hierarchical, sweep_gmm, sweep_kmeans
+from shopsight.cluster.models import best_k, fit_mixtures, gmm_labels, hierarchical, sweep_gmm, sweep_kmeans
 from shopsight.cluster.prepare import CLUSTER_FEATURES, fit_cluster_prep
 from shopsight.cluster.segments import business_labels
 from shopsight.operators.aggregates import cluster_profile, cluster_summary
@@ -64,17 +64,21 @@ def segment_customers(
     prep = fit_cluster_prep(customers)
     numbered = cut_lineage(with_numeric_id(customers, id_column))
     vectors = cut_lineage(prep.transform(numbered).select("_row", "features")).persist()
-    sweep = sweep_kmeans(vectors, "_row", ks, seed, restarts, silhouette)
+    ks = list(ks)
+    # one set of passes fits the models of the sweep and the one that is used
+    centres = fit_many(vectors, [*ks, *([] if k is None else [k])], seed, restarts)
+    sweep = sweep_kmeans(vectors, "_row", ks, seed, restarts, silhouette, models=centres)
     k = best_k(sweep) if k is None else k
-    model = fit_kmeans(vectors, k, seed, restarts)
+    model = centres[k]
     labelled = model.transform(vectors).withColumnRenamed("prediction", "kmeans")
 
     eps = suggest_eps(k_distances(vectors, "_row", 5))[0.95]
     n = vectors.count()
     dense = dbscan(vectors, "_row", eps, max(10, n // 1000)).withColumnRenamed("cluster", "dbscan")
     tree = hierarchical(vectors, "_row", k, seed=seed).withColumnRenamed("cluster", "hierarchical")
-    mixtures = sweep_gmm(vectors, ks, seed, mixture_restarts) if sweep_mixtures else None
-    mixture = fit_gmm(vectors, k, seed, mixture_restarts)
+    fitted = fit_mixtures(vectors, list(dict.fromkeys([*(ks if sweep_mixtures else []), k])), seed, mixture_restarts)
+    mixtures = sweep_gmm(vectors, ks, seed, mixture_restarts, models=fitted) if sweep_mixtures else None
+    mixture = fitted[k]
     soft = gmm_labels(mixture, vectors).select("_row", F.col("cluster").alias("gmm"), "confidence")
     every = cut_lineage(labelled.join(dense, "_row").join(tree, "_row").join(soft, "_row"))
     methods = {"K-Means": "kmeans", "DBSCAN": "dbscan", "Hierarchical": "hierarchical", "GMM": "gmm"}

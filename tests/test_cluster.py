@@ -1,11 +1,13 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shopsight.cluster import kmeans as kmeans_module, metrics as M
-from shopsight.cluster.blocks import make_blocks
+from shopsight.cluster import kmeans as kmeans_module, metrics as M, models as models_module
+from shopsight.cluster.blocks import distances, make_blocks, nearest_distances, within
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
 from shopsight.cluster.kmeans import CentreModel, fit_many, lloyd
 from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, linkage_table, merge_tree, micro_clusters, sweep_gmm
@@ -253,3 +255,45 @@ def test_one_pass_serves_all_k_and_restarts(spark, tmp_path, monkeypatch):
     assert found.columns == ["id", "features", "prediction"] and found.groupBy("prediction").count().collect().__len__() == 4
     with pytest.raises(ValueError):
         fit_many(vectors.limit(0), [2])
+
+
+def test_a_pass_is_one_stage(spark):
+    points = kmeans_module.spread(vectors(spark, cloud()))
+    points.count()
+    sc = spark.sparkContext
+    sc.setJobGroup("one-pass", "one pass")
+    kmeans_module._pass(points, [np.zeros((2, 3)), np.ones((3, 3))])
+    models_module._mixture_sums(points, [Mixture(np.full(2, 0.5), np.array([[0.0] * 3, [3.0] * 3]), None)])
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("one-pass") for s in tracker.getJobInfo(j).stageIds]
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(s is not None and s.numCompletedTasks > 0 for s in stages) == 2
+    assert points.rdd.getNumPartitions() == 1
+    points.unpersist()
+
+
+def test_gap_fits_run_at_the_same_time(spark, monkeypatch):
+    fit, meet = models_module.fit_many, threading.Barrier(4, timeout=60)
+
+    def waiting(*args):
+        meet.wait()
+        return fit(*args)
+
+    monkeypatch.setattr(models_module, "fit_many", waiting)
+    found = models_module.gap_statistic(vectors(spark, cloud()), [2, 3], samples=3).collect()
+    assert [r.k for r in found] == [2, 3] and all(np.isfinite([r.gap, r.deviation]).all() for r in found)
+
+
+@pytest.mark.parametrize("dims", [1, 6, 64])
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_neighbours_by_products_equal_those_measured_one_by_one(dims, offset):
+    rng = np.random.default_rng(dims)
+    a, b = (np.round(rng.normal(size=(n, dims)), 1) + offset for n in (90, 70))
+    b[:30] = a[:30]
+    gaps, weights = distances(a.ravel(), 90, b.ravel(), 70), rng.integers(1, 4, 70)
+    for reach in np.quantile(gaps, [0, 0.01, 0.5, 1], method="nearest"):
+        assert (within(a.ravel(), 90, b.ravel(), 70, reach) == (gaps <= reach)).all()
+    for k in (1, 5, 300):
+        every = np.repeat(gaps, np.minimum(weights, k), axis=1)
+        every = np.sort(np.pad(every, ((0, 0), (0, max(0, k - every.shape[1]))), constant_values=np.inf), axis=1)[:, :k]
+        assert (nearest_distances(a.ravel(), 90, b.ravel(), 70, weights, k) == every).all()

@@ -1,9 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shopsight.cluster import kmeans, models
 from shopsight.learn.models import decision_tree
 from shopsight.operators.aggregates import customer_behaviour
+from shopsight.operators.joins import merge_tables
 from shopsight.operators.quality import DEFAULT_RULES, CleaningModel, Rule
+from shopsight.operators.targets import add_targets
+from shopsight.plans import segmentation
 from shopsight.plans.features import BINARY_FEATURES, CATEGORICAL_FEATURES, NUMERICAL_FEATURES, FeatureModel, save_features
 from shopsight.plans.preparation import prepare, save_prepared
 from shopsight.plans.satisfaction import SATISFACTION_NUMERIC, train_classifiers
@@ -55,6 +59,18 @@ def test_raw_input_to_prediction(spark, small, prepared, tmp_path):
     assert trained.comparison.where("name = 'Baseline'").first().roc_auc == 0.5
 
 
+def test_segmentation_fits_each_kind_of_model_once(spark, small, monkeypatch):
+    calls = []
+    lloyd, mixtures = kmeans.lloyd, models.fit_mixtures
+    monkeypatch.setattr(kmeans, "lloyd", lambda *a: calls.append("centres") or lloyd(*a))
+    for place in (models, segmentation):
+        monkeypatch.setattr(place, "fit_mixtures", lambda *a: calls.append("mixtures") or mixtures(*a), raising=False)
+    customers = customer_behaviour(add_targets(merge_tables(bindings.canonical_tables(spark, small)))).persist()
+    found = segmentation.segment_customers(customers, k=3, ks=[2, 4], restarts=2, mixture_restarts=1)
+    assert sorted(calls) == ["centres", "mixtures"]
+    assert found.model.k == 3 and [r.k for r in found.sweep.sort("k").collect()] == [2, 4] and [r.n for r in found.mixtures.sort("n").collect()] == [2, 4]
+
+
 def test_segmentation_job(spark, small, tmp_path):
     from catalog.base import wide
 
