@@ -6,7 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shopsight.llm import langid, quality_rules, queries
+from shopsight.llm import langid, near_dedup, quality_rules, queries
 from tests.llm.test_documents import brute_similar, normal
 
 
@@ -45,3 +45,9 @@ def test_stages_take_empty_tables(spark, small):
     docs = queries.documents(spark, small).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small).count() == 0
+
+
+def test_no_hash_is_the_least_of_every_permutation():
+    rng = np.random.default_rng(0)
+    a, b = (np.unique(np.append(rng.integers(1, 2**64, 400, dtype=np.uint64), np.uint64(0))) for _ in range(2))
+    assert not (near_dedup.band_keys(a) == near_dedup.band_keys(b)).any()
