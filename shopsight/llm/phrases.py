@@ -156,7 +156,7 @@ def _chunk(words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.
             _, first, times = np.unique(_codes(ids, counted, k, len(own)), return_index=True, return_counts=True)
             one = counted[first]
             yield pa.compute.binary_join_element_wise(*(spelled.take(pa.array(ids[one + j])) for j in range(k)), " "), begun[active][first], times
-        if k not in tables:
+        if k == LONGEST or k not in tables:
             return
         hashes = mixed(hashes[both], own[ids[start + k - 1]])
         # cells of other phrases may be earlier than a phrase is counted
