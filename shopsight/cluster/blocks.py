@@ -24,6 +24,10 @@ from shopsight.operators.ranking import global_rank
 BLOCK_ROWS = 1024
 SLABS = 64
 FEW_SHARE = 16
+STRIPE_ROWS = 16_384
+STRIPE_CELLS = 1 << 20
+# Squares this many times the error bound of a matrix product give distances right to seven digits and more.
+CLEAR_SQUARES = 1e6
 
 
 def as_points(df: DataFrame, id_column: str, features: str = "features", extra: list[str] | None = None) -> DataFrame:
@@ -143,6 +147,36 @@ def all_pairs(blocks: Blocks) -> DataFrame:
     return blocks.rows.select(F.col("block").alias("a"), F.explode(partners).alias("b"))
 
 
+def make_stripes(points: DataFrame, stripe_rows: int | None = None) -> Blocks:
+    """Points dealt to blocks by a hash, without boxes: for measures defined over all distances, where no place is left out.
+
+    A block holds up to about STRIPE_CELLS numbers, fewer if there would be too few pairs of blocks for the cores.
+    """
+    extra = [c for c in points.columns if c not in ("id", "x")]
+    info = points.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("dims")).first()
+    if stripe_rows is None:
+        most = max(BLOCK_ROWS, min(STRIPE_ROWS, STRIPE_CELLS // max(1, info["dims"] or 1)))
+        wanted = math.ceil(math.sqrt(8 * points.sparkSession.sparkContext.defaultParallelism))
+        number = max(math.ceil(info["n"] / most), min(wanted, math.ceil(info["n"] / BLOCK_ROWS)), 1)
+    else:
+        number = max(1, math.ceil(info["n"] / stripe_rows))
+    numbered = points.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(number).cast("long")))
+    grouped = numbered.groupBy("block").agg(F.collect_list(F.struct("id", "x", *extra)).alias("rows"), F.count("*").alias("n"))
+    arrays = [F.col("rows")[c].alias(f"{c}s") for c in ["id", *extra]]
+    rows = grouped.select("block", *arrays, F.flatten(F.col("rows")["x"]).alias("xs"), "n")
+    return Blocks(rows.persist(), number, [], [])
+
+
+def every_pair(blocks: Blocks, columns: list[str]) -> DataFrame:
+    """Every unordered pair of blocks (a <= b) with the contents of both, dealt by the pair and not by one of its blocks."""
+    last = F.lit(blocks.number - 1).cast("long")
+    block = F.col("block")
+    a = blocks.rows.select(block.alias("a"), F.explode(F.sequence(block, last)).alias("b"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = blocks.rows.select(block.alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), block)).alias("a"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    tasks = min(10_000, blocks.number * (blocks.number + 1) // 2)
+    return a.repartition(tasks, "a", "b").join(b.repartition(tasks, "a", "b"), ["a", "b"])
+
+
 def paired(blocks: Blocks, pairs: DataFrame, columns: list[str]) -> DataFrame:
     """Attach the contents of both blocks to every pair.
 
@@ -180,6 +214,25 @@ def _squares(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int) -> tuple[np
     return a, b, own_a[:, None] + own_b[None, :] - 2 * (a @ b.T), float(slack)
 
 
+def product_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances by one matrix product; those too small for it to tell are measured one by one."""
+    centre = b.mean(axis=0)
+    p, q = a - centre, b - centre
+    own_p, own_q = (p * p).sum(axis=1), (q * q).sum(axis=1)
+    clear = CLEAR_SQUARES * 4 * (a.shape[1] + 4) * np.finfo(float).eps * (own_p.max() + own_q.max())
+    squares = np.column_stack([p, own_p, np.ones(len(p))]) @ np.column_stack([-2 * q, np.ones(len(q)), own_q]).T
+    small = squares <= clear
+    few = np.count_nonzero(small)
+    if few > small.size // FEW_SHARE or not np.isfinite(clear):
+        return distances(a.ravel(), len(a), b.ravel(), len(b))
+    i, j = np.nonzero(small) if few else ([], [])
+    squares[i, j] = 0.0
+    gaps = np.sqrt(squares, out=squares)
+    if few:
+        gaps[i, j] = _exact(a, b, i, j)
+    return gaps
+
+
 def within(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, reach: float) -> np.ndarray:
     """Which points are at most `reach` apart, exactly: pairs whose squares are too close to tell are compared by themselves."""
     a, b, squares, slack = _squares(xs_a, n_a, xs_b, n_b)

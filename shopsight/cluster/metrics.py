@@ -12,7 +12,18 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shopsight.cluster.blocks import BLOCK_ROWS, all_pairs, as_points, distances, make_blocks, on_pairs, paired
+from shopsight.cluster.blocks import (
+    BLOCK_ROWS,
+    all_pairs,
+    as_points,
+    distances,
+    every_pair,
+    make_blocks,
+    make_stripes,
+    on_pairs,
+    paired,
+    product_distances,
+)
 from shopsight.session import together
 
 # The closed form over squared distances, whatever the number of rows; 'exact' needs work that grows with its square.
@@ -29,37 +40,64 @@ def as_vectors(df: DataFrame, features: str) -> DataFrame:
     return df
 
 
+def _label_sums(xs_a, labels_a, n_a: int, xs_b, labels_b, n_b: int, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each point of a, then of b (unless they are the same): the labels of the other block and the distances summed over each.
+
+    Copies within a block are measured once.
+    """
+
+    def places(xs, n: int, labels) -> tuple:
+        rows = np.ascontiguousarray(np.asarray(xs, float).reshape(n, -1)) + 0.0
+        whole = rows.view([("", rows.dtype)] * rows.shape[1]).ravel() if rows.shape[1] > 1 else rows.ravel()
+        _, first, back = np.unique(whole.view(f"V{rows.shape[1] * 8}"), return_index=True, return_inverse=True)
+        names, label = np.unique(np.asarray(labels), return_inverse=True)
+        times = np.zeros((len(first), len(names)))
+        np.add.at(times, (back, label), 1.0)
+        return rows[first], back, names, times
+
+    a, back_a, names_a, times_a = places(xs_a, n_a, labels_a)
+    b, back_b, names_b, times_b = (a, back_a, names_a, times_a) if same else places(xs_b, n_b, labels_b)
+    sums_a, sums_b = np.zeros((len(a), len(names_b))), np.zeros((len(b), len(names_a)))
+    for i in range(0, len(a), BLOCK_ROWS):
+        for j in range(0, len(b), BLOCK_ROWS):
+            gaps = product_distances(a[i : i + BLOCK_ROWS], b[j : j + BLOCK_ROWS])
+            sums_a[i : i + BLOCK_ROWS] += gaps @ times_b[j : j + BLOCK_ROWS]
+            if not same:
+                sums_b[j : j + BLOCK_ROWS] += gaps.T @ times_a[i : i + BLOCK_ROWS]
+    return [(names_b, sums_a[back_a])] + ([] if same else [(names_a, sums_b[back_b])])
+
+
 def silhouette_samples(
     df: DataFrame,
     id_column: str,
     label: str = "cluster",
     features: str = "features",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Exact Euclidean silhouette of every row: id, label, a, b, silhouette.
 
-    Block pairs return, per point, the sum of distances to each label; pairs of points are not emitted.
+    Every pair of blocks is measured once and returns, per point of both, the sum of distances to each label of the
+    other; pairs of points are not emitted.
     """
     points = as_points(df, id_column, features, [F.col(label).cast("long").alias("label")])
-    blocks = make_blocks(points, block_rows)
+    blocks = make_stripes(points, block_rows)
 
     def add(row) -> pd.DataFrame:
-        gaps = distances(row.xs_a, row.n_a, row.xs_b, row.n_b)
-        names, place = np.unique(np.asarray(row.labels_b), return_inverse=True)
-        onto = np.zeros((row.n_b, len(names)))
-        onto[np.arange(row.n_b), place] = 1.0
-        sums = gaps @ onto
-        return pd.DataFrame(
-            {
-                "id": np.repeat(np.asarray(row.ids_a), len(names)),
-                "label": np.repeat(np.asarray(row.labels_a), len(names)),
-                "other": np.tile(names, row.n_a),
-                "total": sums.ravel(),
-            }
-        )
-
-    rows = paired(blocks, all_pairs(blocks), ["ids", "xs", "labels", "n"])
-    sums = on_pairs(rows, add, "id long, label long, other long, total double")
+        found = _label_sums(row.xs_a, row.labels_a, row.n_a, row.xs_b, row.labels_b, row.n_b, row.a == row.b)
+        parts = [
+            pd.DataFrame(
+                {
+                    "id": np.repeat(np.asarray(ids), len(names)),
+                    "label": np.repeat(np.asarray(labels), len(names)),
+                    "other": np.tile(names, len(ids)),
+                    "total": sums.ravel(),
+                }
+            )
+            for (names, sums), ids, labels in zip(found, (row.ids_a, row.ids_b), (row.labels_a, row.labels_b))
+        ]
+        return pd.concat(parts)
+
+    sums = on_pairs(every_pair(blocks, ["ids", "xs", "labels", "n"]), add, "id long, label long, other long, total double")
     sums = sums.groupBy("id", "label", "other").agg(F.sum("total").alias("total"))
     sizes = points.groupBy(F.col("label").alias("other")).agg(F.count("*").alias("size"))
     own = F.col("label") == F.col("other")

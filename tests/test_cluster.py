@@ -7,7 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from shopsight.cluster import kmeans as kmeans_module, metrics as M, models as models_module
-from shopsight.cluster.blocks import distances, make_blocks, nearest_distances, within
+from shopsight.cluster.blocks import distances, every_pair, make_blocks, make_stripes, nearest_distances, product_distances, within
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
 from shopsight.cluster.kmeans import CentreModel, fit_many, lloyd
 from shopsight.cluster.models import Mixture, cut_tree, fit_mixtures, gmm_criteria, gmm_labels, hierarchical, linkage_table, merge_tree, micro_clusters, sweep_gmm
@@ -297,3 +297,31 @@ def test_neighbours_by_products_equal_those_measured_one_by_one(dims, offset):
         every = np.repeat(gaps, np.minimum(weights, k), axis=1)
         every = np.sort(np.pad(every, ((0, 0), (0, max(0, k - every.shape[1]))), constant_values=np.inf), axis=1)[:, :k]
         assert (nearest_distances(a.ravel(), 90, b.ravel(), 70, weights, k) == every).all()
+
+
+@pytest.mark.parametrize("dims", [1, 2, 64])
+def test_distances_by_product_equal_those_by_coordinates(dims):
+    """Far from the origin, with copies and near copies, where a matrix product alone loses small distances."""
+    rng = np.random.default_rng(dims)
+    a = rng.normal(size=(300, dims)) + 1e4
+    b = np.vstack([a[:5], a[5:9] + 1e-7, rng.normal(size=(200, dims)) + 1e4])
+    found = product_distances(a, b)
+    assert found == pytest.approx(distances(a.ravel(), len(a), b.ravel(), len(b)), rel=1e-6, abs=0)
+    assert (np.diag(found)[:5] == 0).all()
+
+
+def test_silhouette_measures_copies_once_and_every_pair_of_blocks_once(spark, monkeypatch):
+    """Distances of a quarter of the ordered pairs are enough here: half of the rows are copies, and both orders share one."""
+    xs = np.repeat(cloud(2)[:60], 2, axis=0)
+    labels = np.arange(len(xs)) % 3
+    sizes = []
+    monkeypatch.setattr(M, "product_distances", lambda a, b: sizes.append(len(a) * len(b)) or product_distances(a, b))
+    ((names, sums),) = M._label_sums(xs.ravel(), labels, len(xs), xs.ravel(), labels, len(xs), True)
+    assert sizes == [60 * 60] and names.tolist() == [0, 1, 2]
+    assert sums == pytest.approx(np.stack([gaps(xs)[:, labels == c].sum(axis=1) for c in range(3)], axis=1))
+    points = vectors(spark, xs, labels).select("id", F.expr("transform(sequence(0, 1), i -> id + 0.0D)").alias("x"))
+    blocks = make_stripes(points, 16)
+    pairs = [(r.a, r.b) for r in every_pair(blocks, ["ids"]).select("a", "b").collect()]
+    assert len(set(pairs)) == len(pairs) == blocks.number * (blocks.number + 1) // 2 and all(a <= b for a, b in pairs)
+    got = {r.id: r.silhouette for r in M.silhouette_samples(vectors(spark, xs, labels), "id", block_rows=16).collect()}
+    assert [got[i] for i in range(len(xs))] == pytest.approx(list(brute_silhouette(xs, labels)))
