@@ -45,10 +45,10 @@ LOOKUP_ROWS = 500_000
 
 
 def sized_lookups(lookups: Mapping[str, DataFrame], rows: int = LOOKUP_ROWS) -> dict[str, DataFrame]:
-    """Mark those with at most `rows` rows for broadcast; counting stops just above, all at the same time."""
+    """Mark those with at most `rows` rows for broadcast, and name these first; counting stops just above, all at the same time."""
     frames = list(lookups.values())
-    counts = together(frames[0].sparkSession, lambda df: df.limit(rows + 1).count(), frames)
-    return {n: F.broadcast(df) if c <= rows else df for (n, df), c in zip(lookups.items(), counts)}
+    counts = dict(zip(lookups, together(frames[0].sparkSession, lambda df: df.limit(rows + 1).count(), frames)))
+    return {n: F.broadcast(lookups[n]) if counts[n] <= rows else lookups[n] for n in sorted(lookups, key=lambda n: counts[n] > rows)}
 
 
 def join_steps(tables: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, str]]:
@@ -64,24 +64,45 @@ def join_steps(tables: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, st
     ]
 
 
+def _clash_names(parts: Sequence[tuple[DataFrame, str, tuple[str, str]]]) -> list[dict[str, str]]:
+    """Of each table, {column: name in the merged frame}, as if the tables were joined one after the other."""
+    names = [{c: c for c in df.columns} for df, _, _ in parts]
+    for i, (df, key, (left, right)) in enumerate(parts[1:], 1):
+        shared = {n for own in names[:i] for n in own.values()} & set(df.columns) - {key}
+        for own in names[:i]:
+            own.update({c: n + left for c, n in own.items() if n in shared})
+        names[i].update({c: c + right for c in shared})
+    return names
+
+
 def merge_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Orders with items, products, customers, sellers, reviews and payments: every order is kept.
 
-    Left joins on columns of the left side can be taken in any order. Those on the order id come first and
-    share one partitioning by it; the lookups follow, without a further shuffle while they are small.
+    Left joins on columns of the left side can be taken in any order. A lookup is joined to the table that holds its
+    key, before anything else: a customer once per order and not once per item, and no column of an order moves with
+    the product ids. The joins on the order id come last and share one partitioning by it, which the result keeps.
     """
     steps = {name: (table, key) for name, table, key in join_steps(tables)}
-    merged = tables["orders"]
-    for name in ("reviews", "payments", "order_items"):
-        merged = left_join(merged, *steps[name])
-    for name, table in sized_lookups({n: steps[n][0] for n in ("products", "customers", "sellers")}).items():
+    chain = ("reviews", "payments", "order_items")
+    parts = {"orders": (tables["orders"], "", ("", ""))}
+    parts.update({n: (*steps[n], ("_x", "_y")) for n in (*chain, "products", "customers")})
+    parts["sellers"] = (*steps["sellers"], ("_customer", "_seller"))
+    names = dict(zip(parts, _clash_names(list(parts.values()))))
+    ready = {n: df.withColumnsRenamed(names[n]) for n, (df, _, _) in parts.items()}
+    rest = []
+    for name, table in sized_lookups({n: ready[n] for n in ("products", "customers", "sellers")}).items():
         key = steps[name][1]
-        suffixes = ("_customer", "_seller") if name == "sellers" else ("_x", "_y")
-        left, right = suffix_clashes(merged, table, key, suffixes)
-        merged = left.join(right, key, "left")
+        home = next((n for n in ("order_items", "orders") if key in ready[n].columns), None)
+        if home:
+            ready[home] = ready[home].join(table, key, "left")
+        else:
+            rest.append((table, key))
+    merged = ready["orders"]
+    for table, key in [*((ready[n], "order_id") for n in chain), *rest]:
+        merged = merged.join(table, key, "left")
     order = [c for df in (tables["orders"], *(steps[n][0] for n in steps)) for c in df.columns]
-    first = [c for c in dict.fromkeys(order) if c in merged.columns]
-    return merged.select(*first, *[c for c in merged.columns if c not in first])
+    order += [c for own in names.values() for c in own.values()]
+    return merged.select(*[c for c in dict.fromkeys(order) if c in merged.columns])
 
 
 def merge_audit(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -64,6 +64,28 @@ def test_merge_keeps_every_order_and_suffixes_clashes(spark):
     assert steps["order_items"] == (3, 4, 1, 1) and steps["reviews"] == (4, 6, 2, 1) and steps["customers"][2] == 1
 
 
+def test_large_lookups_move_no_order_columns_and_leave_the_rows_by_order(spark, monkeypatch):
+    """A lookup too large to broadcast meets the narrow table of its key; nothing is shuffled after the joins by order id."""
+    monkeypatch.setattr(J, "sized_lookups", dict)
+    broadcast, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"
+    before = {c: spark.conf.get(c) for c in (broadcast, adaptive)}
+    small = J.merge_tables(tables(spark))
+    try:
+        spark.conf.set(broadcast, "-1")
+        spark.conf.set(adaptive, "false")
+        merged = J.merge_tables(tables(spark))
+        plan = merged.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning(order_id" not in plan.split("SortMergeJoin")[0]
+        whole = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+        moved = [i for i, line in enumerate(whole) if "Exchange hashpartitioning(product_id" in line]
+        assert moved and not any("SortMergeJoin [order_id" in line for line in whole[moved[0] :])
+        rows = sorted(map(str, merged.collect()))
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert rows == sorted(map(str, small.collect())) and len(rows) == 6
+
+
 def test_targets_are_never_null_by_default(spark):
     df = spark.sql("""SELECT cast(null AS int) review_score, cast(null AS timestamp) order_delivered_customer_date,
       timestamp'2024-01-02' order_estimated_delivery_date, timestamp'2024-01-01' order_purchase_timestamp""")
