@@ -52,6 +52,11 @@ def wide(spark: SparkSession, sf: str) -> DataFrame:
     return add_targets(merge_tables(bindings.canonical_tables(spark, sf)))
 
 
+def wide_kept(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Some columns of the wide frame, kept with the result: a query that reads them several times joins the tables once."""
+    return wide(spark, sf).select(*columns).persist()
+
+
 _STATES = ", ".join(f"'{s}'" for s in [*bindings.STATES[:23], "zz"])
 
 # The canonical tables in SQL, written independently of the Spark bindings.

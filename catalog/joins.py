@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import W, query, r, rounded, wide
+from catalog.base import W, query, r, rounded, wide, wide_kept
 from shopsight.operators.aggregates import category_price_stats, rfm
 from shopsight.operators.joins import (
     attach_coordinates,
@@ -87,7 +87,7 @@ def two_roles(spark, sf):
       ON t.product_category_name_english = s.c""",
 )
 def group_statistics(spark, sf):
-    df = wide(spark, sf)
+    df = wide_kept(spark, sf, "order_id", "order_item_id", "price", "product_category_name_english")
     mean = df.agg(F.avg("price")).first()[0]
     out = attach_with_fill(df, category_price_stats(df), "product_category_name_english", {"category_price_mean": mean})
     return rounded(out.select("order_id", "order_item_id", "price", "category_price_mean"))

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import catalog
 from shopsight.cluster import kmeans, models
 from shopsight.learn.models import decision_tree
 from shopsight.operators.aggregates import customer_behaviour
@@ -149,3 +150,10 @@ def test_sampled_log_is_stable(spark):
 
 def test_rules_are_plain_data():
     assert Rule("x", low=0) == Rule("x", low=0)
+
+
+@pytest.mark.parametrize("name", ["c4_group_statistics", "f7_product_features", "d19_seller_history", "q3_iqr_outliers"])
+def test_queries_that_read_the_wide_frame_again_read_a_kept_one(spark, small, name):
+    """Kept columns show their physical plan, with file scans; a relation of order items would be read anew."""
+    plan = catalog.QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" in plan and "FileScan parquet [l_orderkey" in plan and "Relation [l_orderkey" not in plan
