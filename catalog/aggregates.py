@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import NUDGE, W, query, r, rounded, wide
+from catalog.base import NUDGE, W, query, r, rounded, wide, wide_kept
 from shopsight.functions.text import text_columns
 from shopsight.operators import aggregates as A, profile as P
 from shopsight.operators.joins import payments_per_order
@@ -338,7 +338,8 @@ def revenue(spark, sf):
     FROM tw LEFT JOIN h ON tw.seller_id = h.seller_id AND order_purchase_timestamp = h.t""",
 )
 def seller_history(spark, sf):
-    out = A.seller_history(wide(spark, sf))
+    kept = wide_kept(spark, sf, "order_id", "order_item_id", "price", "seller_id", "order_purchase_timestamp", "review_score")
+    out = A.seller_history(kept)
     return rounded(out.select("order_id", "order_item_id", "price", "seller_historical_rating"))
 
 
