@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import W, query, r, rounded, wide
+from catalog.base import W, query, r, rounded, wide, wide_kept
 from shopsight.functions.calendar import add_calendar_features, month_cycle, time_of_day
 from shopsight.functions.commerce import payment_columns
 from shopsight.functions.geo import great_circle_km, region_of
@@ -131,7 +131,9 @@ _PRODUCT = [
     + " FROM x",
 )
 def product(spark, sf):
-    out, _ = add_product_features(wide(spark, sf))
+    sizes = ("product_length_cm", "product_height_cm", "product_width_cm", "product_weight_g")
+    kept = wide_kept(spark, sf, "order_id", "order_item_id", "seller_id", "product_category_name_english", "price", "freight_value", *sizes)
+    out, _ = add_product_features(kept)
     return rounded(out.select("order_id", "order_item_id", "seller_id", *_PRODUCT))
 
 
