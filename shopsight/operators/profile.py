@@ -182,7 +182,9 @@ def regression_target(df: DataFrame, target: str = "delivery_days") -> DataFrame
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, multiplier: float = 1.5) -> DataFrame:
     """Values outside the quartiles by more than `multiplier` spreads, per column, largest share first."""
     columns = [c for c in (columns or numeric_columns(df)) if c in df.columns]
-    fitted = {c: q for c, q in quantiles(df, columns, [0.25, 0.75]).items() if q}
+    # Read for the quartiles and again for the counts; the columns stay persisted with the result.
+    df = df.select(*columns).persist()
+    fitted = {c: q for c, q in quantiles(df, columns, [0.25, 0.75], keep=False).items() if q}
     facts = {}
     for c, (q1, q3) in fitted.items():
         spread = q3 - q1
