@@ -105,21 +105,21 @@ def noted(tables: dict[int, np.ndarray], reached: DataFrame, step: int, cells: i
     return lengths
 
 
-class _Words(dict):
-    """A number for every word of a chunk; 0 is the break between pieces."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _encoded(lang: str, texts: list[bytes]) -> tuple[bytes, bytes, bytes]:
-    """The different words of some texts, their hashes, and the texts as numbers of words with a break after each piece."""
+    """The different words of some texts, their hashes, and the texts as numbers of words with a break after each piece.
+
+    Words have numbers in the order in which they come first; 0 is the break between pieces.
+    """
     from xxhash import xxh64_intdigest
 
-    known = _Words({BREAK: 0})
-    parts = BREAK.join(texts).translate(FOLDED).replace(BREAK, b" \n ").split(b" ")
-    ids = np.fromiter((known[w] for w in parts if w), "<i4")
+    text = BREAK + b" " + BREAK.join(texts).translate(FOLDED).replace(BREAK, b" \n ")
+    coded = pa.compute.split_pattern(pa.array([text], pa.large_binary()), b" ").flatten().dictionary_encode()
+    known, ids = coded.dictionary.to_pylist(), coded.indices.to_numpy()[1:]
+    if b"" in known:  # between spaces in a row
+        empty = known.index(b"")
+        del known[empty]
+        ids = ids[ids != empty]
+        ids = ids - (ids > empty)
     mark = (lang + MARK).encode()
     hashes = np.array([xxh64_intdigest(mark + w, SEED) for w in known], "<u8")
     return b" ".join(known), hashes.tobytes(), np.append(ids, 0).astype("<i4").tobytes()
@@ -135,11 +135,29 @@ def _codes(ids: np.ndarray, start: np.ndarray, k: int, words: int) -> np.ndarray
     return code
 
 
-def _chunk(words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.ndarray], step: int, shards: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """(phrases, first steps, counts) of the active phrases of each length, from texts as `_encoded` gives them."""
+def _counted(ids: np.ndarray, start: np.ndarray, begun: np.ndarray, k: int, words: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(numbers of the words at each place, first steps, counts) of the different phrases of `k` words; equal phrases have equal first steps."""
+    if words**k >= 1 << 55:
+        _, first, times = np.unique(_codes(ids, start, k, words), return_index=True, return_counts=True)
+        return [ids[start[first] + j] for j in range(k)], begun[first], times
+    # phrase and first step in one number: sorted without places, and taken apart again
+    codes = np.sort(_codes(ids, start, k, words) << 8 | begun)
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    times, codes = np.diff(np.append(first, len(codes))), codes[first]
+    begun, codes, own = (codes & 255).astype(np.int32), codes >> 8, []
+    for _ in range(k - 1):
+        rest = codes // words
+        own.append(codes - rest * words)
+        codes = rest
+    return [codes, *reversed(own)], begun, times
+
+
+def _chunk(lang: str, words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.ndarray], step: int, shards: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(keys, first steps, counts) of the active phrases of each length, from texts as `_encoded` gives them."""
     spelled = pa.array(words.decode("utf-8", "replace").split(" "), pa.string())
+    leading = pa.compute.binary_join_element_wise(pa.scalar(f"{lang}{MARK}"), spelled, "")
     if step < shards:
-        yield spelled[1:], np.zeros(len(own) - 1, np.int32), np.bincount(ids, minlength=len(own))[1:]
+        yield leading[1:], np.zeros(len(own) - 1, np.int32), np.bincount(ids, minlength=len(own))[1:]
     if 1 not in tables:
         return
     since = steps_of(tables[1], own).astype(np.int32)
@@ -152,10 +170,8 @@ def _chunk(words: bytes, own: np.ndarray, ids: np.ndarray, tables: dict[int, np.
         start, begun = at[both], np.maximum(since[both], since[both + 1]) + 1
         active = begun + shards > step
         if active.any():
-            counted = start[active]
-            _, first, times = np.unique(_codes(ids, counted, k, len(own)), return_index=True, return_counts=True)
-            one = counted[first]
-            yield pa.compute.binary_join_element_wise(*(spelled.take(pa.array(ids[one + j])) for j in range(k)), " "), begun[active][first], times
+            (lead, *rest), first_steps, times = _counted(ids, start[active], begun[active], k, len(own))
+            yield pa.compute.binary_join_element_wise(leading.take(pa.array(lead)), *(spelled.take(pa.array(n)) for n in rest), " "), first_steps, times
         if k == LONGEST or k not in tables:
             return
         hashes = mixed(hashes[both], own[ids[start + k - 1]])
@@ -175,8 +191,7 @@ def _scan(shard: DataFrame, tables: dict[int, np.ndarray], step: int, shards: in
         for part in parts:
             for lang, words, own, ids in zip(*(part.column(name) for name in CODED)):
                 numbers = np.frombuffer(own.as_buffer(), "<u8"), np.frombuffer(ids.as_buffer(), "<i4")
-                for phrases, begun, times in _chunk(words.as_py(), *numbers, known, step, shards):
-                    key = pa.compute.binary_join_element_wise(pa.scalar(f"{lang.as_py()}{MARK}"), phrases, "")
+                for key, begun, times in _chunk(lang.as_py(), words.as_py(), *numbers, known, step, shards):
                     yield pa.RecordBatch.from_arrays([key, pa.array(times.astype(np.int64)), pa.array(begun, pa.int32())], names=["key", "c", "begun"])
 
     return shard.select(*CODED).mapInArrow(work, "key string, c long, begun int")

@@ -201,3 +201,28 @@ def test_steps_are_never_later_than_noted(spark):
     found = phrases.steps_of(tables[2], hashes)
     assert list(tables) == [2] and all((found[step::3] <= step).all() for step in (0, 1, 2)) and (found[2::3] == 2).mean() > 0.5
     assert (phrases.steps_of(tables[2], np.arange(1, 4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) == phrases.NEVER).mean() > 0.8
+
+
+@pytest.mark.parametrize("words", [7, 1 << 20])
+def test_phrases_are_counted_by_numbers_of_words(words):
+    """The packed way and the one for numbers that pass 64 bits give the same phrases, first steps and counts."""
+    rng = np.random.default_rng(3)
+    ids = rng.integers(1, 7, 4_000).astype(np.int32)
+    for k in (2, 3, 4):
+        start = np.flatnonzero(rng.random(len(ids) - k) < 0.7)
+        steps = ids[start].astype(np.int32) + ids[start + k - 1]
+        own, begun, times = phrases._counted(ids, start, steps, k, words)
+        assert begun.dtype == np.int32
+        assert Counter(dict(zip(zip(*(n.tolist() for n in own), begun.tolist()), times.tolist()))) == Counter(
+            (*(int(ids[s + j]) for j in range(k)), int(b)) for s, b in zip(start, steps)
+        )
+
+
+def test_phrases_number_words_of_odd_texts():
+    texts = [b"", b"  A  b\t\tc ", b"\xff x. y", b"\x1c \x00 q,,q", b"a"]
+    words, hashes, ids = phrases._encoded("en", texts)
+    words = words.split(b" ")
+    assert words == [b"\n", b"a", b"b", b"c", b"\xff", b"x", b"y", b"\x1c", b"\x00", b"q"]
+    assert np.frombuffer(hashes, "<u8").tolist() == [xxhash.xxh64_intdigest(b"en\n" + w, phrases.SEED) for w in words]
+    spelled = [words[i] for i in np.frombuffer(ids, "<i4")]
+    assert spelled == [b"\n", b"a", b"b", b"c", b"\n", b"\xff", b"x", b"\n", b"y", b"\n", b"\x1c", b"\x00", b"q", b"\n", b"\n", b"q", b"\n", b"a", b"\n"]
