@@ -9,7 +9,7 @@ from shopsight.functions.geo import great_circle_km, region_of
 from shopsight.functions.text import add_text_features, capitals_share, lexicon_sentiment, sentiment_label
 from shopsight.operators import encode as E
 from shopsight.operators.joins import merge_tables, payments_per_order
-from shopsight.plans.features import FeatureModel, add_geographic_features, add_product_features
+from shopsight.plans.features import FITTED_COLUMNS, FeatureModel, add_geographic_features, add_product_features
 from shopsight.sources import bindings
 from shopsight.sources.readers import mean_coordinates
 
@@ -237,6 +237,18 @@ def day_part(spark, sf):
     return bindings.orders(spark, sf).select("order_id", time_of_day(F.hour(_TS)).alias("part"))
 
 
+_FRAME_INPUTS = [
+    *FITTED_COLUMNS,
+    "seller_id",
+    "freight_value",
+    "product_weight_g",
+    "product_length_cm",
+    "product_height_cm",
+    "product_width_cm",
+    "customer_state",
+    "seller_state",
+    "payment_installments",
+]
 _FRAME = ["seller_customer_distance_km", "price_vs_category_zscore", "payment_per_installment", "recency", "monetary"]
 
 
@@ -260,10 +272,12 @@ _FRAME = ["seller_customer_distance_km", "price_vs_category_zscore", "payment_pe
     + " FROM x",
 )
 def feature_frame(spark, sf):
-    df = wide(spark, sf)
-    train = df.where(F.col(_TS) < F.lit("1999-01-01").cast("timestamp"))
+    """The tables are joined once for the fit and the frame; a review's text is not kept with every item but joined by its order."""
+    kept = wide_kept(spark, sf, *_FRAME_INPUTS)
+    train = kept.where(F.col(_TS) < F.lit("1999-01-01").cast("timestamp"))
     model = FeatureModel(mean_coordinates(bindings.geolocation(spark, sf)), bindings.lexicon(spark, sf)).fit(train)
-    return rounded(model.transform(df).select("order_id", "order_item_id", "seller_id", *_FRAME))
+    texts = bindings.reviews(spark, sf).select("order_id", "review_comment_message")
+    return rounded(model.transform(kept.join(texts, "order_id", "left")).select("order_id", "order_item_id", "seller_id", *_FRAME))
 
 
 _SCALED = ["product_weight_g", "product_height_cm", "product_photos_qty"]

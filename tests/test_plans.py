@@ -157,3 +157,11 @@ def test_queries_that_read_the_wide_frame_again_read_a_kept_one(spark, small, na
     """Kept columns show their physical plan, with file scans; a relation of order items would be read anew."""
     plan = catalog.QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
     assert "InMemoryRelation" in plan and "FileScan parquet [l_orderkey" in plan and "Relation [l_orderkey" not in plan
+
+
+def test_feature_frame_joins_the_tables_once(spark, small):
+    """The fit and the frame read kept columns, in which no text is repeated for the items of an order."""
+    plan = catalog.QUERIES["f15_feature_frame"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line for line in plan.splitlines() if "InMemoryRelation" in line and "freight_value" in line]
+    assert kept and not any("review_comment_message" in line for line in kept)
+    assert "FileScan parquet [l_orderkey" in plan and "Relation [l_orderkey" not in plan
