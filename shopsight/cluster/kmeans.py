@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 START_ROUNDS = 10
 START_ROWS = 4096
-BATCH_CELLS = 1 << 21
+# Rows times centres whose gaps are held at once, so that they stay in a core's cache, and rows totalled at once.
+BATCH_CELLS = 1 << 17
+STRETCH_ROWS = 1 << 15
 TASK_ROWS = 8_192
 MOST_TASK_ROWS = 2_000_000
 
@@ -63,33 +65,50 @@ class CentreModel:
 
 def nearest(x: np.ndarray, centres: np.ndarray, bounds: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(label, squared distance) of the rows for each model, whose centres lie between two bounds: one matrix product for all."""
-    gaps = (x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1)[None, :]
-    for a, b in zip(bounds, bounds[1:]):
-        label = gaps[:, a:b].argmin(axis=1)
+    labels = np.empty((len(bounds) - 1, len(x)), np.int64)
+    half, step = (centres * centres).sum(axis=1) / 2, max(1, BATCH_CELLS // len(centres))
+    for at in range(0, len(x), step):
+        gaps = half - x[at : at + step] @ centres.T  # half the squared distance, less what is the same for all centres
+        for label, a, b in zip(labels, bounds, bounds[1:]):
+            label[at : at + step] = gaps[:, a:b].argmin(axis=1)
+    for label, a in zip(labels, bounds):
         away = x - centres[a + label]
         yield label, np.einsum("ij,ij->i", away, away)
 
 
 def spread(vectors: DataFrame) -> DataFrame:
-    """The vectors as arrays (x), dealt evenly for many passes and persisted: two tasks a core, fewer for few rows, more for very many."""
+    """The vectors dealt evenly for many passes and persisted: two tasks a core, fewer for few rows, more for very many.
+
+    A row holds the coordinates of many vectors (x), one after the other, so that a pass moves few large values to Python.
+    """
     points = vectors.select(vector_to_array("features").alias("x"))
     rows, cores = points.count(), points.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(2 * cores, math.ceil(rows / TASK_ROWS)), math.ceil(rows / MOST_TASK_ROWS))
-    return points.repartition(tasks).persist()
+    return points.repartition(tasks).mapInArrow(_packed, "x array<double>").persist()
+
+
+def _packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        x = part.column("x").flatten()
+        if len(x):
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(x)], x)], names=["x"])
+
 
+def summed(points: DataFrame, shared, total: Callable[[np.ndarray, object], np.ndarray], shape: tuple[int, int], dims: int) -> np.ndarray:
+    """The sum of `total(vectors, value of shared)` over all vectors, in one stage: a task returns one array of the given shape.
 
-def summed(points: DataFrame, shared, total: Callable[[np.ndarray, object], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
-    """The sum of `total(rows, value of shared)` over all rows, in one stage: a task returns one array of the given shape."""
-    parts = points.mapInArrow(_work(shared, total, shape), "sums binary").collect()
+    A row of `points` holds one vector of `dims` coordinates, or several one after the other.
+    """
+    parts = points.mapInArrow(_work(shared, total, shape, dims), "sums binary").collect()
     return np.sum([np.frombuffer(row["sums"]).reshape(shape) for row in parts], axis=0) if parts else np.zeros(shape)
 
 
-def _work(shared, total: Callable, shape: tuple[int, int]) -> Callable:
+def _work(shared, total: Callable, shape: tuple[int, int], dims: int) -> Callable:
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, seen = np.zeros(shape), False
         for part in parts:
             if part.num_rows:
-                x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
                 sums, seen = sums + total(x, shared.value), True
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
@@ -108,22 +127,25 @@ def _pass(points: DataFrame, models: list[np.ndarray]) -> list[np.ndarray]:
 
     def total(every: np.ndarray, centres: np.ndarray) -> np.ndarray:
         totals = np.zeros((len(centres), 2 + dims))
-        step = max(1, BATCH_CELLS // len(centres))
-        for at in range(0, len(every), step):
-            x = every[at : at + step]
+        for at in range(0, len(every), STRETCH_ROWS):
+            x = every[at : at + STRETCH_ROWS]
+            axes = np.ascontiguousarray(x.T)
             for (a, b), (label, gap) in zip(zip(bounds, bounds[1:]), nearest(x, centres, bounds)):
-                member = np.zeros((b - a, len(x)))
-                member[label, np.arange(len(x))] = 1
-                totals[a:b, 0] += member.sum(axis=1)
-                totals[a:b, 1] += member @ gap
-                totals[a:b, 2:] += member @ x
+                for place, values in enumerate((None, gap, *axes)):
+                    totals[a:b, place] += np.bincount(label, values, b - a)
         return totals
 
-    found = summed(points, shared, total, (bounds[-1], 2 + dims))
+    found = summed(points, shared, total, (bounds[-1], 2 + dims), dims)
     shared.destroy()
     return [found[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
+def start_sample(vectors: DataFrame, rows: int) -> np.ndarray:
+    """At most `rows` of the vectors, chosen by a hash."""
+    chosen = vectors.select(vector_to_array("features").alias("x")).orderBy(F.xxhash64("x"), "x").limit(rows)
+    return np.array([row["x"] for row in chosen.collect()], float)
+
+
 def start_centres(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = START_ROUNDS) -> np.ndarray:
     """Centres of a few rows: spread by squared distances, then moved some rounds."""
     centres = x[[rng.integers(len(x))]]
@@ -177,11 +199,10 @@ def fit_many(
     Start values come from at most `start_rows` rows, chosen by a hash; every round reads all rows. `vectors` should be
     persisted by the caller.
     """
-    points = spread(vectors)
-    near = np.array([row["x"] for row in points.orderBy(F.xxhash64("x"), "x").limit(start_rows).collect()], float)
+    near = start_sample(vectors, start_rows)
     if not len(near):
-        points.unpersist()
         raise ValueError("no rows to cluster")
+    points = spread(vectors)
     jobs = [(k, offset) for k in dict.fromkeys(ks) for offset in range(restarts)]
     fitted = lloyd(points, [start_centres(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs], max_iter, tol)
     points.unpersist()

@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
-from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, spread, start_centres, summed
+from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, spread, start_centres, start_sample, summed
 from shopsight.cluster.metrics import (
     MEASURES,
     calinski_harabasz,
@@ -169,7 +169,7 @@ def _mixture_sums(points: DataFrame, models: list[Mixture]) -> list[tuple[float,
                     totals[first + j] += np.concatenate([[likelihood, share[:, j].sum()], weighed.sum(axis=0), (away.T @ weighed).ravel()])
         return totals
 
-    found = summed(points, shared, total, (bounds[-1], 2 + dims + dims * dims))
+    found = summed(points, shared, total, (bounds[-1], 2 + dims + dims * dims), dims)
     shared.destroy()
     return [(float(found[a, 0]), found[a:b, 1:]) for a, b in zip(bounds, bounds[1:])]
 
@@ -188,12 +188,11 @@ def fit_mixtures(
     of a row gains less than `tol`. Decompositions of the small covariances are numpy's.
     """
 
+    near = start_sample(vectors, start_rows)  # start values only; every round reads all rows
     points = spread(vectors)
-    sample = points.orderBy(F.xxhash64("x")).limit(start_rows).collect()  # start values only; every round reads all rows
-    near = np.array([row.x for row in sample], float)
     jobs = [(k, offset) for k in ks for offset in range(restarts)]
     models = {(k, offset): _start(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs}
-    n = points.count()
+    n = vectors.count()
     likelihoods = dict.fromkeys(jobs, -np.inf)
     moving = jobs
     while moving:

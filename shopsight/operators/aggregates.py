@@ -74,17 +74,22 @@ def customer_behaviour(
     """RFM plus review, delivery, price and category behaviour, per customer.
 
     A customer without a review or delivery gets the median over customers (or the value in `fills`).
+    Orders are counted by the first row of each, in a window that the partitioning of the merged frame serves: a
+    distinct count beside the mode would keep and sort a table of categories for every order, twice.
     """
     ts = "order_purchase_timestamp"
     at = reference_micros(df, reference, ts)
     if dedup_by:
         df = once_per(df, ["customer_unique_id", dedup_by], "payment_value")
+    rows_of_order = Window.partitionBy("order_id", "customer_unique_id").orderBy(F.lit(0))
+    first = F.col("order_id").isNotNull() & (F.row_number().over(rows_of_order) == 1)
     table = (
         df.where(F.col("customer_unique_id").isNotNull())
+        .withColumn("_first", first)
         .groupBy("customer_unique_id")
         .agg(
             _recency(at, ts).alias("recency"),
-            F.count_distinct("order_id").alias("frequency"),
+            F.count_if("_first").alias("frequency"),
             F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("monetary"),
             F.avg("review_score").alias("avg_review_score"),
             F.avg("delivery_days").alias("avg_delivery_days"),

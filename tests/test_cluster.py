@@ -325,3 +325,18 @@ def test_silhouette_measures_copies_once_and_every_pair_of_blocks_once(spark, mo
     assert len(set(pairs)) == len(pairs) == blocks.number * (blocks.number + 1) // 2 and all(a <= b for a, b in pairs)
     got = {r.id: r.silhouette for r in M.silhouette_samples(vectors(spark, xs, labels), "id", block_rows=16).collect()}
     assert [got[i] for i in range(len(xs))] == pytest.approx(list(brute_silhouette(xs, labels)))
+
+
+def test_passes_read_stretches_of_vectors(spark):
+    """A pass moves few large rows to Python, and totals them as numpy does, whatever the number of centres."""
+    x = np.random.default_rng(8).normal(size=(30_000, 3)) + 1e3
+    points = kmeans_module.spread(vectors(spark, x))
+    assert points.count() <= 8 and points.agg(F.sum(F.size("x"))).first()[0] == x.size
+    centres = [x[:4], x[5:905], np.vstack([x[:1], [[9e9] * 3]])]
+    for model, sums in zip(centres, kmeans_module._pass(points, centres)):
+        gaps = ((x[:, None, :2] - model[None, :, :2]) ** 2).sum(axis=2) + (x[:, None, 2] - model[None, :, 2]) ** 2
+        label = gaps.argmin(axis=1)
+        assert sums[:, 0].tolist() == np.bincount(label, minlength=len(model)).tolist()
+        assert sums[:, 1].sum() == pytest.approx(gaps.min(axis=1).sum())
+        assert sums[:, 2:].sum(axis=0) == pytest.approx(x.sum(axis=0))
+    points.unpersist()

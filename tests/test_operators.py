@@ -244,3 +244,18 @@ def test_histogram_keeps_rows_without_a_group(spark):
     df = spark.createDataFrame([("a", 0.0), ("a", 1.0), (None, 1.0), (None, None)], "g string, x double")
     got = {(r.g, r.bin): (r.n, r.density) for r in P.histogram(df, "x", 2, by=["g"]).collect()}
     assert got == {("a", 0): (1, 1.0), ("a", 1): (1, 1.0), (None, 1): (1, 2.0)}
+
+
+def test_customers_orders_are_counted_without_a_mode_per_order(spark):
+    rows = [
+        (1, 10, 5.0, "b"), (1, 10, 5.0, "a"), (1, 11, 1.0, "b"), (1, 11, 1.0, "a"), (1, None, 2.0, None), (1, None, 2.0, None),
+        (2, 10, 7.0, None), (3, None, 1.0, "z"), (None, 12, 1.0, "z"),
+    ]
+    df = spark.createDataFrame(rows, "customer_unique_id long, order_id long, payment_value double, product_category_name_english string")
+    more = {TS: F.lit("2024-01-01").cast("timestamp"), "order_item_id": F.lit(1), "is_late_delivery": F.lit(0)}
+    df = df.withColumns({**more, **{c: F.lit(1.0) for c in ("review_score", "delivery_days", "price")}})
+    table = A.customer_behaviour(df, "2024-01-03", fills={})
+    got = {r.customer_unique_id: (r.frequency, r.monetary, r.total_items, r.favorite_category) for r in table.collect()}
+    assert got == {1: (2, 16.0, 6, "a"), 2: (1, 7.0, 1, "unknown"), 3: (0, 1.0, 1, "z")}
+    plan = table._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ObjectHashAggregate") == 2
