@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 START_ROUNDS = 10
 START_ROWS = 4096
+HASH_MARGIN = 4
 # Rows times centres whose gaps are held at once, so that they stay in a core's cache, and rows totalled at once.
 BATCH_CELLS = 1 << 17
 STRETCH_ROWS = 1 << 15
@@ -32,6 +33,17 @@ def assign_to_centres(vectors: DataFrame, centres: list[list[float]], features:
     return vectors.withColumns({"cluster": nearest["i"], "distance": F.sqrt(nearest["d"])})
 
 
+def label_nearest(vectors: DataFrame, centres: np.ndarray, name: str) -> DataFrame:
+    """Nearest of many centres (lowest number on ties), by matrix products over batches of rows."""
+    shared, (k, dims) = vectors.sparkSession.sparkContext.broadcast(centres), centres.shape
+
+    def labels(x: pa.Array) -> pa.Array:
+        rows = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        return pa.array(next(nearest(rows, shared.value, [0, k]))[0])
+
+    return vectors.withColumn(name, F.arrow_udf(labels, "long")(vector_to_array("features")))
+
+
 @dataclass
 class CentreModel:
     """Fitted centres. `cost` is the sum of squared distances of the rows to the nearest of them."""
@@ -141,9 +153,14 @@ def _pass(points: DataFrame, models: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def start_sample(vectors: DataFrame, rows: int) -> np.ndarray:
-    """At most `rows` of the vectors, chosen by a hash."""
-    chosen = vectors.select(vector_to_array("features").alias("x")).orderBy(F.xxhash64("x"), "x").limit(rows)
-    return np.array([row["x"] for row in chosen.collect()], float)
+    """The `rows` vectors with the smallest hashes. Only hashes small enough are sorted, unless too few rows have such."""
+    hashed = vectors.select(vector_to_array("features").alias("x")).withColumn("hash", F.xxhash64("x"))
+    share = HASH_MARGIN * rows / max(1, vectors.count())
+    found = []
+    for part in [hashed] if share >= 1 else [hashed.where(F.col("hash") < F.lit(int(share * 2**64) - 2**63)), hashed]:
+        if len(found) < rows:
+            found = part.orderBy("hash", "x").limit(rows).collect()
+    return np.array([row["x"] for row in found], float)
 
 
 def start_centres(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = START_ROUNDS) -> np.ndarray:

@@ -6,12 +6,11 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
-from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, spread, start_centres, start_sample, summed
+from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, label_nearest, spread, start_centres, start_sample, summed
 from shopsight.cluster.metrics import (
     MEASURES,
     calinski_harabasz,
@@ -23,6 +22,8 @@ from shopsight.cluster.metrics import (
 from shopsight.session import cut_lineage, together
 
 MICRO_CLUSTERS = 2000
+MICRO_ROUNDS = 20
+MICRO_STARTS = 4  # rows for each centre among which start values are chosen
 COVARIANCE_RIDGE = 1e-6
 MIN_WEIGHT = 1e-12
 ROWS_AT_ONCE = 8_192
@@ -309,10 +310,9 @@ def cut_tree(merges: np.ndarray, leaves: int, clusters: int) -> np.ndarray:
 
 
 def micro_clusters(vectors: DataFrame, id_column: str, m: int = MICRO_CLUSTERS, seed: int = 42) -> DataFrame:
-    """(id, micro): the nearest of at most m K-Means centres, fitted by Spark whatever the number of rows."""
-    model = KMeans(k=m, seed=seed).fit(vectors)
-    scored = model.transform(vectors)
-    return scored.select(id_column, "features", F.col("prediction").cast("long").alias("micro"))
+    """(id, micro): the nearest of at most m K-Means centres, fitted in passes over all rows whatever their number."""
+    model = fit_many(vectors, [m], seed, restarts=1, max_iter=MICRO_ROUNDS, start_rows=MICRO_STARTS * m)[m]
+    return label_nearest(vectors.select(id_column, "features"), model.centres, "micro")
 
 
 def ward_tree(
@@ -320,12 +320,14 @@ def ward_tree(
 ) -> tuple[DataFrame, list[int], np.ndarray]:
     """(rows with their micro cluster, micro numbers in leaf order, merges)."""
     assigned = cut_lineage(micro_clusters(vectors, id_column, m, seed))
+    dims, x = len(assigned.first()["features"]), vector_to_array("features")
+    leaves = assigned.groupBy("micro").agg(F.count("*").alias("size"), *[F.avg(x[i]).alias(f"x{i}") for i in range(dims)])
     # At most m centres reach the driver, whatever the number of rows.
-    table = sorted(centroid_table(assigned, "micro").select("label", "size", "centroid").collect())
-    centres = np.array([r["centroid"] for r in table], dtype=float)
+    table = sorted(leaves.collect())
+    centres = np.array([r[2:] for r in table], dtype=float)
     sizes = np.array([r["size"] for r in table])
     merges = merge_tree(centres, sizes, method) if len(table) > 1 else np.empty((0, 4))
-    return assigned, [r["label"] for r in table], merges
+    return assigned, [r["micro"] for r in table], merges
 
 
 def hierarchical(

@@ -340,3 +340,28 @@ def test_passes_read_stretches_of_vectors(spark):
         assert sums[:, 1].sum() == pytest.approx(gaps.min(axis=1).sum())
         assert sums[:, 2:].sum(axis=0) == pytest.approx(x.sum(axis=0))
     points.unpersist()
+
+
+def test_start_sample_has_the_smallest_hashes_and_copies_do_not_shorten_it(spark):
+    few = np.random.default_rng(2).normal(size=(400, 2))
+    for x in (few, np.repeat(few[:3], 150, axis=0)):  # few different values may all have large hashes
+        frame = vectors(spark, x)
+        got = kmeans_module.start_sample(frame, 20)
+        plain = frame.select(F.expr("id"), models_module.vector_to_array("features").alias("x")).orderBy(F.xxhash64("x"), "x").limit(20).collect()
+        assert got.tolist() == [r.x for r in plain]
+
+
+def test_micro_clusters_follow_the_nearest_mean_of_shared_passes(spark, monkeypatch):
+    """The leaves come from the passes over packed rows, each row is in the nearest one, and their means go into the tree."""
+    x = np.random.default_rng(11).normal(size=(900, 3))
+    passes, trees = [], []
+    plain = kmeans_module._pass
+    monkeypatch.setattr(kmeans_module, "_pass", lambda points, models: passes.append(models) or plain(points, models))
+    monkeypatch.setattr(models_module, "merge_tree", lambda c, n, method: trees.append((c, n)) or merge_tree(c, n, method))
+    assigned, leaves, _ = models_module.ward_tree(vectors(spark, x), "id", 50)
+    assert 1 < len(passes) <= models_module.MICRO_ROUNDS + 1 and [len(m) for m in passes[-1]] == [50]
+    label = np.array([r.micro for r in assigned.orderBy("id").collect()])
+    assert label.tolist() == ((x[:, None] - passes[-1][0][None]) ** 2).sum(axis=2).argmin(axis=1).tolist()
+    ((centres, sizes),) = trees
+    assert sizes.tolist() == [int((label == j).sum()) for j in leaves]
+    assert centres == pytest.approx(np.stack([x[label == j].mean(axis=0) for j in leaves]))
