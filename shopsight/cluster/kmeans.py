@@ -160,6 +160,8 @@ def start_sample(vectors: DataFrame, rows: int) -> np.ndarray:
     for part in [hashed] if share >= 1 else [hashed.where(F.col("hash") < F.lit(int(share * 2**64) - 2**63)), hashed]:
         if len(found) < rows:
             found = part.orderBy("hash", "x").limit(rows).collect()
+    if not found:
+        raise ValueError("no rows to cluster")
     return np.array([row["x"] for row in found], float)
 
 
@@ -217,8 +219,6 @@ def fit_many(
     persisted by the caller.
     """
     near = start_sample(vectors, start_rows)
-    if not len(near):
-        raise ValueError("no rows to cluster")
     points = spread(vectors)
     jobs = [(k, offset) for k in dict.fromkeys(ks) for offset in range(restarts)]
     fitted = lloyd(points, [start_centres(near, k, np.random.default_rng(seed + offset)) for k, offset in jobs], max_iter, tol)

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.cluster.blocks import distances
-from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, label_nearest, spread, start_centres, start_sample, summed
+from shopsight.cluster.kmeans import START_ROWS, CentreModel, assign_to_centres, fit_many, label_nearest, lloyd, spread, start_centres, start_sample, summed
 from shopsight.cluster.metrics import (
     MEASURES,
     calinski_harabasz,
@@ -311,7 +311,10 @@ def cut_tree(merges: np.ndarray, leaves: int, clusters: int) -> np.ndarray:
 
 def micro_clusters(vectors: DataFrame, id_column: str, m: int = MICRO_CLUSTERS, seed: int = 42) -> DataFrame:
     """(id, micro): the nearest of at most m K-Means centres, fitted in passes over all rows whatever their number."""
-    model = fit_many(vectors, [m], seed, restarts=1, max_iter=MICRO_ROUNDS, start_rows=MICRO_STARTS * m)[m]
+    near = start_sample(vectors, MICRO_STARTS * m)
+    points = spread(vectors)
+    (model,) = lloyd(points, [start_centres(near, m, np.random.default_rng(seed))], MICRO_ROUNDS)
+    points.unpersist()
     return label_nearest(vectors.select(id_column, "features"), model.centres, "micro")
 
 
