@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from shopsight.operators.ranking import global_rank
 
 BLOCK_ROWS = 1024
-SLABS = 64
 FEW_SHARE = 16
+MANY_TAKEN = 4
 STRIPE_ROWS = 16_384
 STRIPE_CELLS = 1 << 20
 # Squares this many times the error bound of a matrix product give distances right to seven digits and more.
@@ -67,23 +67,30 @@ class Blocks:
         self.rows.unpersist()
 
 
-def make_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> Blocks:
-    """Points are ranked along the curve and cut every `block_rows` ranks.
+def ranked_blocks(points: DataFrame, block_rows: int | Callable[[int], int]) -> tuple[DataFrame, int, list[float], list[float]]:
+    """(points with their block, number of blocks, lowest and highest coordinates); `block_rows` may depend on the dimensions.
 
-    Points sharing a cell of the curve are ranked by a hash, so a crowded cell is cut into blocks like
-    any other place.
+    Points are ranked along the curve and cut every `block_rows` ranks. Points sharing a cell of the curve are ranked by
+    a hash, so a crowded cell is cut into blocks like any other place.
     """
-    extra = [c for c in points.columns if c not in ("id", "x")]
     summary = Summarizer.metrics("min", "max", "count").summary(array_to_vector("x")).alias("s")
     info = points.select(summary).select("s.*").first()
     lows, highs = list(info["min"]), list(info["max"])
-    number = max(1, math.ceil(info["count"] / block_rows))
+    size = block_rows(len(lows)) if callable(block_rows) else block_rows
+    number = max(1, math.ceil(info["count"] / size))
     if number > 1:
         keyed = points.withColumns({"_z": z_order(lows, highs), "_h": F.xxhash64("id")})
-        ranked = global_rank(keyed, ["_z", "_h", "id"], "_rank", rows_per_range=block_rows * 64, rows=info["count"])
-        numbered = ranked.withColumn("block", F.floor((F.col("_rank") - 1) / block_rows))
+        ranked = global_rank(keyed, ["_z", "_h", "id"], "_rank", rows_per_range=size * 64, rows=info["count"])
+        numbered = ranked.withColumn("block", F.floor((F.col("_rank") - 1) / size))
     else:
         numbered = points.withColumn("block", F.lit(0).cast("long"))
+    return numbered, number, lows, highs
+
+
+def make_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> Blocks:
+    """Blocks of at most `block_rows` points that follow each other along the curve."""
+    extra = [c for c in points.columns if c not in ("id", "x")]
+    numbered, number, lows, highs = ranked_blocks(points, block_rows)
     grouped = numbered.groupBy("block").agg(
         F.collect_list(F.struct("id", "x", *extra)).alias("rows"),
         F.array(*[F.min(F.col("x")[i]) for i in range(len(lows))]).alias("lo"),
@@ -95,52 +102,6 @@ def make_blocks(points: DataFrame, block_rows: int = BLOCK_ROWS) -> Blocks:
     return Blocks(rows.persist(), number, lows, highs)
 
 
-def _length(sides: Column) -> Column:
-    return F.sqrt(F.aggregate(sides, F.lit(0.0), lambda s, g: s + g * g))
-
-
-def box_gap(lo_a: str, hi_a: str, lo_b: str, hi_b: str) -> Column:
-    """Smallest distance between two boxes."""
-    right = F.zip_with(lo_a, hi_b, lambda low, high: low - high)
-    left = F.zip_with(lo_b, hi_a, lambda low, high: low - high)
-    return _length(F.zip_with(left, right, lambda p, q: F.greatest(p, q, F.lit(0.0))))
-
-
-def close_pairs(blocks: Blocks, reach: Column) -> DataFrame:
-    """Ordered pairs (a, b) of blocks whose boxes are within `reach` (a column of block a).
-
-    The boxes meet on slabs of the first coordinate: an equi-join, kept once per pair at the first slab
-    both touch.
-    """
-    low, high = blocks.lows[0], blocks.highs[0]
-    width = ((high - low) / SLABS) or 1.0
-
-    def slab(value: Column) -> Column:
-        place = F.floor((value - F.lit(low)) / F.lit(width))
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(SLABS)), place.cast("double"))).cast("int")
-
-    boxes = blocks.rows.select("block", "lo", "hi", reach.alias("reach"))
-    start, end = F.col("lo")[0], F.col("hi")[0]
-    first, last = slab(start - F.col("reach")), slab(end + F.col("reach"))
-    left = boxes.select(
-        F.col("block").alias("a"),
-        F.col("lo").alias("lo_a"),
-        F.col("hi").alias("hi_a"),
-        "reach",
-        first.alias("first_a"),
-        F.explode(F.sequence(first, last)).alias("slab"),
-    )
-    right = boxes.select(
-        F.col("block").alias("b"),
-        F.col("lo").alias("lo_b"),
-        F.col("hi").alias("hi_b"),
-        slab(start).alias("first_b"),
-        F.explode(F.sequence(slab(start), slab(end))).alias("slab"),
-    )
-    pairs = left.join(right, "slab").where(F.col("slab") == F.greatest("first_a", "first_b"))
-    return pairs.where(box_gap("lo_a", "hi_a", "lo_b", "hi_b") <= F.col("reach") + F.lit(1e-9)).select("a", "b")
-
-
 def all_pairs(blocks: Blocks) -> DataFrame:
     """Every ordered pair of blocks, for measures defined over all distances."""
     partners = F.sequence(F.lit(0).cast("long"), F.lit(blocks.number - 1).cast("long"))
@@ -211,7 +172,8 @@ def _squares(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int) -> tuple[np
     a, b = np.asarray(xs_a, float).reshape(n_a, -1), np.asarray(xs_b, float).reshape(n_b, -1)
     own_a, own_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
     slack = 4 * (a.shape[1] + 4) * np.finfo(float).eps * (own_a.max() + own_b.max())
-    return a, b, own_a[:, None] + own_b[None, :] - 2 * (a @ b.T), float(slack)
+    one = np.ones
+    return a, b, np.column_stack([a, own_a, one(n_a)]) @ np.column_stack([-2 * b, one(n_b), own_b]).T, float(slack)
 
 
 def product_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -237,30 +199,40 @@ def within(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, reach: float)
     """Which points are at most `reach` apart, exactly: pairs whose squares are too close to tell are compared by themselves."""
     a, b, squares, slack = _squares(xs_a, n_a, xs_b, n_b)
     slack += 8 * np.finfo(float).eps * (a.shape[1] + 4) * reach * reach
-    near = squares <= reach * reach
-    i, j = np.nonzero(np.abs(squares - reach * reach) <= slack)
+    near = squares <= reach * reach - slack
+    i, j = np.divmod(np.flatnonzero((squares <= reach * reach + slack) > near), n_b)
     if len(i) > near.size // FEW_SHARE or not np.isfinite(slack):
         return distances(xs_a, n_a, xs_b, n_b) <= reach
     near[i, j] = _exact(a, b, i, j) <= reach
     return near
 
 
-def nearest_distances(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, weights: np.ndarray, k: int) -> np.ndarray:
+def nearest_distances(xs_a: np.ndarray, n_a: int, xs_b: np.ndarray, n_b: int, weights: np.ndarray, k: int, near: np.ndarray | None = None) -> np.ndarray:
     """The k smallest distances of every point of a to points of b, exact and ascending, copies counted, padded with infinity.
 
-    Those that may be among the k nearest are taken by one matrix product; only they are measured one by one.
+    `near` holds smaller or equal numbers of distances known already, which take part. Those that may be among the k
+    nearest are taken by one matrix product; only they are measured one by one.
     """
     a, b, squares, slack = _squares(xs_a, n_a, xs_b, n_b)
-    last = min(k, n_b) - 1
-    i, j = np.nonzero(squares <= np.partition(squares, last, axis=1)[:, last : last + 1] + 2 * slack)
+    near = np.full((n_a, k), np.inf) if near is None else near
+    limit = near[:, -1] ** 2 * (1 + 1e-12) + slack
+    taken = squares <= limit[:, None]
+    many = np.flatnonzero(np.count_nonzero(taken, axis=1) > MANY_TAKEN * k)
+    if len(many):
+        last = min(k, n_b) - 1
+        limit = np.minimum(limit[many], np.partition(squares[many], last, axis=1)[:, last] + 2 * slack)
+        taken[many] = squares[many] <= limit[:, None]
+    i, j = np.divmod(np.flatnonzero(taken), n_b)
     if len(i) > k * n_a + squares.size // FEW_SHARE or not np.isfinite(slack):
         i, j = (side.ravel() for side in np.indices((n_a, n_b)))
     gaps, copies = _exact(a, b, i, j), np.minimum(weights, k)[j]
-    i, gaps = np.repeat(i, copies), np.repeat(gaps, copies)
+    met = np.unique(i)
+    i = np.concatenate([np.repeat(met, k), np.repeat(i, copies)])
+    gaps = np.concatenate([near[met].ravel(), np.repeat(gaps, copies)])
     order = np.lexsort((gaps, i))
     i, gaps = i[order], gaps[order]
     place = np.arange(len(i)) - np.searchsorted(i, np.arange(n_a))[i]
-    out = np.full((n_a, k), np.inf)
+    out = near.copy()
     out[i[place < k], place[place < k]] = gaps[place < k]
     return out
 

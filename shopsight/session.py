@@ -61,3 +61,9 @@ def together(spark: SparkSession, work: Callable, items: Iterable, threads: int
     target = inheritable_thread_target(spark)(work)
     with ThreadPool(max(1, min(threads, len(items)))) as pool:
         return pool.map(target, items)
+
+
+def drop_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,12 +1,13 @@
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shopsight.cluster import kmeans as kmeans_module, metrics as M, models as models_module
+from shopsight.cluster import density as density_module, kmeans as kmeans_module, metrics as M, models as models_module
 from shopsight.cluster.blocks import distances, every_pair, make_blocks, make_stripes, nearest_distances, product_distances, within
 from shopsight.cluster.density import dbscan, distinct_points, k_distances
 from shopsight.cluster.kmeans import CentreModel, fit_many, lloyd
@@ -76,6 +77,39 @@ def test_dbscan(spark, block_rows, eps, least):
     assert [got[i] for i in range(len(xs))] == list(brute_dbscan(xs, eps, least))
 
 
+def test_blocks_are_read_from_files_and_only_near_ones(spark, monkeypatch):
+    """Every point is in one block of few points; neighbours and clusters come from a small part of all pairs, and no block is shuffled for a pair."""
+    rng = np.random.default_rng(3)
+    xs = np.concatenate([rng.normal(size=(400, 2)) + 50 * place for place in range(10)])[rng.permutation(4000)]
+    frame = vectors(spark, xs)
+    tiles = density_module.write_tiles(distinct_points(density_module.as_points(frame, "id")), 64)
+    sizes = tiles.on_groups(lambda t, group: (pd.DataFrame({"id": t.points(i)[2], "block": i, "n": int(t.n[i])}) for i in group), "id long, block long, n long").collect()
+    assert sorted(r.id for r in sizes) == list(range(4000)) and max(r.n for r in sizes) <= 64
+    tiles.release()
+    pairs = spark.sparkContext.accumulator(0)
+
+    def counted(plain):
+        return lambda xs_a, n_a, xs_b, n_b, *rest: (pairs.add(int(n_a * n_b)), plain(xs_a, n_a, xs_b, n_b, *rest))[1]
+
+    monkeypatch.setattr(density_module, "nearest_distances", counted(nearest_distances))
+    monkeypatch.setattr(density_module, "within", counted(within))
+    found = [r.k_distance for r in k_distances(frame, "id", 5, block_rows=64).orderBy("id").collect()]
+    assert found == pytest.approx(list(np.sort(gaps(xs), axis=1)[:, 4]))
+    assert pairs.value < 4000 * 4000 / 10
+    got = [r.cluster for r in dbscan(frame, "id", 0.6, 8, block_rows=64).orderBy("id").collect()]
+    assert got == list(brute_dbscan(xs, 0.6, 8))
+    assert pairs.value < 4000 * 4000 / 5
+
+
+def test_nearest_takes_known_distances_into_account():
+    rng = np.random.default_rng(6)
+    a, b, c = rng.normal(size=(50, 3)), rng.normal(size=(40, 3)), rng.normal(size=(60, 3)) + 0.2
+    ones = np.ones(60, np.int64)
+    known = nearest_distances(a, 50, b, 40, ones[:40], 4)
+    both = nearest_distances(a, 50, c, 60, ones, 4, known)
+    assert (both == nearest_distances(a, 50, np.vstack([b, c]), 100, np.ones(100, np.int64), 4)).all()
+
+
 def test_dbscan_all_noise(spark):
     xs = np.arange(12.0).reshape(-1, 1) * 10
     assert {r.cluster for r in dbscan(vectors(spark, xs), "id", 1.0, 2).collect()} == {-1}
