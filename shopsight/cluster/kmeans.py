@@ -18,6 +18,7 @@ HASH_MARGIN = 4
 BATCH_CELLS = 1 << 17
 STRETCH_ROWS = 1 << 15
 TASK_ROWS = 8_192
+PACKED_CELLS = 1 << 16
 MOST_TASK_ROWS = 2_000_000
 
 
@@ -100,10 +101,21 @@ def spread(vectors: DataFrame) -> DataFrame:
 
 
 def _packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Coordinates of many batches in one row, however small the session's batches are."""
+    waiting, cells = [], 0
+
+    def row() -> pa.RecordBatch:
+        x = pa.concat_arrays(waiting)
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(x)], x)], names=["x"])
+
     for part in parts:
-        x = part.column("x").flatten()
-        if len(x):
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(x)], x)], names=["x"])
+        waiting.append(part.column("x").flatten())
+        cells += len(waiting[-1])
+        if cells >= PACKED_CELLS:
+            yield row()
+            waiting, cells = [], 0
+    if cells:
+        yield row()
 
 
 def summed(points: DataFrame, shared, total: Callable[[np.ndarray, object], np.ndarray], shape: tuple[int, int], dims: int) -> np.ndarray:
